@@ -20,13 +20,24 @@ def _remove(column: Column, pattern: str, replacement: str = "") -> Column:
 def clean_text(text: Column) -> Column:
     """Lower case, without links and e-mail addresses; only letters a-z, apostrophes and single spaces remain."""
     word = f"[^{WHITESPACE}]+"
-    cleaned = F.lower(F.coalesce(text, F.lit("")))
-    cleaned = _remove(cleaned, f"http{word}|www{word}")
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    # Plain searches are much cheaper than patterns, and most texts hold neither a link nor an address.
+    may_link = lowered.contains("http") | lowered.contains("www")
+    unlinked = F.when(may_link, _remove(lowered, f"http{word}|www{word}")).otherwise(lowered)
     # The look-behind starts every attempt at a word start: same matches, linear time on very long words.
-    cleaned = _remove(cleaned, f"(?<![^{WHITESPACE}]){word}@{word}")
-    cleaned = _remove(cleaned, f"[^a-zA-Z{WHITESPACE}']", " ")
-    cleaned = _remove(cleaned, f"[{WHITESPACE}]+", " ")
-    return F.trim(cleaned)
+    address = f"(?<![^{WHITESPACE}]){word}@{word}"
+    unaddressed = F.when(unlinked.contains("@"), _remove(unlinked, address)).otherwise(unlinked)
+    # Any run of other characters is one space; single spaces are left alone.
+    return F.trim(F.regexp_replace(unaddressed, "[^a-z' ][^a-z']*| [^a-z']+", " "))
+
+
+def computed_once(value: Column) -> Column:
+    """Evaluate ``value`` in a step of its own.
+
+    A filter on a computed column is normally moved below the projection, which computes the column a second time.  The
+    optimizer does not move it below a generator, so expensive values that are filtered on go through this one.
+    """
+    return F.explode(F.array(value))
 
 
 def strip(text: Column) -> Column:

@@ -19,10 +19,11 @@ from shelfrank.functions.vectors import euclidean
 from shelfrank.operators.joins import attach_columns
 from shelfrank.operators.projections import CLUSTERING_COLUMNS, non_members
 from shelfrank.operators.ranking import top_n
-from shelfrank.scale import collect_bounded, cut_lineage
+from shelfrank.scale import collect_bounded, cut_lineage, join_small
 
 CLUSTERS = 30
 SEED = 42
+TOLERANCE = 1e-4
 SWEEP = (10, 20, 30, 40, 50)
 MAX_REFERENCES = 10_000
 MAX_CLUSTERS = 100_000
@@ -56,9 +57,10 @@ class ItemClusterer:
         if self.scale:
             stages.append(StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True))
         inputs = "_scaled" if self.scale else "_raw"
+        tolerance = self._tolerance(df)
         stages.append(
             KMeans(
-                k=self.clusters, seed=self.seed, maxIter=self.max_iter, tol=1e-4, featuresCol=inputs,
+                k=self.clusters, seed=self.seed, maxIter=self.max_iter, tol=tolerance, featuresCol=inputs,
                 predictionCol="cluster_id",
             )
         )
@@ -66,6 +68,14 @@ class ItemClusterer:
         self._data = df
         return self
 
+    def _tolerance(self, df: DataFrame) -> float:
+        """Largest centre shift that counts as settled: ``TOLERANCE`` relative to the mean variance of the features."""
+        if self.scale:
+            return (TOLERANCE / self.clusters) ** 0.5
+        spread = df.dropna(subset=self.features).agg(*[F.var_pop(c).alias(c) for c in self.features]).first()
+        mean_variance = sum(v or 0.0 for v in spread) / len(self.features)
+        return (TOLERANCE * mean_variance / self.clusters) ** 0.5
+
     def _fitted(self) -> PipelineModel:
         if self.model is None:
             raise ValueError("call fit() before reading clusters")
@@ -126,7 +136,8 @@ def cluster_scores(assigned: DataFrame, centroids: DataFrame, references: DataFr
     spark = assigned.sparkSession
     wanted = collect_bounded(references.select("item_id"), MAX_REFERENCES, "reference list")
     reference_ids = F.broadcast(spark.createDataFrame(wanted, "item_id bigint"))
-    counted = assigned.select("item_id", "cluster_id").join(reference_ids, "item_id").groupBy("cluster_id").count()
+    referred = join_small(assigned.select("item_id", "cluster_id"), references.select("item_id"), max_rows=MAX_REFERENCES)
+    counted = referred.groupBy("cluster_id").count()
     members = {r["cluster_id"]: r["count"] for r in collect_bounded(counted, MAX_REFERENCES, "reference clusters")}
     total = sum(members.values())
     if not total:

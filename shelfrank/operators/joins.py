@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions.text import match_key, title_contains, title_equals
-from shelfrank.scale import broadcast_if_small, salted_lookup_join
+from shelfrank.scale import join_small, salted_lookup_join
 
 TITLES_PER_PASS = 100
 
@@ -29,7 +29,7 @@ def attach_columns(left: DataFrame, catalog: DataFrame, columns: Sequence[str])
 
 def rows_by_id(catalog: DataFrame, ids: DataFrame) -> DataFrame:
     """Catalog rows of an id table, whose size decides how they are joined."""
-    return catalog.join(broadcast_if_small(ids.select("item_id").distinct()), "item_id", "left_semi")
+    return join_small(catalog, ids.select("item_id").distinct(), how="left_semi")
 
 
 def _first_match(query: str, name: str, regex: bool) -> Column:

@@ -22,7 +22,7 @@ from shelfrank.functions.text import first_genre
 from shelfrank.functions.vectors import cosine
 from shelfrank.operators.joins import resolve_titles
 from shelfrank.operators.ranking import hash_sample, hash_sample_per_group, n_largest, random_pairs
-from shelfrank.scale import broadcast_if_small, collect_bounded, cut_lineage, top_k_per_group
+from shelfrank.scale import broadcast_if_small, collect_bounded, cut_lineage, join_small, top_k_per_group
 
 SIM_DECIMALS = 9
 MAX_QUERIES = 10_000
@@ -115,7 +115,7 @@ def nearest(items: DataFrame, queries: Sequence[Query], k: int) -> DataFrame:
 def item_queries(items: DataFrame, resolved: DataFrame) -> list[Query]:
     """Queries for resolved titles (``query, item_id``); titles without an item or without a vector are left out."""
     wanted = resolved.where(F.col("item_id").isNotNull()).select("query", "item_id")
-    found = _with_vector(items).join(broadcast_if_small(wanted, MAX_QUERIES), "item_id")
+    found = join_small(_with_vector(items), wanted, max_rows=MAX_QUERIES)
     rows = collect_bounded(found, MAX_QUERIES, "query set")
     return [Query(r["query"], r["embedding"], r["item_id"]) for r in sorted(rows, key=lambda r: (r["query"], r["item_id"]))]
 
@@ -123,7 +123,7 @@ def item_queries(items: DataFrame, resolved: DataFrame) -> list[Query]:
 def with_catalog(ranked: DataFrame, catalog: DataFrame, with_scores: bool = True) -> DataFrame:
     """Attach the display columns that the catalog has to a ranked result."""
     columns = [c for c in DISPLAY if c in catalog.columns and c not in ranked.columns]
-    joined = catalog.select("item_id", *columns).join(broadcast_if_small(ranked, MAX_QUERIES * 10), "item_id")
+    joined = join_small(catalog.select("item_id", *columns), ranked, max_rows=MAX_QUERIES * 10)
     return joined if with_scores else joined.drop("similarity")
 
 
@@ -352,9 +352,8 @@ def genre_overlap(recommended: DataFrame, resolved: DataFrame, catalog: DataFram
 
     ``recommended`` has ``query, genre``; ``resolved`` has ``query, item_id``.
     """
-    own = catalog.select("item_id", first_genre(F.col("genre")).alias("own_genre")).join(
-        broadcast_if_small(resolved.where(F.col("item_id").isNotNull())), "item_id"
-    )
+    asked = resolved.where(F.col("item_id").isNotNull())
+    own = join_small(catalog.select("item_id", first_genre(F.col("genre")).alias("own_genre")), asked)
     (high, strong), (middle, moderate) = OVERLAP_TIERS
     counted = recommended.join(broadcast_if_small(own.select("query", "own_genre")), "query").groupBy("query").agg(
         F.count_if(first_genre(F.col("genre")) == F.col("own_genre")).alias("matches"),

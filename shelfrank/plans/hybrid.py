@@ -12,7 +12,7 @@ from shelfrank.operators.clusters import cluster_scores
 from shelfrank.operators.joins import cluster_ids_of_titles, id_difference, id_union, resolve_titles, score_by_id
 from shelfrank.operators.ranking import best_per_title, top_n
 from shelfrank.operators.similarity import item_queries, nearest
-from shelfrank.scale import broadcast_if_small
+from shelfrank.scale import broadcast_if_small, join_small
 
 WEIGHTS = {"similarity": 0.6, "quality": 0.2, "cluster": 0.2}
 CANDIDATES = 50
@@ -26,10 +26,8 @@ def semantic_candidates(
 ) -> DataFrame:
     """The ``n`` nearest items of every resolved title, best row per title, similarity in percent."""
     queries = item_queries(items, resolved.select("query", "item_id").distinct())
-    ranked = broadcast_if_small(nearest(items, queries, n).select("item_id", "similarity"), MAX_POOL)
-    best = catalog.select("item_id", "names").join(
-        ranked.groupBy("item_id").agg(F.max("similarity").alias("similarity")), "item_id"
-    )
+    ranked = nearest(items, queries, n).groupBy("item_id").agg(F.max("similarity").alias("similarity"))
+    best = join_small(catalog.select("item_id", "names"), ranked, max_rows=MAX_POOL)
     if dedupe:
         best = best_per_title(best, "similarity")
     return best.select("item_id", (F.col("similarity") * 100).alias("sim_score_norm"))
@@ -88,7 +86,7 @@ class HybridRecommender:
         scores = self.cluster_scores(titles)
         clustered = cluster_candidates(scores) if scores is not None else semantic.select("item_id").limit(0)
         pool = broadcast_if_small(candidate_pool(semantic, clustered, references), MAX_POOL)
-        candidates = score_by_id(self.catalog.join(pool, "item_id", "left_semi"), semantic, "sim_score_norm")
+        candidates = score_by_id(join_small(self.catalog, pool, how="left_semi", max_rows=MAX_POOL), semantic, "sim_score_norm")
         if scores is None:
             candidates = candidates.withColumn("cluster_score", F.lit(0.0))
         else:
@@ -109,10 +107,9 @@ class HybridRecommender:
         """
         keyed = candidates.withColumn("title_key", match_key(F.col("names")))
         titled = self.catalog.select("item_id", match_key(F.col("names")).alias("title_key"))
-        wanted = broadcast_if_small(
-            titled.join(pool, "item_id", "left_semi").select("title_key").distinct(), MAX_POOL
-        )
-        scored = titled.join(wanted, "title_key", "left_semi").join(scores.select("item_id", "cluster_score"), "item_id")
+        wanted = join_small(titled, pool, how="left_semi", max_rows=MAX_POOL).select("title_key").distinct()
+        same_title = titled.join(broadcast_if_small(wanted, MAX_POOL), "title_key", "left_semi")
+        scored = same_title.join(scores.select("item_id", "cluster_score"), "item_id")
         last = scored.groupBy("title_key").agg(F.max_by("cluster_score", "item_id").alias("cluster_score"))
         joined = keyed.join(last, "title_key", "left").drop("title_key")
         return joined.withColumn("cluster_score", F.coalesce("cluster_score", F.lit(0.0)))

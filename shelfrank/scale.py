@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 10_000
+MAX_FILTER_KEYS = 1_000
 HOT_SHARE = 0.001
 SALTS = 64
 
@@ -54,6 +55,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def join_small(
+    big: DataFrame, small: DataFrame, key: str = "item_id", how: str = "inner", max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Keep the rows of ``big`` that match ``small``: ``how`` is ``inner`` or ``left_semi``.
+
+    A proven small side is broadcast, and a short key list also becomes a filter on ``big``, which Spark moves to the
+    scan and to the other tables ``big`` is joined from.  A larger side is joined by shuffle.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return big.join(small, key, how)
+    keys = {row[key] for row in rows}
+    kept = big.where(F.col(key).isin(*keys)) if len(keys) <= MAX_FILTER_KEYS else big
+    return kept.join(F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), key, how)
+
+
 def salted_lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -101,14 +118,10 @@ def top_k_per_group(
     Every group is first cut to ``k`` rows in each of ``salts`` slices, so the task that ranks a whole group sees at
     most ``k * salts`` rows of it.
     """
-    slice_of = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    within_slice = Window.partitionBy(*group, "_slice").orderBy(*order)
     within_group = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn("_slice", slice_of)
-        .withColumn("_r", F.row_number().over(within_slice))
-        .where(F.col("_r") <= k)
-        .drop("_slice", "_r")
-        .withColumn(rank_name, F.row_number().over(within_group))
-        .where(F.col(rank_name) <= k)
-    )
+    if salts > 1:
+        slice_of = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+        within_slice = Window.partitionBy(*group, "_slice").orderBy(*order)
+        sliced = df.withColumn("_slice", slice_of).withColumn("_r", F.row_number().over(within_slice))
+        df = sliced.where(F.col("_r") <= k).drop("_slice", "_r")
+    return df.withColumn(rank_name, F.row_number().over(within_group)).where(F.col(rank_name) <= k)

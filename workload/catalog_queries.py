@@ -131,7 +131,7 @@ def inf_to_null(spark, sf):
 @query("semantic_projection", CLEAN_SQL + """
   SELECT item_id, names, overview, genre, score, year, revenue FROM clean WHERE trim(overview) <> ''""")
 def semantic_projection(spark, sf):
-    return P.semantic_view(clean(spark, sf))
+    return P.semantic_view(clean(spark, sf, "names", "overview", "genre", "score", "year", "revenue"))
 
 
 @query("clustering_projection", CLEAN_SQL + " SELECT item_id, year, score, budget_x, revenue FROM clean")
@@ -141,7 +141,7 @@ def clustering_projection(spark, sf):
 
 @query("supervised_view", CLEAN_SQL + " SELECT item_id, names, year, score, genre, orig_lang, country, budget_x, revenue FROM clean")
 def supervised_view(spark, sf):
-    view = P.supervised_view(clean(spark, sf))
+    view = P.supervised_view(clean(spark, sf, "names", "year", "score", "genre", "orig_lang", "country", "budget_x", "revenue"))
     return P.available_columns(view, ["item_id", "names", "year", "absent", "score", "genre", "orig_lang", "country", "budget_x", "revenue"])
 
 

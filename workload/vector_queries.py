@@ -85,7 +85,7 @@ def value_histogram(spark, sf):
 @query("similar_items", CLEAN_VEC_SQL + f""", {sql_titles(['red widget'])}, {NEAREST_SQL}
   SELECT query, ranked.item_id, round(similarity, 6) AS similarity, rank, names, score, year, genre, overview FROM ranked JOIN clean USING (item_id) WHERE rank <= 10""")
 def similar_items(spark, sf):
-    return V.similar_items(clean(spark, sf), vectors(spark, sf), "red widget").transform(round_columns, "similarity")
+    return V.similar_items(clean(spark, sf, "names", "score", "year", "genre", "overview"), vectors(spark, sf), "red widget").transform(round_columns, "similarity")
 
 
 @query("batch_similar", CLEAN_VEC_SQL + f""", {sql_titles(QUERY_TITLES)}, {NEAREST_SQL}
@@ -191,7 +191,7 @@ def embed_text(spark, sf):
 
 @query("semantic_index")
 def semantic_index(spark, sf):
-    index, _ = build_index(clean(spark, sf), shared_folder(spark, "index"))
+    index, _ = build_index(clean(spark, sf, "names", "overview", "genre", "score", "year"), shared_folder(spark, "index"))
     return index.select("item_id", "names", "overview_processed", F.size("embedding").alias("dimension"))
 
 
