@@ -19,7 +19,7 @@ from shelfrank.functions.vectors import euclidean
 from shelfrank.operators.joins import attach_columns
 from shelfrank.operators.projections import CLUSTERING_COLUMNS, non_members
 from shelfrank.operators.ranking import top_n
-from shelfrank.scale import collect_bounded, cut_lineage, join_small
+from shelfrank.scale import broadcast_bounded, collect_bounded, cut_lineage, join_small
 
 CLUSTERS = 30
 SEED = 42
@@ -134,9 +134,8 @@ def cluster_scores(assigned: DataFrame, centroids: DataFrame, references: DataFr
     linearly from the centroid to its farthest member.  References themselves score 0; unknown ids are ignored.
     """
     spark = assigned.sparkSession
-    wanted = collect_bounded(references.select("item_id"), MAX_REFERENCES, "reference list")
-    reference_ids = F.broadcast(spark.createDataFrame(wanted, "item_id bigint"))
-    referred = join_small(assigned.select("item_id", "cluster_id"), references.select("item_id"), max_rows=MAX_REFERENCES)
+    references = broadcast_bounded(references.select("item_id"), MAX_REFERENCES, "reference list")
+    referred = join_small(assigned.select("item_id", "cluster_id"), references, max_rows=MAX_REFERENCES)
     counted = referred.groupBy("cluster_id").count()
     members = {r["cluster_id"]: r["count"] for r in collect_bounded(counted, MAX_REFERENCES, "reference clusters")}
     total = sum(members.values())
@@ -145,15 +144,21 @@ def cluster_scores(assigned: DataFrame, centroids: DataFrame, references: DataFr
     involved = collect_bounded(
         centroids.where(F.col("cluster_id").isin(list(members))), MAX_REFERENCES, "reference centroids"
     )
-    weights = [(r["cluster_id"], [float(x) for x in r["centroid"]], members[r["cluster_id"]] / total) for r in involved]
-    targets = F.broadcast(spark.createDataFrame(weights, "cluster_id int, centroid array<double>, weight double"))
+    weights = pa.table(
+        {
+            "cluster_id": pa.array([r["cluster_id"] for r in involved], pa.int32()),
+            "centroid": pa.array([r["centroid"] for r in involved], pa.list_(pa.float64())),
+            "weight": pa.array([members[r["cluster_id"]] / total for r in involved], pa.float64()),
+        }
+    )
+    targets = F.broadcast(spark.createDataFrame(weights))
     measured = assigned.select("item_id", "cluster_id", "features").join(targets, "cluster_id", "left")
     measured = measured.withColumn("distance", euclidean(F.col("features"), F.col("centroid"))).drop("features", "centroid")
     # One row per cluster that has references, so never more rows than references.
     reach = measured.where(F.col("weight").isNotNull()).groupBy("cluster_id").agg(F.max("distance").alias("reach"))
     closeness = F.when(F.col("reach") == 0, 1.0).otherwise(1 - F.try_divide(F.col("distance"), F.col("reach")))
     score = F.coalesce(closeness * F.col("weight") * 100, F.lit(0.0))
-    is_reference = reference_ids.distinct().withColumn("_ref", F.lit(True))
+    is_reference = F.broadcast(references.distinct().withColumn("_ref", F.lit(True)))
     return (
         measured.join(F.broadcast(reach), "cluster_id", "left")
         .join(is_reference, "item_id", "left")
@@ -164,8 +169,7 @@ def cluster_scores(assigned: DataFrame, centroids: DataFrame, references: DataFr
 def cluster_report(scores: DataFrame, catalog: DataFrame, references: DataFrame, n: int = 10) -> DataFrame:
     """Reference items, then the ``n`` best other items, with catalog columns; ``role`` tells them apart."""
     columns = ["names", *[c for c in CLUSTERING_COLUMNS if c in catalog.columns]]
-    wanted = collect_bounded(references.select("item_id").distinct(), MAX_REFERENCES, "reference list")
-    ids = F.broadcast(scores.sparkSession.createDataFrame(wanted, "item_id bigint"))
+    ids = broadcast_bounded(references.select("item_id").distinct(), MAX_REFERENCES, "reference list")
     own = scores.join(ids, "item_id", "left_semi").withColumn("role", F.lit("reference"))
     best = top_n(non_members(scores, ids), "cluster_score", n).withColumn("role", F.lit("recommended"))
     return attach_columns(own.unionByName(best), catalog, columns)
@@ -229,12 +233,8 @@ def euclidean_silhouette(assigned: DataFrame, rows_per_block: int = ROWS_PER_BLO
         .cogroup(right.groupBy("r_block", "r_other"))
         .applyInArrow(measure, "item_id bigint, own int, cluster_id int, distance double")
     )
-    sizes = F.broadcast(
-        SparkSession.active().createDataFrame(
-            collect_bounded(points.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size")), MAX_CLUSTERS, "clusters"),
-            "cluster_id int, size bigint",
-        )
-    )
+    counted = points.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    sizes = broadcast_bounded(counted, MAX_CLUSTERS, "clusters")
     sums = measured.groupBy("item_id", "own", "cluster_id").agg(F.sum("distance").alias("distance")).join(sizes, "cluster_id")
     is_own = F.col("own") == F.col("cluster_id")
     per_item = sums.groupBy("item_id").agg(

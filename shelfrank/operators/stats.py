@@ -161,7 +161,7 @@ def genre_mean_scores(df: DataFrame, genres: Sequence[str], score: str = "score"
     """Mean score of the rows whose genre text contains each genre, best first, flagged against the overall mean."""
     def contained(genre: Column) -> Column:
         lowered = F.lower("genre")
-        return lowered.rlike(F.lower(genre)) if regex else lowered.contains(F.lower(genre))
+        return F.rlike(lowered, F.lower(genre)) if regex else lowered.contains(F.lower(genre))
 
     matching = F.filter(F.array(*[F.lit(g) for g in genres]), contained)
     overall = df.agg(F.avg(score)).scalar()

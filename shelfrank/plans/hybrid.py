@@ -12,7 +12,7 @@ from shelfrank.operators.clusters import cluster_scores
 from shelfrank.operators.joins import cluster_ids_of_titles, id_difference, id_union, resolve_titles, score_by_id
 from shelfrank.operators.ranking import best_per_title, top_n
 from shelfrank.operators.similarity import item_queries, nearest
-from shelfrank.scale import broadcast_if_small, join_small
+from shelfrank.scale import broadcast_if_small, cut_lineage, join_small
 
 WEIGHTS = {"similarity": 0.6, "quality": 0.2, "cluster": 0.2}
 CANDIDATES = 50
@@ -71,7 +71,8 @@ class HybridRecommender:
         if self.assigned is None or self.centroids is None:
             return None
         references = cluster_ids_of_titles(self.catalog, titles)
-        return cluster_scores(self.assigned, self.centroids, references)
+        # Candidates and title lookups both read the scores; written once, the vectors are not measured again.
+        return cut_lineage(cluster_scores(self.assigned, self.centroids, references), "cluster-scores")
 
     def recommend(
         self, titles: Sequence[str], n: int = 10, weights: Mapping[str, float] | None = None, dedupe: bool = True

@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 10_000
 MAX_FILTER_KEYS = 1_000
@@ -43,16 +45,33 @@ def collect_bounded(df: DataFrame, max_rows: int, what: str) -> list:
     return rows
 
 
+def local_frame(spark: SparkSession, table: pa.Table, schema: T.StructType) -> DataFrame:
+    """A driver-side table as a DataFrame whose size the optimizer knows."""
+    return spark.createDataFrame(table, schema=schema)
+
+
+def _fetch(df: DataFrame, max_rows: int) -> pa.Table | None:
+    """All rows of ``df`` when there are at most ``max_rows``; one row more is asked for to find out."""
+    table = df.limit(max_rows + 1).toArrow()
+    return table if table.num_rows <= max_rows else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` when it is proven to hold at most ``max_rows`` rows.
 
     The size is checked by fetching one row more than allowed.  A larger table is returned as it is, and the join
     that follows becomes an ordinary shuffle join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    table = _fetch(df, max_rows)
+    return df if table is None else F.broadcast(local_frame(df.sparkSession, table, df.schema))
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
+    """Broadcast a table that is small by contract; a larger one is an error."""
+    table = _fetch(df, max_rows)
+    if table is None:
+        raise ValueError(f"{what} has more than {max_rows} rows")
+    return F.broadcast(local_frame(df.sparkSession, table, df.schema))
 
 
 def join_small(
@@ -63,12 +82,12 @@ def join_small(
     A proven small side is broadcast, and a short key list also becomes a filter on ``big``, which Spark moves to the
     scan and to the other tables ``big`` is joined from.  A larger side is joined by shuffle.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    table = _fetch(small, max_rows)
+    if table is None:
         return big.join(small, key, how)
-    keys = {row[key] for row in rows}
+    keys = set(table.column(key).to_pylist()) - {None}
     kept = big.where(F.col(key).isin(*keys)) if len(keys) <= MAX_FILTER_KEYS else big
-    return kept.join(F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), key, how)
+    return kept.join(F.broadcast(local_frame(big.sparkSession, table, small.schema)), key, how)
 
 
 def salted_lookup_join(

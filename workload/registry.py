@@ -79,7 +79,8 @@ def clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The cleaned catalog, reduced to the tables and columns asked for."""
     wanted = ("item_id", "score", *[_SOURCES.get(c, c) for c in columns])
     source = raw_catalog(spark, sf_dir, wanted) if columns else raw_catalog(spark, sf_dir)
-    cleaned = clean_catalog(source, row_bound=row_bound(spark, sf_dir))
+    has_amounts = {"budget_x", "revenue"} & set(source.columns)
+    cleaned = clean_catalog(source, row_bound=row_bound(spark, sf_dir) if has_amounts else None)
     return cleaned.select("item_id", *columns) if columns else cleaned
 
 
