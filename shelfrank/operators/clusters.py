@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions.vectors import euclidean
-from shelfrank.operators.joins import attach_columns
 from shelfrank.operators.projections import CLUSTERING_COLUMNS, non_members
 from shelfrank.operators.ranking import top_n
-from shelfrank.scale import broadcast_bounded, collect_bounded, cut_lineage, join_small
+from shelfrank.scale import broadcast_bounded, broadcast_if_small, collect_bounded, cut_lineage, join_small
 
 CLUSTERS = 30
 SEED = 42
@@ -172,7 +171,9 @@ def cluster_report(scores: DataFrame, catalog: DataFrame, references: DataFrame,
     ids = broadcast_bounded(references.select("item_id").distinct(), MAX_REFERENCES, "reference list")
     own = scores.join(ids, "item_id", "left_semi").withColumn("role", F.lit("reference"))
     best = top_n(non_members(scores, ids), "cluster_score", n).withColumn("role", F.lit("recommended"))
-    return attach_columns(own.unionByName(best), catalog, columns)
+    listed = broadcast_if_small(own.unionByName(best))
+    details = join_small(catalog.select("item_id", *columns), listed.select("item_id"), how="left_semi")
+    return listed.join(details, "item_id", "left")
 
 
 def silhouette(assigned: DataFrame) -> float:

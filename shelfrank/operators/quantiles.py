@@ -153,6 +153,24 @@ def exact_quantiles(
     return result
 
 
+def quantile_columns(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    exact_rows: int = EXACT_ROWS,
+    row_bound: int | None = None,
+) -> dict[str, Column]:
+    """Array columns of exact quantiles, for use inside ``df.agg`` next to other figures.
+
+    A table proven small is aggregated in that same pass; otherwise the values are found first and enter as literals.
+    """
+    if row_bound is not None and row_bound <= exact_rows:
+        shares = F.array(*[F.lit(float(p)) for p in probabilities])
+        return {name: F.percentile(F.col(name).cast("double"), shares) for name in columns}
+    found = exact_quantiles(df, columns, probabilities, exact_rows, row_bound)
+    return {name: F.array(*[F.lit(v).cast("double") for v in values]) for name, values in found.items()}
+
+
 def threshold_for_smallest(df: DataFrame, column: str, counts: Sequence[int], total: int) -> list[int | None]:
     """For each ``n``, the value below which exactly ``n`` rows lie, given unique values; None when all rows do."""
     inside = sorted({n for n in counts if n < total})

@@ -14,6 +14,7 @@ from shelfrank.scale import top_k_per_group
 
 TIERS = ((0.80, "excellent"), (0.70, "good"))
 INDEX_BUCKETS = 1000
+MAX_BROADCAST_PAIRS = 100_000
 
 
 def top_n(df: DataFrame, by: str, n: int, tie: str = "item_id") -> DataFrame:
@@ -91,13 +92,13 @@ def random_pairs(df: DataFrame, n_pairs: int, seed: int, key: str = "item_id") -
     drawn = spark.range(n_pairs).withColumnRenamed("id", "pair_id").select(
         "pair_id", draw("a").alias("index_a"), draw("b").alias("index_b")
     )
-    # Both sides meet the item index at once; the drawn side has 2 * n_pairs rows, known in advance.
+    # Both sides meet the item index at once; they have 2 * n_pairs rows, known in advance.
     sides = drawn.select(
         "pair_id",
         F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("index_a").alias("row_index")),
                           F.struct(F.lit("b").alias("side"), F.col("index_b").alias("row_index")))).alias("s"),
     ).select("pair_id", "s.*")
-    found = indexed.join(sides, "row_index")
+    found = indexed.join(F.broadcast(sides) if n_pairs <= MAX_BROADCAST_PAIRS else sides, "row_index")
     return found.groupBy("pair_id").agg(
         F.max(F.when(F.col("side") == "a", F.col(key))).alias("id_a"),
         F.max(F.when(F.col("side") == "b", F.col(key))).alias("id_b"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfrank.functions.text import first_genre
 from shelfrank.functions.vectors import cosine
 from shelfrank.operators.joins import resolve_titles
-from shelfrank.operators.ranking import hash_sample, hash_sample_per_group, n_largest, random_pairs
+from shelfrank.operators.ranking import MAX_BROADCAST_PAIRS, hash_sample, hash_sample_per_group, n_largest, random_pairs
 from shelfrank.scale import broadcast_if_small, collect_bounded, cut_lineage, join_small, top_k_per_group
 
 SIM_DECIMALS = 9
@@ -170,10 +170,13 @@ def pair_matrix(catalog: DataFrame, items: DataFrame, by: str = "score", n: int
 def random_pair_similarity(items: DataFrame, n_pairs: int, seed: int) -> DataFrame:
     """Similarity of random item pairs: ``pair_id, id_a, id_b, similarity``."""
     vectors = _with_vector(items)
-    pairs = random_pairs(vectors, n_pairs, seed)
-    left = vectors.select(F.col("item_id").alias("id_a"), F.col("embedding").alias("vector_a"))
-    right = vectors.select(F.col("item_id").alias("id_b"), F.col("embedding").alias("vector_b"))
-    joined = left.join(pairs, "id_a").join(right, "id_b")
+    pairs = broadcast_if_small(random_pairs(vectors, n_pairs, seed), MAX_BROADCAST_PAIRS)
+    drawn_ids = pairs.select(F.col("id_a").alias("item_id")).union(pairs.select("id_b")).distinct()
+    # Only vectors that were drawn take part in the joins.
+    drawn = join_small(vectors, drawn_ids, how="left_semi", max_rows=2 * MAX_BROADCAST_PAIRS)
+    left = drawn.select(F.col("item_id").alias("id_a"), F.col("embedding").alias("vector_a"))
+    right = drawn.select(F.col("item_id").alias("id_b"), F.col("embedding").alias("vector_b"))
+    joined = pairs.join(left, "id_a").join(right, "id_b")
     return joined.select("pair_id", "id_a", "id_b", F.round(cosine(F.col("vector_a"), F.col("vector_b")), SIM_DECIMALS).alias("similarity"))
 
 

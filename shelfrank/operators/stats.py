@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.text import char_count, split_list, word_count
 from shelfrank.operators.projections import any_null, is_clean_row
-from shelfrank.operators.quantiles import exact_quantiles
+from shelfrank.operators.quantiles import exact_quantiles, quantile_columns
 from shelfrank.scale import collect_bounded, salted_lookup_join
 
 MAX_TOP = 1000
@@ -185,40 +185,36 @@ def arg_max_group(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str], row_bound: int | None = None) -> DataFrame:
     """Count, mean, sample standard deviation, min, exact quartiles and max, one row per column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], row_bound=row_bound)
+    quartiles = quantile_columns(df, columns, [0.25, 0.5, 0.75], row_bound=row_bound)
     parts = [
         F.struct(
-            F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-        ).alias(c)
+            F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).cast("double").alias("min"), quartiles[c].alias("q"), F.max(c).cast("double").alias("max"),
+        )
         for c in columns
     ]
-    row = df.agg(*parts).first()
-    rows = [
-        (c, row[c]["count"], row[c]["mean"], row[c]["std"], row[c]["min"], *quartiles[c], row[c]["max"])
-        for c in columns
-    ]
-    schema = "column string, count bigint, mean double, std double, min double, q25 double, median double, q75 double, max double"
-    return _frame(df, rows, schema)
+    rows = df.agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
+    names = ("q25", "median", "q75")
+    return rows.select("column", "count", "mean", "std", "min", *[F.col("q")[i].alias(n) for i, n in enumerate(names)], "max")
 
 
 def text_stats(df: DataFrame, column: str, row_bound: int | None = None) -> DataFrame:
     """Word and character counts of a text column: mean, median, min and max."""
-    present = df.where(F.col(column).isNotNull())
-    lengths = present.select(
-        word_count(F.col(column)).alias("word_count"), char_count(F.col(column)).alias("char_count")
+    text = F.col(column)
+    lengths = df.select(
+        F.when(text.isNotNull(), word_count(text)).alias("word_count"),
+        F.when(text.isNotNull(), char_count(text)).alias("char_count"),
     )
-    total = df.agg(F.count("*")).scalar().alias("total_descriptions")
-    medians = exact_quantiles(lengths, ["word_count", "char_count"], [0.5], row_bound=row_bound)
-    figures = []
+    medians = quantile_columns(lengths, ["word_count", "char_count"], [0.5], row_bound=row_bound)
+    figures = [F.count("*").alias("total_descriptions")]
     for name in ("word_count", "char_count"):
         figures += [
             F.avg(name).alias(f"avg_{name}"),
-            F.lit(medians[name][0]).cast("double").alias(f"median_{name}"),
+            F.get(medians[name], F.lit(0)).alias(f"median_{name}"),
             F.min(name).alias(f"min_{name}"),
             F.max(name).alias(f"max_{name}"),
         ]
-    return lengths.agg(*figures).select(total, "*")
+    return lengths.agg(*figures)
 
 
 def correlation(df: DataFrame, columns: Sequence[str], upper_only: bool = False) -> DataFrame:
@@ -323,18 +319,19 @@ def per_dimension_stats(df: DataFrame, column: str = "embedding") -> DataFrame:
 
 def embedding_stats(df: DataFrame, column: str = "embedding") -> DataFrame:
     """Number of vectors, dimension, and mean, population standard deviation, min and max of all values."""
-    values = df.select(F.explode(column).alias("v")).select(F.col("v").cast("double")).agg(
-        F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
-    )
-    shape = df.agg(F.struct(F.count("*").alias("n"), F.max(F.size(column)).alias("d")).alias("s")).scalar()
-    return values.select(shape["n"].alias("count"), shape["d"].alias("dimension"), "*")
+    values = df.select(F.posexplode(column).alias("position", "v"))
+    value = F.col("v").cast("double")
+    return values.agg(
+        F.count_if(F.col("position") == 0).alias("count"), (F.max("position") + 1).alias("dimension"),
+        F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"),
+    )
 
 
 def similarity_summary(df: DataFrame, column: str = "similarity", row_bound: int | None = None) -> DataFrame:
     """Mean, exact median, population standard deviation, min and max."""
-    median = exact_quantiles(df, [column], [0.5], row_bound=row_bound)[column][0]
+    median = quantile_columns(df, [column], [0.5], row_bound=row_bound)[column]
     return df.agg(
-        F.avg(column).alias("mean"), F.lit(median).cast("double").alias("median"), F.stddev_pop(column).alias("std"),
+        F.avg(column).alias("mean"), F.get(median, F.lit(0)).alias("median"), F.stddev_pop(column).alias("std"),
         F.min(column).alias("min"), F.max(column).alias("max"),
     )
 

@@ -18,7 +18,7 @@ WEIGHTS = {"similarity": 0.6, "quality": 0.2, "cluster": 0.2}
 CANDIDATES = 50
 MIN_CLUSTER_SCORE = 0.1
 COLUMNS = ("names", "year", "final_score", "sim_score_norm", "quality_score_pred", "cluster_score")
-MAX_POOL = 100_000
+MAX_POOL = 10_000
 
 
 def semantic_candidates(
@@ -92,6 +92,8 @@ class HybridRecommender:
             candidates = candidates.withColumn("cluster_score", F.lit(0.0))
         else:
             candidates = self._scores_by_title(candidates, pool, scores)
+        # The pool is small, so its rows are fetched once for both the features and the final score.
+        candidates = broadcast_if_small(candidates, MAX_POOL)
         rated = candidates.join(self.quality(candidates), "item_id", "left")
         final = (
             weights["similarity"] * F.col("sim_score_norm")

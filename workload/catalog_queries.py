@@ -90,7 +90,7 @@ def materialized_clean(spark, sf):
 @query("partitioned_sink", CLEAN_SQL + " SELECT year, count(*) AS count FROM clean WHERE year >= 1998 GROUP BY year")
 def partitioned_sink(spark, sf):
     path = files.write_table(
-        clean(spark, sf, "year", "score").repartition("year"), shared_folder(spark, "by-year"), partition_by=["year"]
+        clean(spark, sf, "year", "score").hint("rebalance", "year"), shared_folder(spark, "by-year"), partition_by=["year"]
     )
     stored = files.scan_parquet(spark, path).where("year >= 1998")
     return stored.groupBy("year").agg(F.count(F.lit(1)).alias("count"))

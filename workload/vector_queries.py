@@ -83,63 +83,63 @@ def value_histogram(spark, sf):
 
 
 @query("similar_items", CLEAN_VEC_SQL + f""", {sql_titles(['red widget'])}, {NEAREST_SQL}
-  SELECT query, ranked.item_id, round(similarity, 6) AS similarity, rank, names, score, year, genre, overview FROM ranked JOIN clean USING (item_id) WHERE rank <= 10""")
+  SELECT query, ranked.item_id, similarity, rank, names, score, year, genre, overview FROM ranked JOIN clean USING (item_id) WHERE rank <= 10""")
 def similar_items(spark, sf):
-    return V.similar_items(clean(spark, sf, "names", "score", "year", "genre", "overview"), vectors(spark, sf), "red widget").transform(round_columns, "similarity")
+    return V.similar_items(clean(spark, sf, "names", "score", "year", "genre", "overview"), vectors(spark, sf), "red widget")
 
 
 @query("batch_similar", CLEAN_VEC_SQL + f""", {sql_titles(QUERY_TITLES)}, {NEAREST_SQL}
-  SELECT query, ranked.item_id, round(similarity, 6) AS similarity, rank, names FROM ranked JOIN clean USING (item_id) WHERE rank <= 20""")
+  SELECT query, ranked.item_id, similarity, rank, names FROM ranked JOIN clean USING (item_id) WHERE rank <= 20""")
 def batch_similar(spark, sf):
-    return V.batch_similar(clean(spark, sf, "names"), vectors(spark, sf), QUERY_TITLES, 20).transform(round_columns, "similarity")
+    return V.batch_similar(clean(spark, sf, "names"), vectors(spark, sf), QUERY_TITLES, 20)
 
 
 @query("pair_similarity", CLEAN_VEC_SQL + f""", {sql_titles(['red widget', 'BLUE'])}
-  SELECT 'red widget' AS title_a, 'BLUE' AS title_b, round(round(list_cosine_similarity(a.v, b.v), 9), 6) AS similarity
+  SELECT 'red widget' AS title_a, 'BLUE' AS title_b, round(list_cosine_similarity(a.v, b.v), 9) AS similarity
   FROM vec a, vec b WHERE a.item_id = (SELECT item_id FROM q WHERE position = 0) AND b.item_id = (SELECT item_id FROM q WHERE position = 1)""")
 def pair_similarity(spark, sf):
-    return V.pair_similarity(clean(spark, sf, "names"), vectors(spark, sf), "red widget", "BLUE").transform(round_columns, "similarity")
+    return V.pair_similarity(clean(spark, sf, "names"), vectors(spark, sf), "red widget", "BLUE")
 
 
 @query("pair_matrix", CLEAN_VEC_SQL + """, top AS (SELECT item_id, v FROM clean JOIN vec USING (item_id) ORDER BY score DESC, item_id LIMIT 20)
-  SELECT a.item_id AS id_a, b.item_id AS id_b, round(round(list_cosine_similarity(a.v, b.v), 9), 6) AS similarity FROM top a, top b""")
+  SELECT a.item_id AS id_a, b.item_id AS id_b, round(list_cosine_similarity(a.v, b.v), 9) AS similarity FROM top a, top b""")
 def pair_matrix(spark, sf):
-    return V.pair_matrix(clean(spark, sf, "score"), vectors(spark, sf)).transform(round_columns, "similarity")
+    return V.pair_matrix(clean(spark, sf, "score"), vectors(spark, sf))
 
 
 @query("vector_query_topk", VEC_SQL + """, mean AS (
   SELECT list(m ORDER BY i) AS c FROM (SELECT i, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM vec) GROUP BY i))
-  SELECT item_id, round(round(list_cosine_similarity(v, c), 9), 6) AS similarity, row_number() OVER (ORDER BY round(list_cosine_similarity(v, c), 9) DESC, item_id) AS rank
+  SELECT item_id, round(list_cosine_similarity(v, c), 9) AS similarity, row_number() OVER (ORDER BY round(list_cosine_similarity(v, c), 9) DESC, item_id) AS rank
   FROM vec, mean ORDER BY rank LIMIT 15""")
 def vector_query_topk(spark, sf):
     """Items closest to the mean vector; the query is no item, so nothing is skipped."""
     items = vectors(spark, sf)
     means = S.per_dimension_stats(items).orderBy("dimension").limit(DIMENSION).collect()
     ranked = V.nearest(items, [V.Query("mean", [r["mean"] for r in means])], 15)
-    return ranked.select("item_id", rounded("similarity"), "rank")
+    return ranked.select("item_id", "similarity", "rank")
 
 
 @query("all_pairs_topk", VEC_SQL + """, sims AS (SELECT a.item_id AS id_a, b.item_id AS id_b, round(list_cosine_similarity(a.v, b.v), 9) AS similarity FROM vec a JOIN vec b ON a.item_id <> b.item_id),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY similarity DESC, id_b) AS rank FROM sims)
-  SELECT id_a, id_b, round(similarity, 6) AS similarity, rank FROM ranked WHERE rank <= 10""")
+  SELECT id_a, id_b, similarity, rank FROM ranked WHERE rank <= 10""")
 def all_pairs_topk(spark, sf):
-    return V.all_pairs_top_k(vectors(spark, sf), 10).transform(round_columns, "similarity")
+    return V.all_pairs_top_k(vectors(spark, sf), 10)
 
 
 @query("random_pair_similarity", VEC_SQL + f""", indexed AS (SELECT item_id, v, row_number() OVER (ORDER BY item_id) - 1 AS i FROM vec),
   drawn AS (SELECT pair_id, {sql_draw('a', SEED)} % (SELECT count(*) FROM vec) AS a, {sql_draw('b', SEED)} % (SELECT count(*) FROM vec) AS b FROM range(10000) t(pair_id))
-  SELECT pair_id, x.item_id AS id_a, y.item_id AS id_b, round(round(list_cosine_similarity(x.v, y.v), 9), 6) AS similarity FROM drawn JOIN indexed x ON x.i = a JOIN indexed y ON y.i = b""")
+  SELECT pair_id, x.item_id AS id_a, y.item_id AS id_b, round(list_cosine_similarity(x.v, y.v), 9) AS similarity FROM drawn JOIN indexed x ON x.i = a JOIN indexed y ON y.i = b""")
 def random_pair_similarity(spark, sf):
-    return V.random_pair_similarity(vectors(spark, sf), 10_000, SEED).transform(round_columns, "similarity")
+    return V.random_pair_similarity(vectors(spark, sf), 10_000, SEED)
 
 
 @query("similarity_distribution", VEC_SQL + f""", indexed AS (SELECT item_id, v, row_number() OVER (ORDER BY item_id) - 1 AS i FROM vec),
   drawn AS (SELECT pair_id, {sql_draw('a', SEED)} % (SELECT count(*) FROM vec) AS a, {sql_draw('b', SEED)} % (SELECT count(*) FROM vec) AS b FROM range(10000) t(pair_id)),
   sims AS (SELECT round(list_cosine_similarity(x.v, y.v), 9) AS s FROM drawn JOIN indexed x ON x.i = a JOIN indexed y ON y.i = b)
-  SELECT round(avg(s), 6) AS mean, round(quantile_cont(s, 0.5), 6) AS median, round(stddev_pop(s), 6) AS std, round(min(s), 6) AS min, round(max(s), 6) AS max FROM sims""")
+  SELECT round(avg(s), 6) AS mean, round(quantile_cont(s, 0.5), 6) AS median, round(stddev_pop(s), 6) AS std, min(s) AS min, max(s) AS max FROM sims""")
 def similarity_distribution(spark, sf):
     pairs = V.random_pair_similarity(vectors(spark, sf), 10_000, SEED)
-    return S.similarity_summary(pairs, row_bound=10_000).transform(round_columns, "mean", "median", "std", "min", "max")
+    return S.similarity_summary(pairs, row_bound=10_000).transform(round_columns, "mean", "median", "std")
 
 
 @query("within_across_similarity", VEC_SQL + f""", h AS (SELECT item_id, v, CAST(label AS VARCHAR) AS genre, substr(md5(item_id || '-{SEED}'), 1, 15) AS h FROM vec),
@@ -171,10 +171,10 @@ def genre_overlap(spark, sf):
 
 @query("franchise_rank", CLEAN_VEC_SQL + f""", {sql_titles(QUERY_TITLES)}, {NEAREST_SQL},
   hit AS (SELECT query, rank, names, similarity, row_number() OVER (PARTITION BY query ORDER BY rank) AS n FROM ranked JOIN clean USING (item_id) WHERE rank <= 10 AND contains(lower(names), 'ring'))
-  SELECT query, rank, names, round(similarity, 6) AS similarity, CASE WHEN similarity > 0.8 THEN 'excellent' WHEN similarity > 0.7 THEN 'good' ELSE 'moderate' END AS tier FROM hit WHERE n = 1""")
+  SELECT query, rank, names, similarity, CASE WHEN similarity > 0.8 THEN 'excellent' WHEN similarity > 0.7 THEN 'good' ELSE 'moderate' END AS tier FROM hit WHERE n = 1""")
 def franchise_rank(spark, sf):
     recommended = V.batch_similar(clean(spark, sf, "names"), vectors(spark, sf), QUERY_TITLES)
-    return R.rank_of_matches(recommended, "ring").transform(round_columns, "similarity")
+    return R.rank_of_matches(recommended, "ring")
 
 
 @query("aligned_items", CLEAN_VEC_SQL + " SELECT item_id, names, CAST(len(v) AS INTEGER) AS dimension FROM clean JOIN vec USING (item_id)")
@@ -245,12 +245,12 @@ def cluster_sizes(spark, sf):
 @query("cluster_report", CLEAN_VEC_SQL + f""", {CENTROIDS_SQL}, {REFS_SQL}, {SCORES_SQL},
   listed AS (SELECT *, 'reference' AS role FROM scores WHERE item_id IN (SELECT item_id FROM refs)
     UNION ALL (SELECT *, 'recommended' FROM scores WHERE item_id NOT IN (SELECT item_id FROM refs) ORDER BY round(cluster_score, 9) DESC, item_id LIMIT 10))
-  SELECT item_id, role, cluster_id, round(round(cluster_score, 9), 6) AS cluster_score, names, year, score, budget_x, revenue FROM listed LEFT JOIN clean USING (item_id)""")
+  SELECT item_id, role, cluster_id, round(cluster_score, 9) AS cluster_score, names, year, score, budget_x, revenue FROM listed LEFT JOIN clean USING (item_id)""")
 def cluster_report(spark, sf):
     assigned = labelled(spark, sf)
     scores = K.cluster_scores(assigned, K.mean_centroids(assigned), references(spark))
     catalog = clean(spark, sf, "names", "year", "score", "budget_x", "revenue")
-    return K.cluster_report(scores.transform(round_columns, "cluster_score", digits=9), catalog, references(spark)).transform(round_columns, "cluster_score")
+    return K.cluster_report(scores.transform(round_columns, "cluster_score", digits=9), catalog, references(spark))
 
 
 @query("centroids", VEC_SQL + f", {CENTROIDS_SQL} SELECT cluster_id, unnest([0, 1, 2, 63]) AS position, round(unnest([c[1], c[2], c[3], c[64]]), 6) AS value FROM centroids")
@@ -305,14 +305,14 @@ def recommender(spark, sf, quality=None):
     return H.HybridRecommender(catalog, vectors(spark, sf), quality or fixed, assigned, K.mean_centroids(assigned))
 
 
-@query("hybrid_recommend", HYBRID_SQL + """ SELECT item_id, names, year, round(final_score, 6) AS final_score, round(sim_score_norm, 6) AS sim_score_norm,
-  quality_score_pred, round(cluster_score, 6) AS cluster_score FROM final ORDER BY round(final_score, 9) DESC, item_id LIMIT 10""")
+@query("hybrid_recommend", HYBRID_SQL + """ SELECT item_id, names, year, round(final_score, 9) AS final_score, round(sim_score_norm, 9) AS sim_score_norm,
+  quality_score_pred, round(cluster_score, 9) AS cluster_score FROM final ORDER BY round(final_score, 9) DESC, item_id LIMIT 10""")
 def hybrid_recommend(spark, sf):
-    return round_columns(recommender(spark, sf).recommend(HYBRID_TITLES), "final_score", "sim_score_norm", "cluster_score")
+    return round_columns(recommender(spark, sf).recommend(HYBRID_TITLES), "final_score", "sim_score_norm", "cluster_score", digits=9)
 
 
-@query("score_breakdown", HYBRID_SQL + """ SELECT item_id, names, round(final_score, 6) AS final_score, round(sim_score_norm * 0.6, 6) AS similarity_part,
-  round(quality_score_pred * 0.2, 6) AS quality_part, round(cluster_score * 0.2, 6) AS cluster_part FROM final ORDER BY round(final_score, 9) DESC, item_id LIMIT 5""")
+@query("score_breakdown", HYBRID_SQL + """ SELECT item_id, names, round(final_score, 9) AS final_score, round(sim_score_norm * 0.6, 9) AS similarity_part,
+  round(quality_score_pred * 0.2, 9) AS quality_part, round(cluster_score * 0.2, 9) AS cluster_part FROM final ORDER BY round(final_score, 9) DESC, item_id LIMIT 5""")
 def score_breakdown(spark, sf):
     ranked = recommender(spark, sf).recommend(HYBRID_TITLES)
-    return round_columns(H.score_breakdown(ranked), "final_score", "similarity_part", "quality_part", "cluster_part")
+    return round_columns(H.score_breakdown(ranked), "final_score", "similarity_part", "quality_part", "cluster_part", digits=9)
