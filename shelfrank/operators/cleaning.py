@@ -23,7 +23,12 @@ def present(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def drop_missing_target(df: DataFrame, target: str = "score") -> DataFrame:
-    return df.dropna(subset=[target])
+    """Rows with a target; the null test is written out because it can be moved to the scan."""
+    column = F.col(target)
+    kept = column.isNotNull()
+    if isinstance(df.schema[target].dataType, T.FractionalType):
+        kept = kept & ~F.isnan(column)
+    return df.where(kept)
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:
