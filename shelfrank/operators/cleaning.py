@@ -35,7 +35,9 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame
     """Text that is not a number becomes NULL; numeric columns become DOUBLE without NaN."""
     def typed(name: str):
         column = F.col(name)
-        return to_number(column) if isinstance(df.schema[name].dataType, T.StringType) else column.cast("double")
+        if isinstance(df.schema[name].dataType, T.StringType):
+            return to_number(column)
+        return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
 
     return df.withColumns({name: typed(name) for name in present(df, columns)})
 

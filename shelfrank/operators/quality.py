@@ -6,9 +6,10 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from functools import reduce
-from math import ceil, floor
+from math import ceil
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
@@ -367,18 +368,32 @@ def _fold_table(matrix: DataFrame, state: FeatureState, folds: int) -> DataFrame
     return scaled.select("item_id", "features", "label").withColumn("_fold", fold_of("item_id", folds)).persist()
 
 
+def _fit_all(tasks: Sequence[tuple], parallelism: int) -> list[tuple]:
+    """Metrics of independent fits ``(labels, rows, estimator, fold)``, several Spark jobs at a time."""
+    def run(task):
+        labels, rows, estimator, fold = task
+        return [(*labels, *values) for values in _fold_metrics(rows, estimator, fold)]
+
+    with ThreadPool(parallelism) as pool:
+        return [row for rows in pool.map(inheritable_thread_target(tasks[0][1].sparkSession)(run), tasks) for row in rows]
+
+
 def cv_report(
-    matrix: DataFrame, state: FeatureState, kinds: Mapping[str, Mapping] | Sequence[str], folds: int = 5
+    matrix: DataFrame,
+    state: FeatureState,
+    kinds: Mapping[str, Mapping] | Sequence[str],
+    folds: int = 5,
+    parallelism: int = 4,
 ) -> DataFrame:
     """R² and RMSE of every model, fold and side: ``model, fold, set, r2, rmse``."""
     scaled = _fold_table(matrix, state, folds)
     settings = kinds if isinstance(kinds, Mapping) else {kind: {} for kind in kinds}
-    rows = [
-        (kind, fold, *values)
+    tasks = [
+        ((kind, fold), scaled, make_regressor(kind, **options), fold)
         for kind, options in settings.items()
         for fold in range(folds)
-        for values in _fold_metrics(scaled, make_regressor(kind, **options), fold)
     ]
+    rows = _fit_all(tasks, parallelism)
     scaled.unpersist()
     return matrix.sparkSession.createDataFrame(rows, "model string, fold int, set string, r2 double, rmse double")
 
@@ -396,14 +411,21 @@ def learning_curve(
     kind: str,
     fractions: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0),
     folds: int = 5,
+    parallelism: int = 4,
     **settings,
 ) -> DataFrame:
     """Mean and spread of R² as the training part grows: nested subsets by hashed key."""
     scaled = _fold_table(matrix, state, folds).withColumn("_share", hash60("item_id", F.lit("curve")) / float(1 << 60))
-    rows = []
-    for fraction in fractions:
-        for fold in range(folds):
-            chosen = scaled.where((F.col("_fold") == fold) | (F.col("_share") <= fraction))
-            rows += [(fraction, fold, *v) for v in _fold_metrics(chosen, make_regressor(kind, **settings), fold)]
+    tasks = [
+        (
+            (fraction, fold),
+            scaled.where((F.col("_fold") == fold) | (F.col("_share") <= fraction)),
+            make_regressor(kind, **settings),
+            fold,
+        )
+        for fraction in fractions
+        for fold in range(folds)
+    ]
+    rows = _fit_all(tasks, parallelism)
     table = matrix.sparkSession.createDataFrame(rows, "fraction double, fold int, set string, r2 double, rmse double")
     return table.groupBy("fraction", "set").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"))

@@ -101,6 +101,12 @@ def forest_fit(spark, sf):
     return report.transform(round_columns, "rmse", "mae", "r2")
 
 
+@query("compare_models")
+def compare_models(spark, sf):
+    best, table = Q.compare_models(*matrix(spark, sf), ("linear", "ridge"))
+    return table.withColumn("best", F.col("model") == best).transform(round_columns, "rmse", "mae", "r2")
+
+
 @query("importance_topn")
 def importance_topn(spark, sf):
     return Q.train(*matrix(spark, sf), "random_forest", **SMALL_FOREST).importances(20)

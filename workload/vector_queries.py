@@ -269,6 +269,16 @@ def euclidean_silhouette(spark, sf):
     return K.euclidean_silhouette(labelled(spark, sf)).transform(round_columns, "silhouette")
 
 
+@query("squared_silhouette", VEC_SQL + """, sizes AS (SELECT label, count(*) AS n FROM vec GROUP BY label),
+  d AS (SELECT a.item_id, a.label AS own, b.label AS other, sum(pow(list_distance(a.v, b.v), 2)) AS s FROM vec a, vec b GROUP BY 1, 2, 3),
+  ab AS (SELECT item_id, max(CASE WHEN own = other THEN n END) AS n, max(CASE WHEN own = other THEN s / nullif(n - 1, 0) END) AS a,
+    min(CASE WHEN own <> other THEN s / n END) AS b FROM d JOIN sizes ON sizes.label = d.other GROUP BY item_id)
+  SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END), 6) AS silhouette FROM ab""")
+def squared_silhouette(spark, sf):
+    value = K.silhouette(labelled(spark, sf))
+    return spark.createDataFrame([(value,)], "silhouette double").transform(round_columns, "silhouette")
+
+
 @query("kmeans_assign")
 def kmeans_assign(spark, sf):
     clusterer = K.ItemClusterer().fit(clean(spark, sf, "year", "score", "budget_x", "revenue"))
