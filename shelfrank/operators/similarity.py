@@ -69,6 +69,22 @@ def best_rows(similarities: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return positions[order]
 
 
+def best_per_row(
+    similarities: np.ndarray, row_ids: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column positions of the ``k`` best entries of every row, without the row's own item; ties by id."""
+    similarities[row_ids[:, None] == ids[None, :]] = -np.inf
+    wanted = similarities > -np.inf
+    width = similarities.shape[1]
+    if width > k:
+        wanted &= similarities >= np.partition(similarities, width - k, axis=1)[:, width - k, None]
+    rows, columns = np.nonzero(wanted)
+    order = np.lexsort((ids[columns], -similarities[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    position = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+    return rows[position < k], columns[position < k]
+
+
 def _with_vector(items: DataFrame) -> DataFrame:
     return items.where(F.col("embedding").isNotNull()).select("item_id", "embedding")
 
@@ -288,13 +304,11 @@ def all_pairs_top_k(
             unit_left, unit_right = unit_rows(left.column("embedding")), unit_rows(right.column("held_embedding"))
             for at in range(0, len(left_ids), QUERY_CHUNK):
                 sims = np.round(unit_left[at : at + QUERY_CHUNK] @ unit_right.T, SIM_DECIMALS)
-                for i, row in enumerate(sims):
-                    me = left_ids[at + i]
-                    usable = np.flatnonzero(right_ids != me)
-                    best = usable[best_rows(row[usable], right_ids[usable], k)]
-                    out_a.append(np.full(len(best), me))
-                    out_b.append(right_ids[best])
-                    out_s.append(row[best])
+                asking_ids = left_ids[at : at + QUERY_CHUNK]
+                rows, columns = best_per_row(sims, asking_ids, right_ids, k)
+                out_a.append(asking_ids[rows])
+                out_b.append(right_ids[columns])
+                out_s.append(sims[rows, columns])
         empty = [np.empty(0)]
         return pa.table(
             {
