@@ -75,12 +75,16 @@ def genre_list(genre: Column) -> Column:
 
 def genre_names(genre: Column) -> Column:
     """Names from either a comma list or a list-of-dicts literal; blanks and ``Unknown`` carry no name."""
-    literal = F.when(F.ltrim(genre).startswith("["), F.regexp_replace(genre, r"\bNone\b", "null"))
+    literal = F.when(F.ltrim(genre).startswith("["), genre)
+    for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
+        literal = F.regexp_replace(literal, rf":\s*{word}\b", f": {value}")
     parsed = F.from_json(literal, "array<struct<name:string>>")
+    other_list = F.from_json(literal, "array<string>").isNotNull()
     from_literal = F.filter(F.transform(parsed, lambda entry: strip(entry["name"])), lambda name: name != "")
     from_commas = F.filter(split_list(genre), lambda name: (name != "") & (name != UNKNOWN))
     empty = F.array().cast("array<string>")
-    return F.when(genre.isNull() | genre.isin("", UNKNOWN), empty).otherwise(F.coalesce(from_literal, from_commas))
+    nameless = genre.isNull() | genre.isin("", UNKNOWN) | (parsed.isNull() & other_list)
+    return F.when(nameless, empty).otherwise(F.coalesce(from_literal, from_commas))
 
 
 def genre_text(genre: Column) -> Column:

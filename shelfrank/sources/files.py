@@ -57,7 +57,9 @@ def scan_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = df.write.option("header", True).option("quote", '"').option("escape", '"')
+    # The writer trims values unless told otherwise.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 

@@ -46,6 +46,9 @@ GENRES = [
     ("[{'id': 18, 'name': 'Drama'}, {'id': 2, 'name': ' War '}]", ["Drama", "War"]),
     ("[{'id': None, 'name': 'Drama'}]", ["Drama"]),
     ("[{'id': 1, 'name': \"Kids' TV\"}, {'id': 2}]", ["Kids' TV"]),
+    ("[{'name': 'None: a True story', 'adult': False, 'id': None}]", ["None: a True story"]),
+    ("[1, 2]", []),
+    ("[broken", ["[broken"]),
     ("1917", ["1917"]),
     ("[]", []),
     ("Unknown", []),

@@ -24,7 +24,7 @@ DIMENSION = 64
 NEAREST_SQL = """sims AS (
   SELECT q.query, v.item_id, round(list_cosine_similarity(own.v, v.v), 9) AS similarity
   FROM q JOIN vec own ON own.item_id = q.item_id JOIN vec v ON v.item_id <> q.item_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, item_id) AS rank FROM sims)"""
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY similarity DESC, item_id) AS INTEGER) AS rank FROM sims)"""
 
 
 def sql_titles(titles) -> str:
@@ -109,7 +109,7 @@ def pair_matrix(spark, sf):
 
 @query("vector_query_topk", VEC_SQL + """, mean AS (
   SELECT list(m ORDER BY i) AS c FROM (SELECT i, avg(x) AS m FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS i FROM vec) GROUP BY i))
-  SELECT item_id, round(list_cosine_similarity(v, c), 9) AS similarity, row_number() OVER (ORDER BY round(list_cosine_similarity(v, c), 9) DESC, item_id) AS rank
+  SELECT item_id, round(list_cosine_similarity(v, c), 9) AS similarity, CAST(row_number() OVER (ORDER BY round(list_cosine_similarity(v, c), 9) DESC, item_id) AS INTEGER) AS rank
   FROM vec, mean ORDER BY rank LIMIT 15""")
 def vector_query_topk(spark, sf):
     """Items closest to the mean vector; the query is no item, so nothing is skipped."""
@@ -120,7 +120,7 @@ def vector_query_topk(spark, sf):
 
 
 @query("all_pairs_topk", VEC_SQL + """, sims AS (SELECT a.item_id AS id_a, b.item_id AS id_b, round(list_cosine_similarity(a.v, b.v), 9) AS similarity FROM vec a JOIN vec b ON a.item_id <> b.item_id),
-  ranked AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY similarity DESC, id_b) AS rank FROM sims)
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY id_a ORDER BY similarity DESC, id_b) AS INTEGER) AS rank FROM sims)
   SELECT id_a, id_b, similarity, rank FROM ranked WHERE rank <= 10""")
 def all_pairs_topk(spark, sf):
     return V.all_pairs_top_k(vectors(spark, sf), 10)
