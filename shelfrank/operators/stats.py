@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfrank.functions.text import char_count, split_list, word_count
 from shelfrank.operators.projections import any_null, is_clean_row
 from shelfrank.operators.quantiles import exact_quantiles, quantile_columns
-from shelfrank.scale import collect_bounded, salted_lookup_join
+from shelfrank.scale import collect_bounded, cut_lineage, salted_lookup_join
 
 MAX_TOP = 1000
 
@@ -34,20 +34,24 @@ def _frame(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 # Counts and shares
 
 
+def _dataset_figures(df: DataFrame) -> dict[str, Column]:
+    return {
+        "total_items": F.count("*"),
+        "total_columns": F.lit(len(df.columns)).cast("bigint"),
+        "score_mean": F.avg("score"),
+        "score_std": F.stddev_samp("score"),
+        "score_min": F.min("score"),
+        "score_max": F.max("score"),
+        "missing_budget": F.count_if(F.col("budget_x").isNull()),
+        "missing_revenue": F.count_if(F.col("revenue").isNull()),
+        "year_min": F.min("year"),
+        "year_max": F.max("year"),
+    }
+
+
 def dataset_stats(df: DataFrame) -> DataFrame:
     """Size, score summary, missing amounts and year range in one row."""
-    return df.agg(
-        F.count("*").alias("total_items"),
-        F.lit(len(df.columns)).cast("bigint").alias("total_columns"),
-        F.avg("score").alias("score_mean"),
-        F.stddev_samp("score").alias("score_std"),
-        F.min("score").alias("score_min"),
-        F.max("score").alias("score_max"),
-        F.count_if(F.col("budget_x").isNull()).alias("missing_budget"),
-        F.count_if(F.col("revenue").isNull()).alias("missing_revenue"),
-        F.min("year").alias("year_min"),
-        F.max("year").alias("year_max"),
-    )
+    return df.agg(*[figure.alias(name) for name, figure in _dataset_figures(df).items()])
 
 
 def duplicate_titles(df: DataFrame, column: str = "names") -> DataFrame:
@@ -340,31 +344,55 @@ def similarity_summary(df: DataFrame, column: str = "similarity", row_bound: int
 
 
 def stats_report(df: DataFrame, detailed: bool = True, top_genres: int = 5, top_categories: int = 3) -> DataFrame:
-    """All profile figures as ``(section, metric, value)`` rows."""
-    basic = dataset_stats(df)
-    blocks = [("basic", long_form(basic, basic.columns))]
+    """All profile figures as ``(section, metric, value)`` rows.
+
+    Two passes over the data: one aggregate for every single figure, one for the counts of all titles, genres and categories.
+    """
+    sections = {"basic": _dataset_figures(df)}
     if detailed:
-        for section, figures in (
-            ("duplicates", duplicate_titles(df)),
-            ("nulls", rows_with_any_null(df)),
-            ("quality", clean_rows(df)),
-        ):
-            blocks.append((section, long_form(figures, figures.columns)))
-        zeros = zero_counts(df).select(F.concat(F.col("column"), F.lit("_zero")).alias("metric"), F.col("zeros").cast("double").alias("value"))
-        blocks.append(("quality", zeros))
-        nulls = null_counts(df).select(F.col("column").alias("metric"), F.col("nulls").cast("double").alias("value"))
-        blocks.append(("nulls_per_column", nulls))
-        counted = [("genre", list_value_counts(df), top_genres)]
-        counted += [(c, value_counts(df, c, c), top_categories) for c in ("orig_lang", "country") if c in df.columns]
-        for name, counts, n in counted:
-            top = top_counts(counts, name, n)
-            blocks.append((f"top_{name}", top.select(F.col(name).alias("metric"), F.col("count").cast("double").alias("value"))))
-            distinct = distinct_values(counts)
-            blocks.append((f"distinct_{name}", long_form(distinct, distinct.columns)))
-    parts = [block.select(F.lit(section).alias("section"), "metric", "value") for section, block in blocks]
+        good = F.count_if(is_clean_row(df.columns))
+        zeros = {f"{c}_zero": F.count_if(F.col(c) == 0) for c in ("budget_x", "revenue", "score")}
+        sections["nulls"] = {"rows_with_any_null": F.count_if(any_null(df.columns))}
+        sections["quality"] = {
+            "clean_items": good, "clean_percentage": F.try_divide(good * 100.0, F.count("*")), **zeros
+        }
+        sections["nulls_per_column"] = {c: F.count_if(F.col(c).isNull()) for c in df.columns}
+    entries = [
+        F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), figure.cast("double").alias("value"))
+        for section, figures in sections.items()
+        for metric, figure in figures.items()
+    ]
+    report = df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
+    if not detailed:
+        return report
+    limits = {"genre": top_genres, "orig_lang": top_categories, "country": top_categories}
+    limits = {name: n for name, n in limits.items() if name in df.columns}
+    counts = cut_lineage(tagged_counts(df, ["names", *limits]), "value-counts")
+    repeated = counts.where((F.col("kind") == "names") & (F.col("count") > 1)).agg(
+        F.count("*").alias("duplicate_titles"), F.coalesce(F.sum("count"), F.lit(0)).alias("duplicate_title_rows")
+    )
+    parts = [report, long_form(repeated, repeated.columns).withColumn("section", F.lit("duplicates"))]
+    for name, n in limits.items():
+        own = counts.where(F.col("kind") == name)
+        value = F.col("count").cast("double").alias("value")
+        top = top_counts(own, "entry", n)
+        parts.append(top.select(F.lit(f"top_{name}").alias("section"), F.col("entry").alias("metric"), value))
+        distinct = distinct_values(own)
+        parts.append(long_form(distinct, distinct.columns).withColumn("section", F.lit(f"distinct_{name}")))
     return reduce(DataFrame.unionByName, parts)
 
 
+def tagged_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows per value of several columns at once, as ``(kind, entry, count)``; genres are split."""
+    def tagged(name: str) -> Column:
+        entries = split_list(F.col(name)) if name == "genre" else F.array(F.col(name))
+        structs = F.transform(entries, lambda e: F.struct(F.lit(name).alias("kind"), e.alias("entry")))
+        return F.when(F.col(name).isNotNull(), structs).otherwise(F.array().cast("array<struct<kind:string,entry:string>>"))
+
+    values = df.select(F.inline(F.concat(*[tagged(name) for name in names])))
+    return values.groupBy("kind", "entry").agg(F.count("*").alias("count"))
+
+
 def collect_top(counts: DataFrame, name: str, n: int) -> list[str]:
     """The ``n`` most frequent values as a list; ``n`` is capped by contract."""
     if n > MAX_TOP:

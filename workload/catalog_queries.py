@@ -16,7 +16,7 @@ from shelfrank.operators import projections as P
 from shelfrank.operators import ranking as R
 from shelfrank.operators import stats as S
 from shelfrank.operators.text_prep import combined_text, preprocess_descriptions
-from shelfrank.scale import shared_folder
+from shelfrank.scale import cut_lineage, shared_folder
 from shelfrank.sources import files
 from shelfrank.sources.demo_catalog import table
 from workload.registry import (
@@ -522,12 +522,13 @@ def genre_frequency(spark, sf):
     f""" (SELECT '{c}' AS category, {c} AS value, count(*) AS count, (SELECT count(DISTINCT {c}) FROM clean) AS distinct_values
     FROM clean GROUP BY {c} ORDER BY count DESC, value LIMIT 10)""" for c in ("orig_lang", "country")))
 def top_categories(spark, sf):
-    cleaned = clean(spark, sf, "orig_lang", "country")
+    names = ["orig_lang", "country"]
+    counts = cut_lineage(S.tagged_counts(clean(spark, sf, *names), names), "category-counts")
     parts = []
-    for name in ("orig_lang", "country"):
-        counts = S.value_counts(cleaned, name, "value")
-        distinct = S.distinct_values(counts).scalar().alias("distinct_values")
-        parts.append(S.top_counts(counts, "value", 10).select(F.lit(name).alias("category"), "value", "count", distinct))
+    for name in names:
+        own = counts.where(F.col("kind") == name).select(F.col("kind").alias("category"), F.col("entry").alias("value"), "count")
+        distinct = S.distinct_values(own).scalar().alias("distinct_values")
+        parts.append(S.top_counts(own, "value", 10).select("category", "value", "count", distinct))
     return reduce(DataFrame.unionByName, parts)
 
 
