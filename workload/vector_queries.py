@@ -15,8 +15,8 @@ from shelfrank.plans import hybrid as H
 from shelfrank.plans.semantic_index import build_index
 from shelfrank.scale import shared_folder
 from shelfrank.sources import vectors as store
-from workload.catalog_queries import documents, sql_draw, sql_genres, sql_resolve
-from workload.registry import CLEAN_SQL, CLEAN_VEC_SQL, SEED, VEC_SQL, clean, query, raw, round_columns, rounded, vectors
+from workload.catalog_queries import documents, sql_draw, sql_resolve
+from workload.registry import CLEAN_VEC_SQL, SEED, VEC_SQL, clean, query, round_columns, rounded, vectors
 
 QUERY_TITLES = ["red widget", "BLUE", "cold plate"]
 DIMENSION = 64
