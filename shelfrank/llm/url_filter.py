@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +104,20 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _judge_with(shared: Broadcast):
+    @F.pandas_udf("struct<size int, host_size int, blocks boolean, rule string, verdict string>")
+    def judge(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        trie = shared.value
+        for hosts, paths in parts:
+            best = [trie.longest(h, p) for h, p in zip(hosts, paths, strict=True)]
+            yield pd.DataFrame(
+                [(len(r.text), len(r.host), r.verdict == "block", r.text, r.verdict) if r else (-1, -1, False, None, None) for r in best],
+                columns=["size", "host_size", "blocks", "rule", "verdict"],
+            )
+
+    return judge
+
+
 def filter_urls(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -126,18 +141,7 @@ def filter_urls(
     found = []
     for start in range(0, len(ordered), max_rules):
         shared = spark.sparkContext.broadcast(UrlTrie(ordered[start : start + max_rules]))
-
-        @F.pandas_udf("struct<size int, host_size int, blocks boolean, rule string, verdict string>")
-        def judge(parts: Iterator[tuple[pd.Series, pd.Series]], shared=shared) -> Iterator[pd.DataFrame]:
-            trie = shared.value
-            for hosts, paths in parts:
-                best = [trie.longest(h, p) for h, p in zip(hosts, paths, strict=True)]
-                yield pd.DataFrame(
-                    [(len(r.text), len(r.host), r.verdict == "block", r.text, r.verdict) if r else (-1, -1, False, None, None) for r in best],
-                    columns=["size", "host_size", "blocks", "rule", "verdict"],
-                )
-
-        found.append(judge("host", "path"))
+        found.append(_judge_with(shared)("host", "path"))
     if not found:
         return pages.select(id_col, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     best = found[0] if len(found) == 1 else F.greatest(*found)
