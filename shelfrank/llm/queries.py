@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shelfrank.llm.bpe import encode_documents
 from shelfrank.llm.common import table
 from shelfrank.llm.registry import query
+from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
 from shelfrank.llm.sharding import balanced_shards
 from shelfrank.llm.url_filter import Rule, filter_urls
 
@@ -35,6 +36,63 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 """
 
 
+SECRET_SQL = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+patterns AS (SELECT
+  '([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS pa,
+  'AKIA[A-Z0-9]+' AS pk, '[0-9a-f]{32,}' AS ph, '[A-Za-z0-9+/_-]{20,}' AS pc),
+found AS (
+  SELECT doc_id, t, 0 AS kind, string_split_regex(t, pa) AS gaps, regexp_extract_all(t, pa) AS hits, regexp_extract_all(t, pa, 2) AS cores
+  FROM docs, patterns WHERE regexp_matches(t, pa)
+  UNION ALL SELECT doc_id, t, 1, string_split_regex(t, pk), regexp_extract_all(t, pk), regexp_extract_all(t, pk) FROM docs, patterns WHERE regexp_matches(t, pk)
+  UNION ALL SELECT doc_id, t, 2, string_split_regex(t, ph), regexp_extract_all(t, ph), regexp_extract_all(t, ph) FROM docs, patterns WHERE regexp_matches(t, ph)
+  UNION ALL SELECT doc_id, t, 3, string_split_regex(t, pc), regexp_extract_all(t, pc), regexp_extract_all(t, pc) FROM docs, patterns WHERE regexp_matches(t, pc)),
+placed AS (
+  SELECT doc_id, kind, hits[i] AS hit, length(cores[i]) AS core,
+    CAST(list_sum([length(x) FOR x IN gaps[1:i]]) + coalesce(list_sum([length(x) FOR x IN hits[1:i - 1]]), 0) AS BIGINT) AS a
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found)),
+spans AS (SELECT doc_id, kind, hit, a, a + length(hit) AS z FROM placed
+  WHERE kind = 3 OR kind = 2 OR (kind = 1 AND core >= 16) OR (kind = 0 AND core >= 8)),
+windows AS (
+  SELECT doc_id, a, z, hit, substr(hit, CAST(j AS BIGINT), 20) AS w
+  FROM (SELECT *, unnest(range(1, length(hit) - 18)) AS j FROM spans WHERE kind = 3
+    AND NOT regexp_matches(hit, '^[A-Za-z+/_-]+$') AND NOT regexp_matches(hit, '^[0-9+/_-]+$')
+    AND NOT regexp_matches(hit, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
+    AND NOT regexp_matches(hit, '(?:[A-Za-z]{2,}[+/_-][0-9]{1,8}[+/_-]){2}')
+    AND NOT regexp_matches(hit, '[Ee]xample|EXAMPLE|[Pp]laceholder|PLACEHOLDER|01234567|12345678|abcdefgh|ABCDEFGH|[xX]{6}'))),
+weights AS (
+  SELECT doc_id, a, z, w, list_sum([CAST(round(c * log2(c) * 1000000) AS BIGINT) FOR c IN
+    [20 - length(replace(w, x, '')) FOR x IN list_distinct(string_split(w, ''))]]) AS s FROM windows),
+random AS (
+  SELECT DISTINCT doc_id, 3 AS kind, a, z FROM weights
+  WHERE s <= floor(20 * (log2(20) - 3.75) * 1000000) OR (NOT regexp_matches(w, '[^0-9a-fA-F]') AND s <= floor(20 * (log2(20) - 3.0) * 1000000))),
+base AS (SELECT doc_id, kind, a, z FROM spans WHERE kind < 3),
+everything AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM random r WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.a < r.z AND b.z > r.a)),
+named AS (SELECT *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || a || ':' || z AS name FROM everything),
+summed AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    count(*) FILTER (kind = 3) AS n_entropy, coalesce(string_agg(name, ',' ORDER BY a, kind) FILTER (kind < 3), '') AS base,
+    string_agg(name, ',' ORDER BY a, kind) AS spans FROM named GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  coalesce(n_entropy, 0) AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN summed USING (doc_id)
+"""
+
+
+@query("op2_secret_scan", SECRET_SQL)
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s["kind"] < KINDS.index("entropy"))
+    return found.select(
+        "doc_id",
+        *[count_of(F.col("secrets"), kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("secrets")).alias("spans"),
+    )
+
+
 @query("op7_url_filter", URL_SQL)
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
