@@ -12,6 +12,21 @@ from shelfrank.llm.registry import query
 from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
 from shelfrank.llm.sharding import balanced_shards
 from shelfrank.llm.url_filter import Rule, filter_urls
+from shelfrank.llm.warc import read_archives, write_archives
+
+WARC_SQL = """
+WITH sized AS (SELECT page_id, coalesce(html, '') AS p, strlen(coalesce(html, '')) AS n FROM pages),
+first AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY p) ELSE page_id END AS f FROM sized)
+SELECT page_id, n AS payload_bytes, sha256(p) AS payload_digest,
+  CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN f <> page_id THEN f END AS refers_to
+FROM first
+"""
+
+
+@query("op6_warc", WARC_SQL)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(table(spark, sf_dir, "pages"))).drop("url")
+
 
 URL_RULES = (
     Rule("allow", "com"),
