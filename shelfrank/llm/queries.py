@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.bpe import encode_documents
 from shelfrank.llm.common import table
+from shelfrank.llm.quality_votes import fit_votes, held_out, score_quality
 from shelfrank.llm.registry import query
 from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
 from shelfrank.llm.sharding import balanced_shards
@@ -51,6 +52,16 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 """
 
 
+@query("op1_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit_votes(documents, table(spark, sf_dir, "labels"))
+    scored = score_quality(documents, model)
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 SECRET_SQL = r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 patterns AS (SELECT
