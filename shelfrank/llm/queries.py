@@ -8,13 +8,25 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.bpe import encode_documents
 from shelfrank.llm.common import table
+from shelfrank.llm.decontamination import contaminated
 from shelfrank.llm.quality_votes import fit_votes, held_out, score_quality
 from shelfrank.llm.registry import query
 from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
 from shelfrank.llm.sharding import balanced_shards
+from shelfrank.llm.span_dedup import remove_repeated_spans
 from shelfrank.llm.url_filter import Rule, filter_urls
 from shelfrank.llm.warc import read_archives, write_archives
 
+@query("op3_span_dedup")
+def span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op5_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 WARC_SQL = """
 WITH sized AS (SELECT page_id, coalesce(html, '') AS p, strlen(coalesce(html, '')) AS n FROM pages),
 first AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY p) ELSE page_id END AS f FROM sized)
