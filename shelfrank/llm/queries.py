@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.bpe import encode_documents
 from shelfrank.llm.common import table
+from shelfrank.llm.curve_search import nearest_by_curves
 from shelfrank.llm.decontamination import contaminated
 from shelfrank.llm.quality_votes import fit_votes, held_out, score_quality
 from shelfrank.llm.registry import query
@@ -22,6 +23,12 @@ def span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_spans(table(spark, sf_dir, "documents"))
 
 
+@query("op4_nearest")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest_by_curves(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+    return found.select(F.col("query_id").cast("long"), "rank", F.col("vec_id").cast("long"), "score")
+
+
 @query("op5_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
