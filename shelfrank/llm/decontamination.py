@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,24 +205,61 @@ def contaminated(
     nothing; rows with a null id are searched too; repeated rows give repeated results (repeated items likewise); empty tables
     give an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = pick(docs, id=id_col, text=text_col).select("id", whole(F.col("text")).alias("text"))
     items = pick(benchmark, item=item_id_col, text=item_text_col).select("item", whole(F.col("text")).alias("text"))
     kind, item_kind = rows.schema["id"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
     schema = f"id {kind}, item {item_kind}, first_word long, end_word long, start_char long, end_char long, edits long"
-    n_words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    passes = n_words // words_per_pass + 1
     out = None
-    for number in range(passes):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number).collect()
-        part = [r for r in part if len(words_of(r["text"])) >= min_words]
-        shared = spark.sparkContext.broadcast((BenchmarkIndex.build([r["text"] for r in part], max_edits), [r["item"] for r in part]))
+    for shared in _indexes(items, max_edits, min_words, words_per_pass):
         found = rows.mapInPandas(_search_with(shared, schema), schema)
         out = found if out is None else out.unionByName(found)
     return out.withColumnsRenamed({"id": id_col, "item": item_id_col})
 
 
-def _search_with(shared, schema: str):
+def _indexes(items: DataFrame, max_edits: float, min_words: int, words_per_pass: int) -> list[Broadcast]:
+    """The broadcast parts of a benchmark (item, text): the index of each and the names of its items."""
+    n_words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    passes, out = n_words // words_per_pass + 1, []
+    for number in range(passes):
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == number).collect()
+        part = [r for r in part if len(words_of(r["text"])) >= min_words]
+        index = BenchmarkIndex.build([r["text"] for r in part], max_edits)
+        out.append(items.sparkSession.sparkContext.broadcast((index, [r["item"] for r in part])))
+    return out
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_text_col: str = "text",
+    max_edits: float = MAX_EDITS,
+    min_words: int = MIN_WORDS,
+    words_per_pass: int = WORDS_PER_PASS,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns; see ``contaminated``."""
+    items = pick(benchmark, text=item_text_col).select(whole(F.col("text")).alias("text")).distinct()
+    items = items.withColumn("item", F.lit(None).cast("string"))
+    for shared in _indexes(items, max_edits, min_words, words_per_pass):
+        docs = docs.where(~_holds_with(shared)(whole(F.col(text_col))))
+    return docs
+
+
+def _holds_with(shared: Broadcast):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        index, _ = shared.value
+        out = np.zeros(len(texts), dtype=bool)
+        sizes = (texts.str.len().cumsum() // CHARS_AT_ONCE).to_numpy()
+        for number in np.unique(sizes):
+            places = np.flatnonzero(sizes == number)
+            out[places[[m[0] for m in index.matches(texts.iloc[places].tolist())]]] = True
+        return pd.Series(out)
+
+    return holds
+
+
+def _search_with(shared: Broadcast, schema: str):
     columns = [field.split(" ")[0] for field in schema.split(", ")]
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

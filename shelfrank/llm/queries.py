@@ -10,6 +10,7 @@ from shelfrank.llm.bpe import encode_documents
 from shelfrank.llm.common import table
 from shelfrank.llm.curve_search import nearest_by_curves
 from shelfrank.llm.decontamination import contaminated
+from shelfrank.llm.jaccard_join import jaccard_join
 from shelfrank.llm.quality_votes import fit_votes, held_out, score_quality
 from shelfrank.llm.registry import query
 from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
@@ -143,6 +144,11 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op8_jaccard")
+def jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents")).labelled("doc_id")
+
+
 @query("op9_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = balanced_shards(table(spark, sf_dir, "documents"), shards=40)

@@ -143,20 +143,35 @@ def find_secrets(
     care; other columns are ignored.
     """
     rows = pick(df, id=id_col, text=text_col).select(F.col("id").alias(id_col), F.col("text").cast("string").alias("text"))
-    text = whole(F.col("text"))
-    base = _base_spans(text)
-    rows = rows.withColumn("_base", F.concat(*base.values()))
+    return with_secrets(rows, "text", "secrets", allowed)
+
+
+def with_secrets(df: DataFrame, text_col: str, out_col: str, allowed: Sequence[str] = ALLOWED) -> DataFrame:
+    """``df`` with the spans of every text in a further column."""
+    text = whole(F.col(text_col))
+    rows = df.withColumn("_base_spans", F.concat(*_base_spans(text).values()))
 
     def random_token(m: Column) -> Column:
         harmless = m["value"].rlike(allowed[0]) if allowed else F.lit(False)
         for pattern in allowed[1:]:
             harmless = harmless | m["value"].rlike(pattern)
-        free = ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
+        free = ~F.exists("_base_spans", lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
         return F.when(~harmless & free, _looks_random(m["value"])).otherwise(False)
 
     entropy = _spans(F.filter(_located(text, CANDIDATE), random_token), "entropy")
-    spans = F.array_sort(F.concat("_base", _if(text.rlike(CANDIDATE), entropy)))
-    return rows.select(id_col, "text", spans.alias("secrets"))
+    spans = F.array_sort(F.concat("_base_spans", _if(text.rlike(CANDIDATE), entropy)))
+    return rows.withColumn(out_col, spans).drop("_base_spans")
+
+
+def redact_secrets(df: DataFrame, text_col: str = "text", size_col: str | None = None, placeholder: str = PLACEHOLDER) -> DataFrame:
+    """``df`` with every secret in the text replaced, and its length in ``size_col`` brought up to date where a text has changed."""
+    found = with_secrets(df, text_col, "_secrets")
+    cut = found.withColumn("_cut", redacted(F.col(text_col), F.col("_secrets"), placeholder))
+    changed = F.size("_secrets") > 0
+    if size_col:
+        size = F.when(changed, F.length("_cut").cast("long")).otherwise(F.col(size_col))
+        cut = cut.withColumn(size_col, size.cast(df.schema[size_col].dataType))
+    return cut.withColumn(text_col, F.col("_cut")).drop("_cut", "_secrets")
 
 
 def span_text(spans: Column) -> Column:
