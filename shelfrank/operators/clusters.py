@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions.vectors import euclidean
-from shelfrank.operators.projections import CLUSTERING_COLUMNS, non_members
+from shelfrank.operators.projections import CLUSTERING_COLUMNS, any_null, non_members
 from shelfrank.operators.ranking import top_n
 from shelfrank.scale import broadcast_bounded, broadcast_if_small, collect_bounded, cut_lineage, join_small
 
@@ -32,7 +32,7 @@ ROWS_PER_BLOCK = 4096
 class ItemClusterer:
     """K-means over numeric columns, unscaled by default.
 
-    Rows with a missing feature cannot be placed and are left out.
+    Rows with a missing feature cannot be placed: ``assignments`` leaves them out, ``unplaced`` lists them.
     """
 
     def __init__(
@@ -90,6 +90,12 @@ class ItemClusterer:
         self._fitted()
         return self.assign(self._data)
 
+    @property
+    def unplaced(self) -> DataFrame:
+        """The rows of the fitted table with a missing feature."""
+        self._fitted()
+        return self._data.where(any_null(self.features))
+
     @property
     def centroids(self) -> DataFrame:
         centers = self._fitted().stages[-1].clusterCenters()

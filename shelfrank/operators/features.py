@@ -24,6 +24,9 @@ RECENT_YEARS = 5
 TOP_GENRES = 10
 
 
+RESERVED = ("genre_count", "genre_list")
+
+
 @dataclass
 class FeatureState:
     """What feature engineering learns from the training table."""
@@ -34,11 +37,13 @@ class FeatureState:
 
     @property
     def columns(self) -> list[str]:
-        return [*FEATURES, *[genre_column(g) for g in self.genres]]
+        return [*FEATURES, *dict.fromkeys(genre_column(g) for g in self.genres)]
 
 
 def genre_column(genre: str) -> str:
-    return f"genre_{genre.lower().replace(' ', '_')}"
+    """Name of a genre's flag.  Dots would need quoting everywhere, and two names belong to other columns."""
+    name = f"genre_{genre.lower().replace(' ', '_').replace('.', '_').replace('`', '_')}"
+    return f"{name}_genre" if name in RESERVED else name
 
 
 def _age_columns(df: DataFrame, as_of_year: int) -> DataFrame:
@@ -104,14 +109,15 @@ def fit_genres(df: DataFrame, top_n: int = TOP_GENRES) -> list[str]:
 
 
 def encode_genres(df: DataFrame, genres: Sequence[str]) -> DataFrame:
-    """Genre list, its size, and one 0/1 column per vocabulary entry."""
+    """Genre list, its size, and one 0/1 column per vocabulary entry; genres whose columns have one name share it."""
     listed = df.withColumn("genre_list", genre_list(F.col("genre")))
-    return listed.withColumns(
-        {
-            "genre_count": F.size("genre_list"),
-            **{genre_column(g): flag(F.array_contains("genre_list", g)) for g in genres},
-        }
-    )
+    named: dict[str, list[str]] = {}
+    for genre in genres:
+        named.setdefault(genre_column(genre), []).append(genre)
+    held = {
+        name: flag(F.arrays_overlap("genre_list", F.array(*[F.lit(g) for g in members]))) for name, members in named.items()
+    }
+    return listed.withColumns({"genre_count": F.size("genre_list"), **held})
 
 
 def category_flags(df: DataFrame) -> DataFrame:

@@ -9,15 +9,19 @@ from functools import reduce
 from math import ceil
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +30,8 @@ from shelfrank.operators.features import FeatureState, feature_matrix
 from shelfrank.operators.quantiles import threshold_for_smallest
 
 SEED = 42
+MERGING_TASKS = 8
+# The settings and grids of the models.
 FOREST = {"numTrees": 100, "maxDepth": 15}
 RIDGE_ALPHAS = (0.1, 1.0, 10.0, 100.0, 1000.0)
 FOREST_GRID = {"numTrees": (100, 200, 300), "maxDepth": (10, 20, 30), "minInstancesPerNode": (1, 2, 4)}
@@ -33,11 +39,32 @@ TOLERANCES = (5, 10)
 METRICS = ("rmse", "mae", "r2")
 
 
+class LeastSquaresModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Weights and intercept of a linear model."""
+
+    weights = Param(Params._dummy(), "weights", "one weight for each feature", TypeConverters.toListFloat)
+    bias = Param(Params._dummy(), "bias", "the intercept", TypeConverters.toFloat)
+
+    @property
+    def coefficients(self) -> DenseVector:
+        return Vectors.dense(self.getOrDefault(self.weights))
+
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault(self.bias)
+
+    def _transform(self, dataset):
+        parts = F.zip_with(
+            vector_to_array(self.getFeaturesCol()), F.array(*[F.lit(w) for w in self.getOrDefault(self.weights)]), lambda x, w: x * w
+        )
+        return dataset.withColumn(self.getPredictionCol(), F.aggregate(parts, F.lit(self.intercept), lambda total, part: total + part))
+
+
 class RidgeRegression(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
-    """Least squares with ``alpha`` times the squared weights, intercept unpenalised.
+    """Least squares with ``alpha`` times the squared weights, intercept unpenalised; the shortest solution where there are many.
 
-    Spark scales its penalty by the row count and the label's spread; both are read from the data at fit time, so one
-    ``alpha`` means the same on every fold.
+    One pass reduces the rows to a small triangle (a QR decomposition of blocks, merged in two steps), which keeps nearly dependent
+    columns apart as sums of products would not; the small system that is left is solved exactly.
     """
 
     alpha = Param(Params._dummy(), "alpha", "penalty on the sum of squared weights", TypeConverters.toFloat)
@@ -49,19 +76,58 @@ class RidgeRegression(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset):
-        label = self.getLabelCol()
-        row = dataset.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("spread")).first()
-        penalty = self.getOrDefault(self.alpha) * (row["spread"] or 0.0) / max(row["n"], 1)
-        return LinearRegression(
-            featuresCol=self.getFeaturesCol(), labelCol=label, predictionCol=self.getPredictionCol(), solver="normal",
-            elasticNetParam=0.0, standardization=False, regParam=penalty,
-        ).fit(dataset)
+        triangle = _triangle(dataset, self.getFeaturesCol(), self.getLabelCol())
+        if triangle is None:
+            raise ValueError("there are no rows to fit")
+        # The first column is all ones: what stands below its row is the triangle of the centred columns.
+        rows = triangle[0, 0] ** 2
+        means = triangle[0, 1:] / triangle[0, 0]
+        weights = _solve(triangle[1:, 1:-1], triangle[1:, -1], self.getOrDefault(self.alpha), rows)
+        model = LeastSquaresModel()
+        model._set(featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol())
+        return model._set(weights=[float(w) for w in weights], bias=float(means[-1] - means[:-1] @ weights))
+
+
+def _triangle(dataset: DataFrame, features: str, label: str) -> np.ndarray | None:
+    """The triangle R of the QR decomposition of (1, features, label) over all rows; None without rows."""
+
+    def partial(batches):
+        triangle = None
+        for batch in batches:
+            if len(batch):
+                rows = np.column_stack([np.ones(len(batch)), np.stack(batch["x"]), batch["y"]])
+                triangle = np.linalg.qr(rows if triangle is None else np.vstack([triangle, rows]), mode="r")
+        if triangle is not None:
+            yield pd.DataFrame({"row": list(triangle)})
+
+    def merged(batches):
+        rows = [np.stack(batch["row"]) for batch in batches if len(batch)]
+        if rows:
+            yield pd.DataFrame({"row": list(np.linalg.qr(np.vstack(rows), mode="r"))})
+
+    rows = dataset.where(F.col(label).isNotNull()).select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+    parts = rows.mapInPandas(partial, "row array<double>").repartition(MERGING_TASKS).mapInPandas(merged, "row array<double>")
+    found = parts.toPandas()["row"]
+    if not len(found):
+        return None
+    stacked = np.stack(found)
+    missing = max(0, stacked.shape[1] - len(stacked))
+    return np.linalg.qr(np.vstack([stacked, np.zeros((missing, stacked.shape[1]))]), mode="r")
+
+
+def _solve(triangle: np.ndarray, right: np.ndarray, alpha: float, rows: float) -> np.ndarray:
+    """Penalised weights; without a penalty, the shortest ones, with no part in directions that the columns do not span."""
+    columns = triangle.shape[1]
+    if alpha > 0:
+        triangle = np.vstack([triangle, alpha**0.5 * np.eye(columns)])
+        right = np.concatenate([right, np.zeros(columns)])
+    return np.linalg.lstsq(triangle, right, rcond=np.finfo(float).eps * max(rows, columns))[0]
 
 
 def make_regressor(kind: str, **settings) -> Estimator:
     """``linear``, ``ridge`` or ``random_forest``."""
     if kind == "linear":
-        return LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, solver="normal", **settings)
+        return RidgeRegression(alpha=0.0, **settings)
     if kind == "ridge":
         return RidgeRegression(**{"alpha": 1.0, **settings})
     if kind == "random_forest":
@@ -269,6 +335,13 @@ def train_and_evaluate(
     ``scale_on="all"`` fits the scaler before the split, training rows or not.
     """
     parts = split_sets(matrix.where(F.col("label").isNotNull()), fractions).persist()
+    try:
+        return _fit_and_report(parts, state, kind, scale_on, settings)
+    finally:
+        parts.unpersist()
+
+
+def _fit_and_report(parts: DataFrame, state: FeatureState, kind: str, scale_on: str, settings: Mapping) -> tuple[QualityModel, DataFrame]:
     training = parts.where(F.col("set") == "train")
     if scale_on == "all":
         scaler = scale_first(parts, state)
@@ -280,19 +353,21 @@ def train_and_evaluate(
         raise ValueError(f"scale_on must be 'train' or 'all', not {scale_on!r}")
     report = metrics_by_set(model.predict(parts, clipped=False))
     rows = report.collect()
-    parts.unpersist()
     model.metrics = {f"{r['set']}_{m}": r[m] for r in rows for m in METRICS}
-    return model, matrix.sparkSession.createDataFrame(rows, report.schema)
+    return model, parts.sparkSession.createDataFrame(rows, report.schema)
 
 
 def compare_models(
     matrix: DataFrame, state: FeatureState, kinds: Sequence[str] = ("linear", "ridge", "random_forest"), **settings
 ) -> tuple[str, DataFrame]:
-    """Metrics of several model types and the name of the one with the best test R²."""
-    reports = []
-    for kind in kinds:
-        _, report = train_and_evaluate(matrix, state, kind, **settings.get(kind, {}))
-        reports.append(report.withColumn("model", F.lit(kind)))
+    """Metrics of several model types on one split, and the name of the one with the best test R²."""
+    parts = split_sets(matrix.where(F.col("label").isNotNull())).persist()
+    try:
+        reports = [
+            _fit_and_report(parts, state, kind, "train", settings.get(kind, {}))[1].withColumn("model", F.lit(kind)) for kind in kinds
+        ]
+    finally:
+        parts.unpersist()
     table = reduce(DataFrame.unionByName, reports)
     best = table.where(F.col("set") == "test").orderBy(F.col("r2").desc(), "model").first()["model"]
     return best, table
@@ -328,26 +403,34 @@ def grid_search(
         matrix.where(F.col("label").isNotNull()), {"train": 1 - test_fraction, "test": test_fraction}
     ).withColumn("_fold", fold_of("item_id", folds))
     parts = parts.persist()
+    try:
+        return _searched(parts, state, kind, folds, grid, parallelism)
+    finally:
+        parts.unpersist()
+
+
+def _searched(
+    parts: DataFrame, state: FeatureState, kind: str, folds: int, grid: Mapping[str, Sequence] | None, parallelism: int
+) -> QualityModel:
     training = parts.where(F.col("set") == "train")
-    scaler = scale_first(training, state)
-    scaled = scaler.transform(training).select("features", "label", "_fold")
     estimator = make_regressor(kind)
     params = parameter_grid(kind, estimator, grid)
+    pipeline = Pipeline(stages=[*scaling_stages(state.columns, training.count()), estimator])
     best_params, best_score = {}, None
     if params == [{}]:
-        fitted = estimator.fit(scaled)
+        fitted = pipeline.fit(training)
     else:
+        # The scaler is part of what each fold fits, so a fold's held-out rows never shape it.
         search = CrossValidator(
-            estimator=estimator, estimatorParamMaps=params, evaluator=RegressionEvaluator(metricName="r2"),
+            estimator=pipeline, estimatorParamMaps=params, evaluator=RegressionEvaluator(metricName="r2"),
             numFolds=folds, foldCol="_fold", parallelism=parallelism,
         )
-        result = search.fit(scaled)
+        result = search.fit(training)
         fitted = result.bestModel
         best_score = max(result.avgMetrics)
         best_params = {p.name: v for p, v in params[result.avgMetrics.index(best_score)].items()}
-    model = QualityModel(kind, PipelineModel([*scaler.stages, fitted]), state, best_params=best_params)
+    model = QualityModel(kind, fitted, state, best_params=best_params)
     held_out = metrics_by_set(model.predict(parts.where(F.col("set") == "test"), clipped=False)).first()
-    parts.unpersist()
     if held_out is not None:
         model.metrics = {m: held_out[m] for m in METRICS}
     if best_score is not None:
@@ -355,24 +438,25 @@ def grid_search(
     return model
 
 
-def _fold_metrics(scaled: DataFrame, estimator: Estimator, fold: int) -> list[tuple[str, float, float]]:
-    model = estimator.fit(scaled.where(F.col("_fold") != fold))
+def _fold_metrics(rows: DataFrame, state: FeatureState, estimator: Estimator, fold: int) -> list[tuple[str, float, float]]:
+    """Scaler and model learn from the other folds only."""
+    training = rows.where(F.col("_fold") != fold)
+    model = Pipeline(stages=[*scaling_stages(state.columns, training.count()), estimator]).fit(training)
     side = F.when(F.col("_fold") == fold, "test").otherwise("train")
-    rows = metrics_by_set(model.transform(scaled).withColumn("set", side)).collect()
-    return [(r["set"], r["r2"], r["rmse"]) for r in rows]
+    found = metrics_by_set(model.transform(rows).withColumn("set", side)).collect()
+    return [(r["set"], r["r2"], r["rmse"]) for r in found]
 
 
-def _fold_table(matrix: DataFrame, state: FeatureState, folds: int) -> DataFrame:
-    labelled = matrix.where(F.col("label").isNotNull())
-    scaled = scale_first(labelled, state).transform(labelled)
-    return scaled.select("item_id", "features", "label").withColumn("_fold", fold_of("item_id", folds)).persist()
+def _fold_table(matrix: DataFrame, folds: int) -> DataFrame:
+    return matrix.where(F.col("label").isNotNull()).withColumn("_fold", fold_of("item_id", folds)).persist()
 
 
 def _fit_all(tasks: Sequence[tuple], parallelism: int) -> list[tuple]:
-    """Metrics of independent fits ``(labels, rows, estimator, fold)``, several Spark jobs at a time."""
+    """Metrics of independent fits ``(labels, rows, state, estimator, fold)``, several Spark jobs at a time."""
+
     def run(task):
-        labels, rows, estimator, fold = task
-        return [(*labels, *values) for values in _fold_metrics(rows, estimator, fold)]
+        labels, *fit = task
+        return [(*labels, *values) for values in _fold_metrics(*fit)]
 
     with ThreadPool(parallelism) as pool:
         return [row for rows in pool.map(inheritable_thread_target(tasks[0][1].sparkSession)(run), tasks) for row in rows]
@@ -386,15 +470,17 @@ def cv_report(
     parallelism: int = 4,
 ) -> DataFrame:
     """R² and RMSE of every model, fold and side: ``model, fold, set, r2, rmse``."""
-    scaled = _fold_table(matrix, state, folds)
+    table = _fold_table(matrix, folds)
     settings = kinds if isinstance(kinds, Mapping) else {kind: {} for kind in kinds}
     tasks = [
-        ((kind, fold), scaled, make_regressor(kind, **options), fold)
+        ((kind, fold), table, state, make_regressor(kind, **options), fold)
         for kind, options in settings.items()
         for fold in range(folds)
     ]
-    rows = _fit_all(tasks, parallelism)
-    scaled.unpersist()
+    try:
+        rows = _fit_all(tasks, parallelism)
+    finally:
+        table.unpersist()
     return matrix.sparkSession.createDataFrame(rows, "model string, fold int, set string, r2 double, rmse double")
 
 
@@ -415,17 +501,22 @@ def learning_curve(
     **settings,
 ) -> DataFrame:
     """Mean and spread of R² as the training part grows: nested subsets by hashed key."""
-    scaled = _fold_table(matrix, state, folds).withColumn("_share", hash60("item_id", F.lit("curve")) / float(1 << 60))
+    folded = _fold_table(matrix, folds)
+    shared = folded.withColumn("_share", hash60("item_id", F.lit("curve")) / float(1 << 60))
     tasks = [
         (
             (fraction, fold),
-            scaled.where((F.col("_fold") == fold) | (F.col("_share") <= fraction)),
+            shared.where((F.col("_fold") == fold) | (F.col("_share") <= fraction)),
+            state,
             make_regressor(kind, **settings),
             fold,
         )
         for fraction in fractions
         for fold in range(folds)
     ]
-    rows = _fit_all(tasks, parallelism)
+    try:
+        rows = _fit_all(tasks, parallelism)
+    finally:
+        folded.unpersist()
     table = matrix.sparkSession.createDataFrame(rows, "fraction double, fold int, set string, r2 double, rmse double")
     return table.groupBy("fraction", "set").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"))

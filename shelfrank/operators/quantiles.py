@@ -13,6 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from shelfrank.scale import cut_lineage
 
 EXACT_ROWS = 200_000
 RANK_ERROR = 0.001
@@ -46,73 +49,106 @@ class _Bracket:
         return self.below <= rank < self.below + self.inside
 
 
-def _narrow(df: DataFrame, column: str, rank: int, bracket: _Bracket) -> _Bracket:
-    """A smaller bracket around ``rank``: below, at, or between two approximate quantiles."""
-    rows = df.where(bracket.condition(column)).select(F.col(column).cast("double").alias("v"))
-    position = (rank - bracket.below) / max(bracket.inside - 1, 1)
-    around = [max(position - 2 * RANK_ERROR, 0.0), min(position + 2 * RANK_ERROR, 1.0)]
-    low, high = rows.approxQuantile("v", around, RANK_ERROR)
-    value = F.col("v")
-    counts = rows.agg(
-        F.count_if(value < low).alias("under"),
-        F.count_if(value == low).alias("at_low"),
-        F.count_if((value > low) & (value < high)).alias("between"),
-        F.count_if(value == high).alias("at_high"),
-        F.count_if(value > high).alias("over"),
-    ).first()
-    # The parts follow each other in value order, so one of them holds the rank whatever the approximation returned.
-    parts = [(bracket.low, low, "under"), (low, low, "at_low")]
+def _parts_around(bracket: _Bracket, low: float, high: float, counts: Sequence[int]) -> list[_Bracket]:
+    """The bracket cut at two values; the parts follow each other in value order, so one of them holds any rank of the whole."""
+    edges = [(bracket.low, low), (low, low)]
     if low != high:
-        parts += [(low, high, "between"), (high, high, "at_high")]
-    parts += [(high, bracket.high, "over")]
-    below = bracket.below
-    for start, end, name in parts:
-        part = _Bracket(start, end, below, counts[name])
-        if part.holds(rank):
-            return part
-        below += counts[name]
-    raise ValueError(f"rank {rank} is not in the bracket")
-
-
-def _value_in_bracket(df: DataFrame, column: str, ranks: Sequence[int], bracket: _Bracket) -> dict[int, float]:
-    counts = df.where(bracket.condition(column)).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    # One task sorts these distinct values; their number is bounded by the bracket.
-    upto = F.sum("n").over(Window.orderBy("v")) + bracket.below
-    located = counts.withColumn("upto", upto).withColumn("from", F.col("upto") - F.col("n"))
-    wanted = F.array(*[F.lit(rank).cast("bigint") for rank in ranks])
+        edges += [(low, high), (high, high)]
+    edges += [(high, bracket.high)]
+    sizes = [*counts[:2], *(counts[2:4] if low != high else ()), counts[4]]
+    below, parts = bracket.below, []
+    for (start, end), size in zip(edges, sizes, strict=True):
+        parts.append(_Bracket(start, end, below, size))
+        below += size
+    return parts
+
+
+def _narrow_all(data: DataFrame, brackets: dict[tuple[str, int], _Bracket], exact_rows: int) -> bool:
+    """One round for all columns and ranks together: approximate quantiles inside each large bracket, then exact counts.
+
+    False when no bracket is left that holds more than ``exact_rows`` rows.
+    """
+    large = {k: b for k, b in brackets.items() if b.inside > exact_rows and not b.is_point}
+    if not large:
+        return False
+    inner = list(dict.fromkeys((column, b) for (column, _), b in large.items()))
+    values = [F.when(b.condition(c), F.col(c).cast("double")).alias(f"v{i}") for i, (c, b) in enumerate(inner)]
+    places = {k: (k[1] - b.below) / max(b.inside - 1, 1) for k, b in large.items()}
+    around = {k: (max(p - 2 * RANK_ERROR, 0.0), min(p + 2 * RANK_ERROR, 1.0)) for k, p in places.items()}
+    shares = sorted({s for pair in around.values() for s in pair})
+    found = data.select(*values).approxQuantile([f"v{i}" for i in range(len(inner))], shares, RANK_ERROR)
+    cuts = {k: tuple(found[inner.index((k[0], b))][shares.index(s)] for s in around[k]) for k, b in large.items()}
+    counts = []
+    for i, (k, (low, high)) in enumerate(cuts.items()):
+        value, inside = F.col(k[0]).cast("double"), large[k].condition(k[0])
+        tests = (value < low, value == low, (value > low) & (value < high), value == high, value > high)
+        counts += [F.count_if(inside & test).alias(f"n{i}_{j}") for j, test in enumerate(tests)]
+    row = data.agg(*counts).first()
+    for i, (k, (low, high)) in enumerate(cuts.items()):
+        parts = _parts_around(large[k], low, high, [row[f"n{i}_{j}"] for j in range(5)])
+        brackets[k] = next(p for p in parts if p.holds(k[1]))
+    return True
+
+
+def _select(
+    df: DataFrame, wanted: Mapping[str, Sequence[int]], totals: Mapping[str, int], exact_rows: int
+) -> dict[tuple[str, int], float]:
+    """Values at 0-based ascending ranks, for several columns in the same few passes over their written copy."""
+    brackets: dict[tuple[str, int], _Bracket] = {}
+    for column, ranks in wanted.items():
+        for rank in ranks:
+            if not 0 <= rank < totals[column]:
+                raise ValueError(f"rank {rank} is outside 0..{totals[column] - 1}")
+            brackets[column, rank] = _Bracket(None, None, 0, totals[column])
+    if not brackets:
+        return {}
+    data = df.select(*wanted)
+    if max(totals[c] for c in wanted) > exact_rows:
+        data = cut_lineage(data, "quantiles")
+        while _narrow_all(data, brackets, exact_rows):
+            pass
+    inner = list(dict.fromkeys((column, b) for (column, _), b in brackets.items()))
+    whole = {c for c in wanted if isinstance(data.schema[c].dataType, IntegralType)}
+    entries = [
+        F.when(
+            b.condition(c),
+            F.struct(
+                F.lit(i).alias("b"),
+                F.col(c).cast("double").alias("v"),
+                (F.col(c).cast("long") if c in whole else F.lit(None).cast("long")).alias("w"),
+            ),
+        )
+        for i, (c, b) in enumerate(inner)
+    ]
+    counts = data.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    # A task sorts the distinct values of a bracket; their number is bounded by the bracket.
+    upto = F.sum("n").over(Window.partitionBy("e.b").orderBy("e.v", "e.w"))
+    below = F.element_at(F.array(*[F.lit(b.below).cast("long") for _, b in inner]), F.col("e.b") + 1)
+    ranks = F.array(*[F.array(*[F.lit(r).cast("long") for (c, r), at in brackets.items() if (c, at) == key]) for key in inner])
+    located = counts.withColumn("upto", upto + below).withColumn("from", F.col("upto") - F.col("n"))
     hits = (
-        located.withColumn("rank", F.explode(wanted))
+        located.withColumn("rank", F.explode(F.element_at(ranks, F.col("e.b") + 1)))
         .where((F.col("rank") >= F.col("from")) & (F.col("rank") < F.col("upto")))
-        .select("rank", "v")
+        .select("e.b", "e.v", "e.w", "rank")
         .collect()
     )
-    return {row["rank"]: row["v"] for row in hits}
+    return {(inner[h["b"]][0], h["rank"]): h["v"] if h["w"] is None else h["w"] for h in hits}
 
 
 def values_at_ranks(
     df: DataFrame, column: str, ranks: Sequence[int], exact_rows: int = EXACT_ROWS, total: int | None = None
 ) -> dict[int, float]:
     """Non-null values of ``column`` at these 0-based ascending ranks."""
-    data = df.select(column)
     if total is None:
-        total = data.agg(F.count(column)).first()[0]
-    brackets: dict[_Bracket, list[int]] = {}
-    for rank in sorted(set(ranks)):
-        if not 0 <= rank < total:
-            raise ValueError(f"rank {rank} is outside 0..{total - 1}")
-        known = [b for b in brackets if b.holds(rank)]
-        bracket = known[0] if known else _Bracket(None, None, 0, total)
-        while bracket.inside > exact_rows and not bracket.is_point:
-            bracket = _narrow(data, column, rank, bracket)
-        brackets.setdefault(bracket, []).append(rank)
-    found: dict[int, float] = {}
-    for bracket, wanted in brackets.items():
-        found.update(_value_in_bracket(data, column, wanted, bracket))
-    return found
-
-
-def interpolate(low: float, high: float, share: float) -> float:
-    return low + (high - low) * share
+        total = df.agg(F.count(column)).first()[0]
+    found = _select(df, {column: sorted(set(ranks))}, {column: total}, exact_rows)
+    return {rank: value for (_, rank), value in found.items()}
+
+
+def interpolate(low: float, high: float, position: float) -> float:
+    """Between two neighbouring ranks, by the formula that Spark's ``percentile`` uses, so both ways agree to the last bit."""
+    below, above = math.floor(position), math.ceil(position)
+    return low if below == above or low == high else (above - position) * low + (position - below) * high
 
 
 def exact_quantiles(
@@ -137,20 +173,14 @@ def exact_quantiles(
         shares = F.array(*[F.lit(float(p)) for p in probabilities])
         row = df.agg(*[F.percentile(F.col(name).cast("double"), shares).alias(name) for name in columns]).first()
         return {n: list(row[n]) if row[n] is not None else [None] * len(probabilities) for n in columns}
-    result: dict[str, list[float | None]] = {}
-    for name in columns:
-        total = counts[name]
-        if total == 0:
-            result[name] = [None] * len(probabilities)
-            continue
-        positions = [p * (total - 1) for p in probabilities]
-        ranks = sorted({r for x in positions for r in (math.floor(x), math.ceil(x))})
-        values = values_at_ranks(df, name, ranks, exact_rows, total)
-        result[name] = [
-            interpolate(float(values[math.floor(x)]), float(values[math.ceil(x)]), x - math.floor(x))
-            for x in positions
-        ]
-    return result
+    positions = {n: [p * (counts[n] - 1) for p in probabilities] if counts[n] else [] for n in columns}
+    ranks = {n: sorted({r for x in xs for r in (math.floor(x), math.ceil(x))}) for n, xs in positions.items() if xs}
+    values = _select(df, ranks, counts, exact_rows)
+
+    def at(name: str, x: float) -> float:
+        return interpolate(float(values[name, math.floor(x)]), float(values[name, math.ceil(x)]), x)
+
+    return {n: [at(n, x) for x in xs] or [None] * len(probabilities) for n, xs in positions.items()}
 
 
 def quantile_columns(

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from shelfrank.operators.cleaning import clean_catalog
 from shelfrank.operators.projections import clustering_view, semantic_view, supervised_view
@@ -77,17 +76,20 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     return path
 
 
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to the end; an aborted write leaves no marker and counts as none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS"))
+
+
 def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], in_memory: bool = False
 ) -> DataFrame:
-    """The table stored at ``path``; when there is none, build it, write it and read it back."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        write_table(build(), path, mode="errorifexists")
-        stored = spark.read.parquet(path)
+    """The table stored at ``path``; when there is none, or only what an aborted write left, build it, write it and read it back."""
+    if not _is_complete(spark, path):
+        write_table(build(), path)
+    stored = spark.read.parquet(path)
     return stored.persist() if in_memory else stored
 
 

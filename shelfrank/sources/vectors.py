@@ -23,8 +23,12 @@ def wide_to_array(df: DataFrame, column: str = "embedding", prefix: str = PREFIX
 
 
 def array_to_wide(df: DataFrame, dimension: int, column: str = "embedding", prefix: str = PREFIX) -> DataFrame:
+    """One column for each component; a vector of another length is an error, a null vector gives nulls."""
     others = [c for c in df.columns if c != column]
-    return df.select(*others, *[F.col(column)[i].alias(f"{prefix}{i}") for i in range(dimension)])
+    fits = F.col(column).isNull() | (F.size(column) == dimension)
+    wrong = F.raise_error(F.concat(F.lit(f"expected {dimension} components, found "), F.size(column).cast("string")))
+    checked = F.when(fits, F.col(column)).otherwise(wrong.cast(df.schema[column].dataType))
+    return df.select(*others, checked.alias(column)).select(*others, *[F.col(column)[i].alias(f"{prefix}{i}") for i in range(dimension)])
 
 
 def save_embeddings(df: DataFrame, path: str, format: str = "parquet") -> str:

@@ -52,3 +52,21 @@ def test_supervised_flow(spark, small, tmp_path):
     )
     assert comparison.count() == 6
     assert {"r2", "rmse", "mae", "train_within_10", "test_within_10"} <= set(model.metrics)
+
+
+def test_an_aborted_write_is_built_again(spark, tmp_path):
+    from shelfrank.sources.files import materialize
+
+    path = tmp_path / "half"
+    (path / "_temporary").mkdir(parents=True)
+    assert materialize(spark, str(path), lambda: spark.range(3)).count() == 3
+    assert materialize(spark, str(path), lambda: spark.range(9)).count() == 3
+
+
+def test_wide_layout_needs_the_right_length(spark):
+    from shelfrank.sources.vectors import array_to_wide
+
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, None)], "item_id int, embedding array<float>")
+    assert array_to_wide(df, 3).orderBy("item_id").collect()[1].embed_0 is None
+    with pytest.raises(Exception, match="expected 2 components, found 3"):
+        array_to_wide(df, 2).collect()

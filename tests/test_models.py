@@ -122,6 +122,24 @@ def test_linear_tolerates_constant_and_repeated_columns(spark):
     np.testing.assert_allclose(found, design @ np.linalg.lstsq(design, y, rcond=None)[0], atol=1e-3)
 
 
+@pytest.mark.parametrize("kind", ["linear", "ridge"])
+def test_the_real_matrix_is_solved_exactly(spark, kind):
+    from workload.model_queries import matrix
+
+    data, state = matrix(spark, "/root/testdata/sf0.01")
+    model = Q.train(data, state, kind)
+    table = model.pipeline.transform(data.where("label IS NOT NULL")).toPandas()
+    x, y = np.stack([v.toArray() for v in table.features]), table.label.to_numpy()
+    xc, yc = x - x.mean(axis=0), y - y.mean()
+    if kind == "ridge":
+        weights = np.linalg.solve(xc.T @ xc + np.eye(x.shape[1]), xc.T @ yc)
+        np.testing.assert_allclose(model.pipeline.stages[-1].coefficients.toArray(), weights, rtol=1e-8, atol=1e-10)
+    else:
+        weights = np.linalg.lstsq(xc, yc, rcond=None)[0]
+    squared = np.sum((yc - xc @ weights) ** 2)
+    assert np.sum((y - table.prediction) ** 2) == pytest.approx(squared, rel=1e-8)
+
+
 def test_population_scaling(spark):
     df, x, _ = regression(spark)
     wide = df.withColumn("x3", F.lit(4.0))

@@ -28,6 +28,14 @@ def test_narrowing_finds_exact_quantiles(numbers):
     np.testing.assert_allclose(exact_quantiles(df, ["x"], shares)["x"], np.quantile(values, shares), rtol=1e-12)
 
 
+def test_both_ways_give_the_same_bits(spark):
+    rng = np.random.default_rng(6)
+    rows = [tuple(float(v) for v in rng.normal(3, 9, 4)) for _ in range(3001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    shares = [0.1, 0.37, 0.5, 0.75]
+    assert exact_quantiles(df, list("abcd"), shares, exact_rows=40) == exact_quantiles(df, list("abcd"), shares)
+
+
 def test_values_at_ranks_of_large_integers(spark):
     base = 1 << 59
     df = spark.range(4000).select((F.lit(base) + F.pmod(F.col("id") * 7919, F.lit(4000))).alias("v"))

@@ -162,3 +162,14 @@ def test_projections(spark):
 def test_clean_row_predicate(spark):
     df = spark.createDataFrame([(1.0, 1.0, "x"), (0.0, 1.0, "x"), (1.0, None, "x"), (1.0, 1.0, None)], "budget_x double, revenue double, n string")
     assert [r["ok"] for r in df.select(P.is_clean_row(df.columns).alias("ok")).collect()] == [True, False, False, False]
+
+
+def test_genre_names_that_meet(spark):
+    from shelfrank.operators.features import FeatureState, encode_genres
+
+    genres = ["Drama", "drama", "Count", "List", "Sci. Fi"]
+    df = spark.createDataFrame([("Drama, Count",), ("drama, Sci. Fi",), ("List",), (None,)], "genre string")
+    columns = FeatureState(2025, {}, genres).columns[-4:]
+    assert columns == ["genre_drama", "genre_count_genre", "genre_list_genre", "genre_sci__fi"]
+    rows = encode_genres(df, genres).select("genre_count", *columns).collect()
+    assert [tuple(r) for r in rows[:3]] == [(2, 1, 1, 0, 0), (2, 1, 0, 0, 1), (1, 0, 0, 1, 0)]

@@ -157,11 +157,11 @@ def numeric_projection(spark, sf):
 
 
 @query("clean_rows", CLEAN_SQL + """, flagged AS (
-  SELECT NOT (budget_x = 0 OR revenue = 0 OR names IS NULL OR year IS NULL OR score IS NULL) AS ok FROM clean)
+  SELECT NOT (budget_x = 0 OR revenue = 0 OR names IS NULL OR year IS NULL OR score IS NULL OR genre IS NULL OR overview IS NULL
+    OR crew IS NULL OR orig_lang IS NULL OR country IS NULL OR quality_fixed IS NULL) AS ok FROM clean)
   SELECT count(*) FILTER (ok) AS clean_items, round(count(*) FILTER (ok) * 100.0 / count(*), 6) AS clean_percentage FROM flagged""")
 def clean_rows(spark, sf):
-    cleaned = clean(spark, sf, "names", "year", "score", "budget_x", "revenue")
-    return S.clean_rows(cleaned).transform(round_columns, "clean_percentage")
+    return S.clean_rows(clean(spark, sf)).transform(round_columns, "clean_percentage")
 
 
 @query("range_filter", RAW_SQL + """
@@ -414,12 +414,11 @@ def title_predicates(spark, sf):
 
 
 @query("dataset_stats", CLEAN_SQL + """
-  SELECT count(*) AS total_items, CAST(6 AS BIGINT) AS total_columns, round(avg(score), 6) AS score_mean, round(stddev_samp(score), 6) AS score_std,
+  SELECT count(*) AS total_items, CAST(12 AS BIGINT) AS total_columns, round(avg(score), 6) AS score_mean, round(stddev_samp(score), 6) AS score_std,
     min(score) AS score_min, max(score) AS score_max, count(*) FILTER (budget_x IS NULL) AS missing_budget,
     count(*) FILTER (revenue IS NULL) AS missing_revenue, min(year) AS year_min, max(year) AS year_max FROM clean""")
 def dataset_stats(spark, sf):
-    cleaned = clean(spark, sf, "names", "year", "score", "budget_x", "revenue")
-    return S.dataset_stats(cleaned).transform(round_columns, "score_mean", "score_std")
+    return S.dataset_stats(clean(spark, sf)).transform(round_columns, "score_mean", "score_std")
 
 
 @query("duplicate_titles", CLEAN_SQL + """
@@ -428,19 +427,21 @@ def duplicate_titles(spark, sf):
     return S.duplicate_titles(clean(spark, sf, "names"))
 
 
-NULLABLE = ("date_x", "score", "genre", "overview", "orig_lang", "country", "budget_x", "revenue", "names")
+NULLABLE = (
+    "item_id", "names", "date_x", "score", "genre", "overview", "crew", "orig_lang", "country", "budget_x", "revenue", "quality_fixed",
+)
 
 
 @query("null_report", RAW_SQL + " SELECT * FROM (" + " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS nulls, round(count(*) FILTER ({c} IS NULL) * 100.0 / count(*), 6) AS percent FROM raw""" for c in NULLABLE
 ) + ") WHERE nulls > 0")
 def null_report(spark, sf):
-    return S.missing_report(raw(spark, sf, *NULLABLE).select(*NULLABLE)).transform(round_columns, "percent")
+    return S.missing_report(raw(spark, sf).select(*NULLABLE)).transform(round_columns, "percent")
 
 
 @query("rows_with_any_null", RAW_SQL + f" SELECT count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in NULLABLE)}) AS rows_with_any_null FROM raw")
 def rows_with_any_null(spark, sf):
-    return S.rows_with_any_null(raw(spark, sf, *NULLABLE).select(*NULLABLE))
+    return S.rows_with_any_null(raw(spark, sf).select(*NULLABLE))
 
 
 @query("describe_numeric", CLEAN_SQL + " UNION ALL ".join(
@@ -465,14 +466,14 @@ def repeated_titles(spark, sf):
     return S.repeated_titles(clean(spark, sf, "names"))
 
 
-SHOWN = ("names", "year", "score", "genre", "budget_x")
-SHOWN_TYPES = ("string", "int", "double", "string", "double")
+SHOWN = ("item_id", "names", "year", "score", "genre", "overview", "crew", "orig_lang", "country", "budget_x", "revenue", "quality_fixed")
+SHOWN_TYPES = ("bigint", "string", "int", "double", "string", "string", "string", "string", "string", "double", "double", "double")
 
 
 @query("schema_overview", CLEAN_SQL + " UNION ALL ".join(
     f""" SELECT {i} AS position, '{c}' AS "column", '{t}' AS type, count({c}) AS non_null FROM clean""" for i, (c, t) in enumerate(zip(SHOWN, SHOWN_TYPES))))
 def schema_overview(spark, sf):
-    return S.schema_overview(clean(spark, sf, *SHOWN).select(*SHOWN))
+    return S.schema_overview(clean(spark, sf).select(*SHOWN))
 
 
 REPORT_SQL = f"""

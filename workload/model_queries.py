@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfrank.operators import features as E
@@ -12,8 +13,6 @@ from shelfrank.scale import shared_folder
 from workload.registry import AS_OF_YEAR, CLEAN_SQL, SEED, clean, query, round_columns, rounded, row_bound
 from workload.vector_queries import HYBRID_TITLES, recommender
 
-SMALL_FOREST = {"numTrees": 20, "maxDepth": 6}
-
 SPLIT_SQL = f"""numbered AS (SELECT *, row_number() OVER (ORDER BY substr(md5(item_id || '-{SEED}'), 1, 15), item_id) AS rn, count(*) OVER () AS n FROM clean),
   parts AS (SELECT *, CASE WHEN rn <= n - 2 * ceil(n * 0.15) THEN 'train' WHEN rn <= n - ceil(n * 0.15) THEN 'val' ELSE 'test' END AS "set" FROM numbered)"""
 
@@ -97,19 +96,19 @@ def linear_evaluation(spark, sf):
 
 @query("forest_fit")
 def forest_fit(spark, sf):
-    _, report = Q.train_and_evaluate(*matrix(spark, sf), "random_forest", **SMALL_FOREST)
+    _, report = Q.train_and_evaluate(*matrix(spark, sf), "random_forest")
     return report.transform(round_columns, "rmse", "mae", "r2")
 
 
 @query("compare_models")
 def compare_models(spark, sf):
-    best, table = Q.compare_models(*matrix(spark, sf), ("linear", "ridge"))
+    best, table = Q.compare_models(*matrix(spark, sf))
     return table.withColumn("best", F.col("model") == best).transform(round_columns, "rmse", "mae", "r2")
 
 
 @query("importance_topn")
 def importance_topn(spark, sf):
-    return Q.train(*matrix(spark, sf), "random_forest", **SMALL_FOREST).importances(20)
+    return Q.train(*matrix(spark, sf), "random_forest").importances(20)
 
 
 @query("model_roundtrip")
@@ -137,7 +136,7 @@ def forest_grid_search(spark, sf):
 
 @query("cv_report")
 def cv_report(spark, sf):
-    return Q.cv_report(*matrix(spark, sf), {"linear": {}, "ridge": {}, "random_forest": {"numTrees": 5, "maxDepth": 4}})
+    return Q.cv_report(*matrix(spark, sf), ("linear", "ridge", "random_forest"))
 
 
 @query("learning_curve")
@@ -155,3 +154,39 @@ def quality_scores(spark, sf):
 def hybrid_end_to_end(spark, sf):
     model = Q.train(*matrix(spark, sf), "ridge")
     return recommender(spark, sf, model.score_items).recommend(HYBRID_TITLES)
+
+
+@query("least_squares_check", CLEAN_SQL + " SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS worst_product FROM clean")
+def least_squares_check(spark, sf):
+    """At the least-squares solution the residuals have no product with any scaled feature; the largest mean product, in size."""
+    data, state = matrix(spark, sf)
+    model = Q.train(data, state, "linear").pipeline
+    fitted = model.transform(data).select(vector_to_array("features").alias("x"), (F.col("label") - F.col("prediction")).alias("e"))
+    products = fitted.select(F.posexplode("x").alias("feature", "value"), "e").groupBy("feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.abs(F.avg(F.col("value") * F.col("e"))).alias("product")
+    )
+    return products.agg(F.max("rows").alias("rows"), rounded(F.max("product"), alias="worst_product"))
+
+
+@query("model_roundtrip_check", CLEAN_SQL + " SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM clean")
+def model_roundtrip_check(spark, sf):
+    both = model_roundtrip(spark, sf)
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("differing"))
+
+
+@query("quality_range_check", CLEAN_SQL + " SELECT item_id, true AS in_range FROM clean")
+def quality_range_check(spark, sf):
+    return quality_scores(spark, sf).select("item_id", F.col("quality_score_pred").between(0, 100).alias("in_range"))
+
+
+@query("forest_range_check", CLEAN_SQL + f""", {SPLIT_SQL}
+  SELECT "set", count(*) AS rows, CAST(0 AS BIGINT) AS outside FROM parts GROUP BY "set\"""")
+def forest_range_check(spark, sf):
+    """A forest's predictions are means of labels, so none lies outside their range."""
+    parts = Q.split_sets(matrix(spark, sf)[0])
+    state = matrix(spark, sf)[1]
+    model = Q.train(parts.where(F.col("set") == "train"), state, "random_forest", numTrees=10, maxDepth=8)
+    low, high = parts.where(F.col("set") == "train").agg(F.min("label"), F.max("label")).first()
+    predicted = model.predict(parts, clipped=False)
+    outside = ~F.col("prediction").between(low - 1e-9, high + 1e-9)
+    return predicted.groupBy("set").agg(F.count(F.lit(1)).alias("rows"), F.count_if(outside).alias("outside"))

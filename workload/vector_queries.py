@@ -16,7 +16,7 @@ from shelfrank.plans.semantic_index import build_index
 from shelfrank.scale import shared_folder
 from shelfrank.sources import vectors as store
 from workload.catalog_queries import documents, sql_draw, sql_resolve
-from workload.registry import CLEAN_VEC_SQL, SEED, VEC_SQL, clean, query, round_columns, rounded, vectors
+from workload.registry import CLEAN_SQL, CLEAN_VEC_SQL, SEED, VEC_SQL, clean, query, round_columns, rounded, vectors
 
 QUERY_TITLES = ["red widget", "BLUE", "cold plate"]
 DIMENSION = 64
@@ -281,8 +281,26 @@ def squared_silhouette(spark, sf):
 
 @query("kmeans_assign")
 def kmeans_assign(spark, sf):
+    """Every item; one with a missing feature has no cluster."""
     clusterer = K.ItemClusterer().fit(clean(spark, sf, "year", "score", "budget_x", "revenue"))
-    return clusterer.assignments.select("item_id", "cluster_id")
+    unplaced = clusterer.unplaced.select("item_id", F.lit(None).cast("int").alias("cluster_id"))
+    return clusterer.assignments.select("item_id", "cluster_id").unionByName(unplaced)
+
+
+@query("kmeans_check", CLEAN_SQL + """ SELECT count(*) AS items, count(*) FILTER (year IS NULL OR budget_x IS NULL OR revenue IS NULL) AS unplaced,
+  CAST(0 AS BIGINT) AS misplaced FROM clean""")
+def kmeans_check(spark, sf):
+    """Items, those with a missing feature, and those that some other centroid is nearer to than their own."""
+    clusterer = K.ItemClusterer(max_iter=20).fit(clean(spark, sf, "year", "score", "budget_x", "revenue"))
+    centers = F.broadcast(clusterer.centroids.agg(F.collect_list(F.struct("cluster_id", "centroid")).alias("all")))  # one row of k centroids
+    squared = lambda c: F.aggregate(F.zip_with("features", c["centroid"], lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda t, d: t + d)
+    placed = clusterer.assignments.select("item_id", "cluster_id", "features").withColumn("k", F.lit(1)).join(centers.withColumn("k", F.lit(1)), "k")
+    distances = F.transform("all", lambda c: F.struct(squared(c).alias("d"), c["cluster_id"].alias("c")))
+    nearest = F.array_min(F.transform(distances, lambda x: x["d"]))
+    own = F.filter(distances, lambda x: x["c"] == F.col("cluster_id"))[0]["d"]
+    counted = placed.agg(F.count(F.lit(1)).alias("n"), F.count_if(own > nearest * (1 + 1e-9)).alias("misplaced")).first()
+    missing = clusterer.unplaced.count()
+    return spark.createDataFrame([(counted["n"] + missing, missing, counted["misplaced"])], "items long, unplaced long, misplaced long")
 
 
 @query("kmeans_sweep")
