@@ -4,20 +4,32 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 
 from shelfrank.llm.common import pick
 
-# Fixed values of the tokenizer's definition: its white space and its word pattern.
-SPACE = "\t-\r\x20\x85\xa0  -     　"
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+")
-SPACES = regex.compile(f"[{SPACE}]+")
+# Fixed values of the tokenizer's definition: its white space and its contractions.
+SPACE = "\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+
+
+def category_ranges(kind: str) -> str:
+    """By Python's Unicode tables (characters they do not know yet count as neither letter nor number), all of a general category (``L`` or ``N``) as the ranges of a character class."""
+    inside = np.array([unicodedata.category(chr(i))[0] == kind for i in range(sys.maxunicode + 1)])
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+LETTERS, NUMBERS = category_ranges("L"), category_ranges("N")
+WORD = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[{NUMBERS}]|[^{SPACE}{LETTERS}{NUMBERS}]+")
+SPACES = re.compile(f"[{SPACE}]+")
 #: str.split() also cuts at these, which the tokenizer keeps.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 END = "</w>"
@@ -57,7 +69,7 @@ class WordBpe:
         self.tokens = [""] * (1 + max([*vocabulary.values(), *self.special.values()]))
         for token, number in [*vocabulary.items(), *self.special.items()]:
             self.tokens[number] = token
-        self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        self._special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         letters = byte_letters()
         self.first = np.array([vocabulary[x] for x in letters], dtype=np.int64)
         self.last = np.array([vocabulary[x + END] for x in letters], dtype=np.int64)
