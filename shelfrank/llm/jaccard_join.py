@@ -23,7 +23,9 @@ ENTRIES_PER_BUCKET = 2_000_000
 #: Sets that share a signature in one batch beyond this many go around the bucket of that signature.
 CROWD = 8
 SKETCH = 256
-PAIRS_AT_ONCE = 512
+PAIRS_AT_ONCE = 16_384
+OPEN_PER_BUCKET = 100_000
+MAX_BROADCAST = 500_000
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -58,11 +60,13 @@ class JaccardJoin:
         return self.classes.join(self.components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     def chosen(self) -> DataFrame:
-        """id and digest of the row that stands for each component: the smallest id, null last, and of its texts the smallest digest."""
+        """id and digest of the row that stands for each component, and how many rows have both: the smallest id, null last, and of
+        its texts the one with the smallest digest."""
         nodes = stored(self._nodes().select("f1", "f2", "component"), "class-components")
         placed = self.rows.where("n_shingles > 0").join(nodes, ["f1", "f2"])
-        least = placed.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("no_id"), "id", "digest")).alias("row"))
-        return stored(least.select("row.id", "row.digest"), "chosen-rows")
+        counted = placed.groupBy("component", "id", "digest").agg(F.count(F.lit(1)).alias("n"))
+        least = counted.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("no_id"), "id", "digest", "n")).alias("row"))
+        return stored(least.select("row.id", "row.digest", "row.n"), "chosen-rows")
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> JaccardJoin:
@@ -84,10 +88,13 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = texts.schema["id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    schema = f"id {kind}, digest long, n_shingles long, f1 long, f2 long, is_row boolean"
+    schema = f"id {kind}, digest long, n_shingles long, f1 long, f2 long, is_row boolean, sketch binary"
     surveyed = stored(texts.mapInPandas(_survey_with(shingle), schema), "shingle-survey")
-    rows = surveyed.where("is_row").drop("is_row")
-    classes = rows.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("id").alias("first"), F.first("n_shingles").alias("size"))
+    rows = surveyed.where("is_row")
+    classes = rows.where("n_shingles > 0").groupBy("f1", "f2").agg(
+        F.min("id").alias("first"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")
+    )
+    rows = rows.drop("is_row", "sketch")
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     n_classes, n_members = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     counted = surveyed.where("NOT is_row").groupBy("f1").agg(F.sum("n_shingles").alias("n"))
@@ -102,18 +109,16 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, "signature long, a long, b long")
     met = stored(met, "signature-pairs")
 
-    nodes = classes.select("node", "f1", "size")
-    pairs = _within_size(_with_nodes(met.select("a", "b").distinct(), nodes), percent)
-    pairs = stored(pairs, "pairs")
-    sets = _members(texts, classes, pairs, shingle)
-    links = stored(_linked(pairs, sets, percent), "links")
+    pairs = stored(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "pairs")
+    links = stored(_linked(pairs, _members(texts, classes, pairs, shingle), percent), "links")
     components = stored(connected_components(links), "components")
 
-    missed = _missed_pairs(met, pairs, components, nodes, sets, percent)
+    missed = _missed_pairs(met, pairs, components, classes, percent)
     if missed is not None:
-        more = stored(_linked(missed, sets, percent), "more-links")
+        more = stored(_linked(missed, _members(texts, classes, missed, shingle), percent), "more-links")
         links = stored(links.unionByName(more).distinct(), "links")
-        components = stored(connected_components(links), "components")
+        # What was found before goes in as stars, which are settled already.
+        components = stored(connected_components(components.toDF("a", "b").unionByName(more)), "components")
     return JaccardJoin(rows, classes, links, components)
 
 
@@ -126,12 +131,13 @@ def _survey_with(shingle: int):
                 sets = [shingles.set_of(t) for t in part["text"]]
                 marks = [fingerprint(s) for s in sets]
                 made = {"n_shingles": [len(s) for s in sets], "f1": [m[0] for m in marks], "f2": [m[1] for m in marks], "is_row": True}
+                made["sketch"] = [_sketch(s) for s in sets]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "digest": part["digest"].to_numpy(), **made})
                 different = list(dict(zip(marks, sets, strict=True)).values())
                 members, counts = np.unique(np.concatenate(different), return_counts=True)
                 often = counts >= max(3, FREQUENT_SHARE * len(different))
                 if often.any():
-                    found = {"n_shingles": counts[often], "f1": members[often].view(np.int64), "f2": 0, "is_row": False}
+                    found = {"n_shingles": counts[often], "f1": members[often].view(np.int64), "f2": 0, "is_row": False, "sketch": None}
                     yield pd.DataFrame({"id": pd.Series([None] * int(often.sum()), dtype="object"), "digest": 0, **found})
 
     return survey
@@ -226,23 +232,46 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _with_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of fingerprints as pairs of nodes with their sizes."""
-    left = nodes.toDF("node_a", "a", "size_a")
-    right = nodes.toDF("node_b", "b", "size_b")
+def _sketch(members: np.ndarray) -> bytes:
+    """How many members fall into each of 256 parts of the domain, at most 255."""
+    part = (members >> np.uint64(56)).astype(np.int64)
+    return np.minimum(np.bincount(part, minlength=SKETCH), 255).astype(np.uint8).tobytes()
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches (rows of two arrays) differ by no more than similar sets of these sizes may; sets differ at least as much."""
+    differences = np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64)
+    return differences * (100 + percent) <= (size_a + size_b) * (100 - percent)
+
+
+def _with_nodes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of fingerprints as pairs of nodes with their sizes and sketches."""
+    nodes = classes.select("node", "f1", "size", "sketch")
+    left = nodes.toDF("node_a", "a", "size_a", "sketch_a")
+    right = nodes.toDF("node_b", "b", "size_b", "sketch_b")
     joined = pairs.join(left, "a").join(right, "b").where("node_a <> node_b")
-    return joined.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "size_a", "size_b")
+    return joined.drop("a", "b").withColumnsRenamed({"node_a": "a", "node_b": "b"})
+
 
+def _near_only(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that may be similar, by their sizes and sketches."""
 
-def _within_size(pairs: DataFrame, percent: int) -> DataFrame:
-    return pairs.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SKETCH) for c in ("sketch_a", "sketch_b"))
+                keep = _may_link(a, b, batch["size_a"].to_numpy(), batch["size_b"].to_numpy(), percent)
+                yield batch.loc[keep, ["a", "b", "size_a", "size_b"]]
+
+    fitting = pairs.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+    return fitting.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(near, "a long, b long, size_a long, size_b long")
 
 
 def _members(texts: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """node and its whole set, for the nodes of the pairs."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = stored(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets")
-    chosen = texts.join(wanted, F.col("id").eqNullSafe(F.col("_id"))).select("node", "f1", "f2", "text")
+    chosen = texts.join(_small(wanted), F.col("id").eqNullSafe(F.col("_id"))).select("node", "f1", "f2", "text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(shingle)
@@ -265,54 +294,52 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= union * percent).select("a", "b")
 
 
-def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
     """Pairs of sets that share a signature, lie in different components, and may be similar; None if there are none to look at."""
-    label = stored(nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "f1", "component"), "labels")
+    label = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "f1", "component")
+    label = stored(label, "labels")
     # Every set of a signature, with its node and component; the first one is in each of its pairs.
     ends = met.select("signature", F.col("b").alias("f1"))
     heads = met.groupBy("signature", F.col("a").alias("f1")).count().select("signature", "f1")
     signed = stored(ends.unionByName(heads).distinct().join(label, "f1").select("signature", "node", "component"), "signed")
-    mixed_up = signed.groupBy("signature").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    mixed_up = stored(mixed_up.select("signature"), "mixed-signatures")
-    known = sets.mapInPandas(_sketches, f"node long, size int, sketch binary")
-    open_sets = stored(signed.join(mixed_up, "signature").join(known, "node"), "open-sets")
-    if open_sets.isEmpty():
+    # Of two sets the pair is known already.
+    mixed_up = signed.groupBy("signature").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n")
+    )
+    mixed_up = stored(mixed_up.where("least < most AND n > 2").select("signature", "n"), "mixed-signatures")
+    total = mixed_up.agg(F.sum("n")).first()[0]
+    if total is None:
         return None
-    found = open_sets.groupBy("signature").applyInPandas(_near_pairs_with(percent), "a long, b long, size_a long, size_b long")
+    buckets = max(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // OPEN_PER_BUCKET + 1)
+    open_sets = signed.join(mixed_up.select("signature"), "signature").join(classes.select("node", "size", "sketch"), "node")
+    grouped = open_sets.withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(buckets))).groupBy("bucket")
+    found = grouped.applyInPandas(_near_pairs_with(percent), "a long, b long, size_a long, size_b long")
     found = found.distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     return stored(found.join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "missed-pairs")
 
 
-def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many members fall into each of 256 parts of the domain, at most 255."""
-    for batch in batches:
-        out = []
-        for members in batch["members"]:
-            part = np.asarray(members, dtype=np.int64).view(np.uint64) >> np.uint64(56)
-            out.append(np.minimum(np.bincount(part.astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes())
-        yield pd.DataFrame({"node": batch["node"], "size": [len(m) for m in batch["members"]], "sketch": out})
-
-
 def _near_pairs_with(percent: int):
-    scheme = PartEnum(percent)
-
     def near_pairs(group: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of different components whose sketches do not differ by more than the sets may."""
-        group = group.sort_values(["size", "node"])
-        node, part, size = (group[c].to_numpy(np.int64) for c in ("node", "component", "size"))
-        sketch = np.stack([np.frombuffer(s, np.uint8) for s in group["sketch"]]).astype(np.int16)
-        out = []
-        for i in range(len(node) - 1):
-            # Sizes ascend: the partners of i are the sets after it that are not too large.
-            end = int(np.searchsorted(size, scheme.widest(int(size[i])), "right"))
-            other = np.arange(i + 1, end)
-            other = other[part[other] != part[i]]
-            for start in range(0, len(other), PAIRS_AT_ONCE):
-                block = other[start : start + PAIRS_AT_ONCE]
-                differences = np.abs(sketch[block] - sketch[i]).sum(axis=1, dtype=np.int64)
-                block = block[differences * (100 + percent) <= (size[block] + size[i]) * (100 - percent)]
-                out += [(min(node[i], node[j]), max(node[i], node[j]), *((size[i], size[j]) if node[i] < node[j] else (size[j], size[i]))) for j in block]
-        return pd.DataFrame(out, columns=["a", "b", "size_a", "size_b"])
+        """Pairs with one signature, of different components, whose sketches do not differ by more than the sets may.
+
+        In the order of signature and size each set is compared with its next, then its second next, and so on, all signatures at once.
+        """
+        group = group.sort_values(["signature", "size", "node"])
+        signature, node, part, size = (group[c].to_numpy(np.int64) for c in ("signature", "node", "component", "size"))
+        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, SKETCH)
+        first, found, step = np.arange(len(node)), set(), 0
+        while len(first):
+            step += 1
+            first = first[first + step < len(node)]
+            # Sizes ascend: once a partner is too large, all later ones are.
+            first = first[(signature[first] == signature[first + step]) & (size[first] * 100 >= size[first + step] * percent)]
+            open_ = first[part[first] != part[first + step]]
+            for start in range(0, len(open_), PAIRS_AT_ONCE):
+                a, b = open_[start : start + PAIRS_AT_ONCE], open_[start : start + PAIRS_AT_ONCE] + step
+                near = _may_link(sketch[a], sketch[b], size[a], size[b], percent)
+                found.update(zip(node[a[near]].tolist(), node[b[near]].tolist(), size[a[near]].tolist(), size[b[near]].tolist(), strict=True))
+        pairs = [(a, b, m, n) if a < b else (b, a, n, m) for a, b, m, n in found]
+        return pd.DataFrame(pairs, columns=["a", "b", "size_a", "size_b"])
 
     return near_pairs
 
@@ -320,7 +347,15 @@ def _near_pairs_with(percent: int):
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of the Jaccard join, with all its columns: the one with the smallest id.  Rows without words all stay."""
     has_words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    chosen = jaccard_join(df, id_col, text_col).chosen().toDF("_id", "_chosen")
-    marked = df.where(has_words).withColumn("_digest", F.xxhash64(F.col(text_col).cast("string"))).dropDuplicates([id_col, "_digest"])
-    kept = marked.join(chosen, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_chosen")), "left_semi")
-    return kept.drop("_digest").unionByName(df.where(~has_words))
+    chosen = jaccard_join(df, id_col, text_col).chosen().toDF("_id", "_chosen", "_n")
+    marked = df.where(has_words).withColumn("_digest", F.xxhash64(F.col(text_col).cast("string")))
+    here = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_chosen"))
+    once = marked.join(_small(chosen.where("_n = 1")), here, "left_semi")
+    # Only rows that repeat id and text have to meet.
+    several = marked.join(_small(chosen.where("_n > 1")), here, "left_semi").dropDuplicates([id_col, "_digest"])
+    return once.unionByName(several).drop("_digest").unionByName(df.where(~has_words))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if it is found to be short; a longer table is joined by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= MAX_BROADCAST else rows
