@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -151,9 +152,17 @@ def similar_items(catalog: DataFrame, items: DataFrame, title: str, k: int = 10,
 def batch_similar(
     catalog: DataFrame, items: DataFrame, titles: Sequence[str], k: int = 10, with_scores: bool = True
 ) -> DataFrame:
-    """The same for many titles, in one scan of the vectors; the ``query`` column tells the results apart."""
-    queries = item_queries(items, resolve_titles(catalog, titles).select("query", "item_id").distinct())
-    return with_catalog(nearest(items, queries, k), catalog, with_scores)
+    """The same for many titles; the ``query`` column tells the results apart.
+
+    Each ``MAX_QUERIES`` titles take one scan of the vectors; a longer list takes several.
+    """
+    different = list(dict.fromkeys(titles))
+    parts = [different[i : i + MAX_QUERIES] for i in range(0, len(different), MAX_QUERIES)] or [[]]
+    found = []
+    for part in parts:
+        queries = item_queries(items, resolve_titles(catalog, part).select("query", "item_id").distinct())
+        found.append(with_catalog(nearest(items, queries, k), catalog, with_scores))
+    return reduce(DataFrame.unionByName, found)
 
 
 def pair_similarity(catalog: DataFrame, items: DataFrame, title_a: str, title_b: str) -> DataFrame:
