@@ -180,10 +180,15 @@ def write_archives(
         .select("digest", F.col("first"))
     )
     repeated = stored(repeated, "warc-repeated")
+    # Names first, so that only the chosen payloads travel.
+    keys = [F.xxhash64("id", "digest").alias("h1"), F.xxhash64(F.lit(1), "id", "digest").alias("h2")]
+    chosen = F.broadcast(pages.select(*keys).distinct().orderBy("h1", "h2").limit(SAMPLE_RECORDS))
     sample = (
-        pages.select("id", "url", "digest", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
-        .orderBy(F.xxhash64("id"), "id", "digest")
-        .limit(SAMPLE_RECORDS)
+        pages.select("id", "url", "digest", F.substring("html", 1, SAMPLE_CHARS).alias("html"), *keys)
+        .join(chosen, ["h1", "h2"])
+        .groupBy("h1", "h2")
+        .agg(*[F.first(c).alias(c) for c in ("id", "url", "digest", "html")])
+        .orderBy("h1", "h2")
         .collect()
     )
     dictionary = build_dictionary([record(Page(r.id, r.url, r.html.encode("utf-8"), r.digest, None, False), date) for r in sample])
