@@ -22,7 +22,8 @@ MAX_FREQUENT = 250_000
 ENTRIES_PER_BUCKET = 2_000_000
 #: Sets that share a signature in one batch beyond this many go around the bucket of that signature.
 CROWD = 8
-SKETCH = 256
+SKETCH_BITS = 11
+SKETCH = 2**SKETCH_BITS // 8
 PAIRS_AT_ONCE = 16_384
 OPEN_PER_BUCKET = 100_000
 MAX_BROADCAST = 500_000
@@ -233,14 +234,15 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sketch(members: np.ndarray) -> bytes:
-    """How many members fall into each of 256 parts of the domain, at most 255."""
-    part = (members >> np.uint64(56)).astype(np.int64)
-    return np.minimum(np.bincount(part, minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    """A bit for each of 2,048 parts of the domain: whether an odd number of members falls into it."""
+    part = (members >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    return np.packbits(np.bincount(part, minlength=8 * SKETCH) & 1).tobytes()
 
 
 def _may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches (rows of two arrays) differ by no more than similar sets of these sizes may; sets differ at least as much."""
-    differences = np.abs(a.astype(np.int16) - b).sum(axis=1, dtype=np.int64)
+    """Whether sketches (rows of two arrays) differ in no more bits than similar sets of these sizes may differ in members: each
+    member that only one set has turns one bit."""
+    differences = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
     return differences * (100 + percent) <= (size_a + size_b) * (100 - percent)
 
 
@@ -302,11 +304,16 @@ def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, class
     ends = met.select("signature", F.col("b").alias("f1"))
     heads = met.groupBy("signature", F.col("a").alias("f1")).count().select("signature", "f1")
     signed = stored(ends.unionByName(heads).distinct().join(label, "f1").select("signature", "node", "component"), "signed")
-    # Of two sets the pair is known already.
+    # Of two sets the pair is known already; of signatures that the same sets share one is enough.
     mixed_up = signed.groupBy("signature").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n")
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x2"),
     )
-    mixed_up = stored(mixed_up.where("least < most AND n > 2").select("signature", "n"), "mixed-signatures")
+    mixed_up = mixed_up.where("least < most AND n > 2").groupBy("n", "x1", "x2").agg(F.min("signature").alias("signature"))
+    mixed_up = stored(mixed_up.select("signature", "n"), "mixed-signatures")
     total = mixed_up.agg(F.sum("n")).first()[0]
     if total is None:
         return None
