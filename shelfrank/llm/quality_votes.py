@@ -43,14 +43,21 @@ class NeighbourVotes:
         """Term weights, the leading singular directions of the weighted references, and class weights that restore ``totals``,
         the numbers of labelled rows with label 0 and 1."""
         n = len(labels)
-        idf = np.log((1 + n) / (1 + (terms > 0).sum(axis=0))) + SMOOTHING
-        weighted = terms.astype(np.float64) * idf
-        _, directions = np.linalg.eigh(weighted.T @ weighted)
+        held = (terms > 0).sum(axis=0)
+        used = np.flatnonzero(held)  # most terms occur in no reference; the driver need not carry them
+        idf = np.log((1 + n) / (1 + held[used])) + SMOOTHING
+        weighted = terms[:, used] * idf.astype(np.float32)
+        products = np.zeros((len(used), len(used)))
+        for start in range(0, n, TEXTS_AT_ONCE):
+            block = weighted[start : start + TEXTS_AT_ONCE].astype(np.float64)
+            products += block.T @ block
+        _, directions = np.linalg.eigh(products)
         directions = directions[:, ::-1][:, :dimensions]
         sampled = np.bincount(labels, minlength=2)
         weights = np.where(labels == 1, totals[1] / max(1, sampled[1]), totals[0] / max(1, sampled[0]))
         prior = totals[1] / sum(totals) if sum(totals) else 0.5
-        projection = idf[:, None] * directions
+        projection = np.zeros((terms.shape[1], directions.shape[1]))
+        projection[used] = idf[:, None] * directions
         return cls(projection, unit(weighted @ directions), labels.astype(np.float64), weights, prior, **settings)
 
     def score(self, terms: np.ndarray) -> np.ndarray:
