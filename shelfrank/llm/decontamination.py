@@ -1,4 +1,4 @@
-"""Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification."""
+"""Benchmark decontamination: one more piece of every item than edits are allowed, looked up exactly; exact edit verification."""
 
 from __future__ import annotations
 
@@ -18,27 +18,16 @@ from shelfrank.llm.common import pick, whole
 WORD = re.compile(r"\w+")
 MIN_WORDS = 8
 MAX_EDITS = 0.2
-TABLES = 16
-SAMPLED = 3
 WORDS_PER_PASS = 2_000_000
 CHARS_AT_ONCE = 4_000_000
-RECENT = 8
-SEED = 20
+HITS_AT_ONCE = 1_000_000
+MIX = np.int64(-7046029254386353131)
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def _seen_shortly_before(pairs: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """1 where the same pair stands at most ``RECENT`` places before."""
-    order = np.lexsort((places, pairs))
-    near = (pairs[order][1:] == pairs[order][:-1]) & (np.diff(places[order]) <= RECENT)
-    out = np.zeros(len(pairs), dtype=np.int32)
-    out[order[1:][near]] = 1
-    return out
-
-
 def nearest_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     """Smallest edit distance between ``item`` and any stretch of ``words``, with that stretch (start, end); the first such one.
 
@@ -62,69 +51,59 @@ def nearest_stretch(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]
     return int(row[end]), int(begin[end]), end
 
 
+def _sequences(words: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For every length up to ``longest`` a hash of the sequence of so many words from each place on."""
+    hashed = np.zeros(len(words), dtype=np.int64)
+    for length in range(1, min(longest, len(words)) + 1):
+        hashed = (hashed[: len(words) - length + 1] ^ words[length - 1 :]) * MIX
+        hashed = hashed ^ (hashed >> 29)
+        yield length, hashed
+
+
 @dataclass
 class BenchmarkIndex:
-    """Vocabulary, known word pairs and LSH tables of a list of benchmark items, which is bounded by its caller."""
+    """Vocabulary, known word pairs and pieces of a list of benchmark items, which is bounded by its caller."""
 
     vocabulary: dict[str, int]
     items: list[np.ndarray]
     edits: np.ndarray
     pairs: np.ndarray
-    distinct: np.ndarray  # different word pairs of each item
-    random: np.ndarray  # a random number for every word; with one for every step it gives the bit that moves the walk on
-    steps: np.ndarray  # tables x steps
-    sampled: dict[int, np.ndarray]  # size -> tables x positions
-    weights: np.ndarray
-    keys: dict[int, list[tuple[np.ndarray, np.ndarray]]]  # size -> per table: sorted keys, item numbers
+    own_pairs: list[np.ndarray]  # different word pairs of each item
+    sizes: np.ndarray
+    least: np.ndarray  # how many of these any stretch within the edits still holds
+    pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # words of a piece -> sorted hashes, item numbers, places in the items
 
     @classmethod
-    def build(cls, texts: list[str], max_edits: float = MAX_EDITS, tables: int = TABLES, sampled: int = SAMPLED) -> BenchmarkIndex:
+    def build(cls, texts: list[str], max_edits: float = MAX_EDITS) -> BenchmarkIndex:
+        """Each item is cut into one more piece than it may have edits (into single words if it has fewer), so one stays whole."""
         split = [words_of(t) for t in texts]
         vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for words in split for w in words}))}
         items = [np.array([vocabulary[w] for w in words], dtype=np.int64) for words in split]
         width = len(vocabulary) + 1
-        pairs = np.unique(np.concatenate([x[:-1] * width + x[1:] for x in items])) if items else np.empty(0, np.int64)
-        random = np.random.default_rng(SEED)
-        sizes = sorted({len(x) for x in items})
-        longest = 2 * max(sizes, default=0)
-        distinct = np.array([len(np.unique(x[:-1] * width + x[1:])) for x in items], dtype=np.int64)
-        numbers = random.integers(0, 2**63 - 1, width, dtype=np.int64) | 1
-        steps = random.integers(0, 2**63 - 1, (tables, longest), dtype=np.int64) | 1
-        positions = {m: np.sort(np.stack([random.choice(2 * m, sampled, replace=False) for _ in range(tables)]), axis=1) for m in sizes}
-        weights = random.integers(1, 2**62, sampled, dtype=np.int64) | 1
+        own_pairs = [np.unique(x[:-1] * width + x[1:]) for x in items]
+        pairs = np.unique(np.concatenate(own_pairs)) if items else np.empty(0, np.int64)
         edits = np.array([int(max_edits * len(x)) for x in items], dtype=np.int64)
-        index = cls(vocabulary, items, edits, pairs, distinct, numbers, steps, positions, weights, {})
-        for m in sizes:
-            numbers = np.array([i for i, x in enumerate(items) if len(x) == m])
-            hashed = index.signatures(np.stack([items[i] for i in numbers]), m)
-            orders = np.argsort(hashed, axis=1, kind="stable")
-            index.keys[m] = [(h[order], numbers[order]) for h, order in zip(hashed, orders, strict=True)]
-        return index
-
-    def signatures(self, windows: np.ndarray, size: int) -> np.ndarray:
-        """Per table and window a hash of the sampled symbols of its CGK embedding.
-
-        In the embedding each step writes the symbol under the pointer, and a random bit of step and symbol says whether the pointer
-        moves on; past the end it writes 0.  All tables walk at once.
-        """
-        padded = np.concatenate([windows, np.zeros((len(windows), 1), dtype=np.int64)], axis=1).ravel()
-        rows = np.arange(len(windows)) * (size + 1)
-        wanted = self.sampled[size]
-        at = np.zeros((len(wanted), len(windows)), dtype=np.int64)
-        out = np.zeros_like(at)
-        for step in range(int(wanted.max()) + 1):
-            symbol = padded[rows + at]
-            for table, place in zip(*np.nonzero(wanted == step), strict=True):
-                out[table] = (out[table] ^ symbol[table]) * self.weights[place] + (out[table] >> 29)
-            at += (self.random[symbol] * self.steps[:, step, None]) >> 40 & 1
-            np.minimum(at, size, out=at)
-        return out
+        least = np.array([len(x) for x in own_pairs], dtype=np.int64) - 2 * edits
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        for i, item in enumerate(items):
+            count = min(int(edits[i]) + 1, len(item))
+            cuts = [len(item) * n // max(count, 1) for n in range(count + 1)]
+            hashed = dict(_sequences(item, max(np.diff(cuts), default=0)))
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                found.setdefault(b - a, []).append((int(hashed[b - a][a]), i, a))
+        pieces = {}
+        for length, rows in found.items():
+            table = np.array(sorted(rows), dtype=np.int64)
+            pieces[length] = tuple(np.ascontiguousarray(table[:, c]) for c in range(3))
+        sizes = np.array([len(x) for x in items], dtype=np.int64)
+        return cls(vocabulary, items, edits, pairs, own_pairs, sizes, least, pieces)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, end, distance): for each text and item the nearest stretch within the item's edits.
 
-        A window of an item's size can only hold it if enough of its neighbouring words are neighbours in some item, as
-        an edit breaks two pairs at most; windows that fail this lose nothing.  The others are looked up in every LSH table.
+        Fewer edits than an item has pieces leave one piece whole, at most ``edits`` words away from its place in the stretch; and an
+        edit breaks two pairs of neighbouring words at most.  So places of a piece whose surroundings hold too few known pairs lose
+        nothing, and no stretch within the edits is missed.
         """
         if not self.items:
             return []
@@ -138,44 +117,52 @@ class BenchmarkIndex:
             coded += [ids, blank]
             at += len(ids) + gap
         words, starts = np.concatenate(coded), np.array(starts)
-        width = len(self.vocabulary) + 1
-        seen = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
-        pair = words[seen] * width + words[seen + 1]
-        found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        known = np.zeros(len(words), dtype=np.int32)
-        known[seen[self.pairs[found] == pair]] = 1
-        # A pair that was there a few words before adds no new one to a window, unless the window starts in between.
-        recent = known.copy()
-        recent[seen] &= _seen_shortly_before(pair, seen)
-        fresh_total = np.concatenate([[0], np.cumsum(known - recent)])
-        recent_total = np.concatenate([[0], np.cumsum(recent)])
-        candidates: set[tuple[int, int]] = set()
-        for size, tables in self.keys.items():
-            numbers = tables[0][1]
-            least = int((self.distinct[numbers] - 2 * self.edits[numbers]).min())
-            last = len(words) - size + 1
-            head = min(RECENT, size - 1)
-            distinct = fresh_total[size - 1 : size - 1 + last] - fresh_total[:last] + recent_total[head : head + last] - recent_total[:last]
-            enough = np.flatnonzero(distinct >= least)
-            if not len(enough):
+        known = np.zeros(len(words), dtype=np.int64)
+        if len(self.pairs):
+            width = len(self.vocabulary) + 1
+            seen = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
+            pair = words[seen] * width + words[seen + 1]
+            found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            known[seen[self.pairs[found] == pair]] = 1
+        total = np.concatenate([[0], np.cumsum(known)])
+        candidates = []
+        for length, hashed in _sequences(words, max(self.pieces, default=0)):
+            if length not in self.pieces:
                 continue
-            windows = words[enough[:, None] + np.arange(size)]
-            for hashed, (keys, numbers) in zip(self.signatures(windows, size), tables, strict=True):
-                low, high = np.searchsorted(keys, hashed, "left"), np.searchsorted(keys, hashed, "right")
-                for i in np.flatnonzero(high > low):
-                    candidates.update((int(enough[i]), int(numbers[j])) for j in range(low[i], high[i]))
-        return self._verified(candidates, words, starts, gap)
-
-    def _verified(self, candidates: set[tuple[int, int]], words: np.ndarray, starts: np.ndarray, gap: int) -> list[tuple[int, int, int, int, int]]:
+            keys, numbers, places = self.pieces[length]
+            # All pairs inside a whole piece are known.
+            at = np.flatnonzero((total[length - 1 : len(words)] - total[: len(hashed)] == length - 1) & (words[: len(hashed)] > 0))
+            low, high = np.searchsorted(keys, hashed[at], "left"), np.searchsorted(keys, hashed[at], "right")
+            at, low, count = at[high > low], low[high > low], (high - low)[high > low]
+            for rows in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(count) // HITS_AT_ONCE)) + 1):
+                n = count[rows]
+                piece = np.repeat(low[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                item, begin = numbers[piece], np.repeat(at[rows], n) - places[piece]
+                first = np.maximum(begin - self.edits[item], 0)
+                last = np.minimum(begin + self.sizes[item] + self.edits[item], len(words))
+                enough = total[last] - total[first] >= self.least[item]
+                candidates.append(np.unique(np.stack([item[enough], begin[enough]], axis=1), axis=0))
+        if not candidates:
+            return []
+        return self._verified(np.unique(np.concatenate(candidates), axis=0), words, starts, gap)
+
+    def _verified(self, candidates: np.ndarray, words: np.ndarray, starts: np.ndarray, gap: int) -> list[tuple[int, int, int, int, int]]:
+        """The matches among (item, place where it would begin without edits), in this order."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[int, int] = {}  # item -> end of the region that was verified last
-        for begin, item in sorted(candidates, key=lambda c: (c[1], c[0])):
+        width = len(self.vocabulary) + 1
+        for item, begin in candidates.tolist():
             size, edits = len(self.items[item]), int(self.edits[item])
             if begin + size + edits <= done.get(item, -1):
                 continue
-            text = int(np.searchsorted(starts, begin, "right")) - 1
-            low = max(int(starts[text]), begin - edits)
+            # The piece itself may lie further on than the place where the item would begin.
+            text = int(np.searchsorted(starts, begin + size - 1, "right")) - 1
             limit = int(starts[text + 1]) - gap if text + 1 < len(starts) else len(words) - gap
+            low = max(int(starts[text]), begin - edits)
+            near = words[low : min(limit, begin + size + edits)]
+            own = self.own_pairs[item]
+            if len(np.intersect1d(near[:-1] * width + near[1:], own)) < self.least[item]:
+                continue
             high = min(limit, begin + 2 * size + edits)
             distance, first, end = nearest_stretch(self.items[item], words[low:high])
             done[item] = high
@@ -199,7 +186,7 @@ def contaminated(
     """One row per document and benchmark item that it holds: ids, words of the stretch (start, end), characters, and edits.
 
     Texts are compared as lower-case words; an item is held if some stretch differs from it by at most ``max_edits`` of its
-    words (rounded down), each inserted, lost or replaced.  Items of fewer than ``min_words`` words, null ones included, occur by chance and
+    words (rounded down), each inserted, lost or replaced; every such item is found.  Items of fewer than ``min_words`` words, null ones included, occur by chance and
     are left out.  Items are broadcast in parts of about ``words_per_pass`` words, one pass over the documents for each part, so
     a benchmark of any size is handled.  Whole texts are searched, and each row on its own: nothing is shuffled.  A null or empty text holds
     nothing; rows with a null id are searched too; repeated rows give repeated results (repeated items likewise); empty tables

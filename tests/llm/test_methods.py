@@ -199,6 +199,25 @@ def test_lsh_recall_of_edited_items():
     assert exact <= set(found)
 
 
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete", "mixed"])
+@pytest.mark.parametrize("size", [8, 12, 20, 40, 59, 100, 150])
+def test_items_with_all_allowed_edits_are_found(kind, size):
+    r = random.Random(f"{kind} {size}")
+    items = [" ".join(f"i{r.randrange(60)}" for _ in range(size)) for _ in range(10)]
+    texts = []
+    for item in items * 2:
+        words = item.split()
+        for at in sorted(r.sample(range(size), int(0.2 * size)), reverse=True):
+            edit = r.choice(["replace", "insert", "delete"]) if kind == "mixed" else kind
+            words[at : at + (edit != "insert")] = [] if edit == "delete" else [f"i{r.randrange(80)}"]
+        before, after = ([f"i{r.randrange(80)}" for _ in range(r.choice([0, 3, 90]))] for _ in range(2))
+        texts.append(" ".join(before + words + after))
+    found = {(m[0], m[1]): m[4] for m in BenchmarkIndex.build(items).matches(texts)}
+    expected = brute_matches(texts, items)
+    assert len(expected) >= 20
+    assert found == expected
+
+
 # 7
 
 
