@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.llm.common import pick, stored
@@ -26,7 +27,12 @@ SKETCH_BITS = 11
 SKETCH = 2**SKETCH_BITS // 8
 PAIRS_AT_ONCE = 16_384
 OPEN_PER_BUCKET = 100_000
+#: Sets that are compared in pairs stand in blocks of about so many members.
+BLOCK_ENTRIES = 500_000
+#: What a set counts in a block besides its members, for its sketch and its place in the table.
+SET_ENTRIES = 64
 MAX_BROADCAST = 500_000
+BLOCK_KEYS = "array<struct<k0:int,k1:int,k2:int,k3:int,k4:int>>"
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -41,11 +47,11 @@ class JaccardJoin:
 
     rows: DataFrame  # id, digest (of the text), n_shingles, f1, f2: one per row of the table
     classes: DataFrame  # node, f1, f2, first (smallest id), size: one per different set
-    links: DataFrame  # a, b: nodes of different sets that are linked
+    links: DataFrame  # a, b: nodes of different sets that are linked, once for each pair
     components: DataFrame = field(repr=False)  # node, component, for nodes with a link
 
     def labelled(self, id_col: str) -> DataFrame:
-        """Per row: id, n_shingles, component_id, and the number of linked texts that differ."""
+        """Per row: id, n_shingles, component_id, and the number of different sets that its own is linked with."""
         ends = self.links.select(F.col("a").alias("node")).unionByName(self.links.select(F.col("b").alias("node")))
         degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
         nodes = self._nodes()
@@ -70,7 +76,9 @@ class JaccardJoin:
         return stored(least.select("row.id", "row.digest", "row.n"), "chosen-rows")
 
 
-def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> JaccardJoin:
+def jaccard_join(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, every_link: bool = True
+) -> JaccardJoin:
     """All links between texts whose shingle sets have a Jaccard similarity of at least ``percent`` / 100, decided exactly.
 
     A set holds the different ``shingle``-word sequences of a text, A-Z lower-cased; a text of fewer words is one sequence; a null
@@ -82,6 +90,10 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first set of its signature; the pairs are checked and their components formed.  Only signatures whose sets then lie in different
     components are looked at again, and there every pair that a lower bound on the difference of the sets lets pass
     is checked too.  So no link between components is lost, and a large group of copies costs one pair for each set.
+
+    Then all sets of a component meet in blocks, and every pair that size and sketch let pass is checked, so that no link is lost
+    inside a component either.  ``every_link`` = False leaves this out, for callers that only want the components: ``links`` then
+    connects each component but is not complete.
     """
     spark = df.sparkSession
     texts = pick(df, id=id_col, text=text_col).select("id", F.col("text").cast("string").alias("text"))
@@ -111,15 +123,21 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = stored(met, "signature-pairs")
 
     pairs = stored(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "pairs")
-    links = stored(_linked(pairs, _members(texts, classes, pairs, shingle), percent), "links")
+    links = stored(_linked(pairs, _members(texts, classes, _ends(pairs), shingle), percent), "links")
     components = stored(connected_components(links), "components")
 
     missed = _missed_pairs(met, pairs, components, classes, percent)
     if missed is not None:
-        more = stored(_linked(missed, _members(texts, classes, missed, shingle), percent), "more-links")
+        more = stored(_linked(missed, _members(texts, classes, _ends(missed), shingle), percent), "more-links")
         links = stored(links.unionByName(more).distinct(), "links")
         # What was found before goes in as stars, which are settled already.
         components = stored(connected_components(components.toDF("a", "b").unionByName(more)), "components")
+    if every_link:
+        checked = pairs if missed is None else pairs.unionByName(missed)
+        wanted = stored(_unsettled(components, checked, classes), "unsettled-nodes")
+        inside = _links_inside(wanted, _members(texts, classes, wanted.select("node"), shingle), percent, parts)
+        ordered = links.unionByName(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        links = stored(ordered.distinct(), "every-link")
     return JaccardJoin(rows, classes, links, components)
 
 
@@ -269,9 +287,12 @@ def _near_only(pairs: DataFrame, percent: int) -> DataFrame:
     return fitting.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(near, "a long, b long, size_a long, size_b long")
 
 
-def _members(texts: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """node and its whole set, for the nodes of the pairs."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """node and its whole set, for the wanted nodes."""
     wanted = stored(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets")
     chosen = texts.join(_small(wanted), F.col("id").eqNullSafe(F.col("_id"))).select("node", "f1", "f2", "text")
 
@@ -327,34 +348,117 @@ def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, class
 
 def _near_pairs_with(percent: int):
     def near_pairs(group: pd.DataFrame) -> pd.DataFrame:
-        """Pairs with one signature, of different components, whose sketches do not differ by more than the sets may.
-
-        In the order of signature and size each set is compared with its next, then its second next, and so on, all signatures at once.
-        """
+        """Pairs with one signature, of different components, whose sketches do not differ by more than the sets may."""
         group = group.sort_values(["signature", "size", "node"])
         signature, node, part, size = (group[c].to_numpy(np.int64) for c in ("signature", "node", "component", "size"))
         sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, SKETCH)
-        first, found, step = np.arange(len(node)), set(), 0
-        while len(first):
-            step += 1
-            first = first[first + step < len(node)]
-            # Sizes ascend: once a partner is too large, all later ones are.
-            first = first[(signature[first] == signature[first + step]) & (size[first] * 100 >= size[first + step] * percent)]
-            open_ = first[part[first] != part[first + step]]
-            for start in range(0, len(open_), PAIRS_AT_ONCE):
-                a, b = open_[start : start + PAIRS_AT_ONCE], open_[start : start + PAIRS_AT_ONCE] + step
-                near = _may_link(sketch[a], sketch[b], size[a], size[b], percent)
-                found.update(zip(node[a[near]].tolist(), node[b[near]].tolist(), size[a[near]].tolist(), size[b[near]].tolist(), strict=True))
+        found = set()
+        for a, b in _near(signature, size, sketch, percent, lambda i, j: part[i] != part[j]):
+            found.update(zip(node[a].tolist(), node[b].tolist(), size[a].tolist(), size[b].tolist(), strict=True))
         pairs = [(a, b, m, n) if a < b else (b, a, n, m) for a, b, m, n in found]
         return pd.DataFrame(pairs, columns=["a", "b", "size_a", "size_b"])
 
     return near_pairs
 
 
+def _near(key: np.ndarray, size: np.ndarray, sketch: np.ndarray, percent: int, open_to) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs with one key that ``open_to`` admits and whose sketches do not differ by more than the sets may.
+
+    In the order of key and size each set is compared with its next, then its second next, and so on, all keys at once.
+    """
+    first, step = np.arange(len(key)), 0
+    while len(first):
+        step += 1
+        first = first[first + step < len(key)]
+        # Sizes ascend: once a partner is too large, all later ones are.
+        first = first[(key[first] == key[first + step]) & (size[first] * 100 >= size[first + step] * percent)]
+        chosen = first[open_to(first, first + step)]
+        for start in range(0, len(chosen), PAIRS_AT_ONCE):
+            a = chosen[start : start + PAIRS_AT_ONCE]
+            near = _may_link(sketch[a], sketch[a + step], size[a], size[a + step], percent)
+            yield a[near], a[near] + step
+
+
+def _unsettled(components: DataFrame, checked: DataFrame, classes: DataFrame) -> DataFrame:
+    """component, node and size of the sets in components of which not every pair was checked."""
+    ends = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = ends.join(components.toDF("a", "component"), "a").join(components.toDF("b", "other"), "b").where("component = other")
+    done = ends.groupBy("component").agg(F.count(F.lit(1)).alias("done"))
+    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    unsettled = sizes.join(done, "component", "left").where("n * (n - 1) > 2 * coalesce(done, 0)").select("component")
+    return components.join(unsettled, "component").join(classes.select("node", "size"), "node").select("component", "node", "size")
+
+
+def _links_inside(nodes: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
+    """All links between sets of one component."""
+    weight = F.col("size") + SET_ENTRIES
+    blocked = stored(_in_blocks(nodes, "component", weight, BLOCK_ENTRIES, percent), "component-blocks")
+    total = blocked.agg(F.sum(weight)).first()[0] or 0
+    buckets = max(parts, total // ENTRIES_PER_BUCKET + 1)
+    grouped = blocked.join(sets, "node").withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
+    return grouped.applyInPandas(_exact_links_with(percent), "a long, b long")
+
+
+def _in_blocks(rows: DataFrame, group: str, weight: Column, limit: int, percent: int) -> DataFrame:
+    """``rows`` with ``key`` and ``side``: any two of a group whose sizes allow a link meet under one key, on different sides or
+    both on side -1.
+
+    A group of more than ``limit`` in weight is cut by size into bands, of which similar sets are in the same or the next one, and bands by a
+    hash of the node into blocks of about ``limit``.  Every key holds one block or two.
+    """
+    width = math.log(100 / percent) * 1.000001 + 1e-6
+    banded = rows.withColumn("_band", F.floor(F.log(F.col("size").cast("double")) / width).cast("int"))
+    heavy = banded.groupBy(group, "_band").agg(F.ceil(F.sum(weight) / limit).cast("int").alias("n"), F.sum(weight).alias("w"))
+    heavy = heavy.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("_band", "n"))).alias("_blocks"), F.sum("w").alias("w"))
+    heavy = heavy.where(F.col("w") > limit).select(group, "_blocks")
+    placed = banded.join(heavy, group, "left").withColumn("_part", F.pmod(F.xxhash64("node"), F.element_at("_blocks", F.col("_band"))).cast("int"))
+
+    def meeting(step: int) -> Column:
+        """The keys shared with the blocks of the band ``step`` further on: (low band, low block, high band, high block, side)."""
+        other = F.col("_band") + step
+
+        def key(q: Column) -> Column:
+            if step < 0:
+                values = (other, q, F.col("_band"), F.col("_part"), F.lit(1))
+            elif step > 0:
+                values = (F.col("_band"), F.col("_part"), other, q, F.lit(0))
+            else:
+                side = F.when(q == F.col("_part"), -1).otherwise((q < F.col("_part")).cast("int"))
+                values = (other, F.least(q, "_part"), other, F.greatest(q, "_part"), side)
+            return F.struct(*[v.cast("int").alias(f"k{i}") for i, v in enumerate(values)])
+
+        there = F.element_at("_blocks", other)
+        return F.when(there.isNotNull(), F.transform(F.sequence(F.lit(0), there - 1), key)).otherwise(F.array().cast(BLOCK_KEYS))
+
+    alone = F.array(F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate((0, 0, 0, 0, -1))])).cast(BLOCK_KEYS)
+    keys = F.when(F.isnull("_blocks"), alone).otherwise(F.concat(*[meeting(step) for step in (-1, 0, 1)]))
+    out = placed.withColumn("_key", F.explode(keys))
+    out = out.withColumn("key", F.xxhash64(group, "_key.k0", "_key.k1", "_key.k2", "_key.k3")).withColumn("side", F.col("_key.k4"))
+    return out.drop("_band", "_blocks", "_part", "_key")
+
+
+def _exact_links_with(percent: int):
+    def exact_links(group: pd.DataFrame) -> pd.DataFrame:
+        """The pairs under one key, on different sides or both on side -1, that are similar enough by their whole sets."""
+        group = group.sort_values(["key", "size", "node"])
+        key, node, side, size = (group[c].to_numpy(np.int64) for c in ("key", "node", "side", "size"))
+        sets = [np.asarray(m, dtype=np.int64).view(np.uint64) for m in group["members"]]
+        sketch = np.frombuffer(b"".join(_sketch(m) for m in sets), np.uint8).reshape(-1, SKETCH)
+        links = []
+        for a, b in _near(key, size, sketch, percent, lambda i, j: (side[i] != side[j]) | (side[i] < 0)):
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if common * 100 >= (size[i] + size[j] - common) * percent:
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    return exact_links
+
+
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component of the Jaccard join, with all its columns: the one with the smallest id.  Rows without words all stay."""
     has_words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    chosen = jaccard_join(df, id_col, text_col).chosen().toDF("_id", "_chosen", "_n")
+    chosen = jaccard_join(df, id_col, text_col, every_link=False).chosen().toDF("_id", "_chosen", "_n")
     marked = df.where(has_words).withColumn("_digest", F.xxhash64(F.col(text_col).cast("string")))
     here = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_chosen"))
     once = marked.join(_small(chosen.where("_n = 1")), here, "left_semi")

@@ -290,6 +290,35 @@ def test_components_equal_brute_force(spark):
     assert found == brute_components(rows)
 
 
+def near_copies(seed=12):
+    r = random.Random(seed)
+    texts = word_soup(seed, 25, words=(40, 160))
+    for text in list(texts):
+        for _ in range(r.randint(0, 7)):
+            words = text.split()
+            for _ in range(r.randint(1, 1 + len(words) // 60)):
+                words[r.randrange(len(words))] = f"n{r.randrange(10**6)}"
+            texts.append(" ".join(words))
+    rows = list(enumerate(texts)) + [(10_000, texts[3])]
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("entries", [500_000, 300])
+def test_links_equal_brute_force(spark, monkeypatch, entries):
+    from shelfrank.llm import jaccard_join as module
+
+    monkeypatch.setattr(module, "BLOCK_ENTRIES", entries, raising=False)
+    rows, shingles = near_copies(), Shingles()
+    sets = {i: frozenset(shingles.set_of(text).tolist()) for i, text in rows}
+    different = set(sets.values())
+    linked = {a: {b for b in different if a != b and 100 * len(a & b) >= 75 * len(a | b)} for a in different}
+    made = jaccard_join(documents(spark, rows))
+    found = {x.doc_id: x.n_links for x in made.labelled("doc_id").collect()}
+    assert found == {i: len(linked[s]) for i, s in sets.items()}
+    assert made.links.count() == sum(map(len, linked.values())) // 2
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, 250), (250, 275)]
     found = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
