@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.scale import cut_lineage
+from shelfrank.scale import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,36 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return numbered.select(*[F.col(f"_c{names.index(old)}").alias(new) for new, old in columns.items()])
 
 
+#: Spark then removes a written table's shuffle files at once: nothing reads them again, as the table stands for them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that a lost executor never repeats what made it."""
-    return cut_lineage(df, purpose)
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read any more.  Only tables that ``stored`` returned are touched."""
+    for each in tables:
+        path = getattr(each, "_stored_at", None)
+        if path is not None:
+            context = each.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def whole(text: Column) -> Column:

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.llm.alignment import align_documents
 from shelfrank.llm.bpe import encode_documents
+from shelfrank.llm.collocations import collocations
 from shelfrank.llm.common import table
 from shelfrank.llm.curve_search import nearest_by_curves
 from shelfrank.llm.decontamination import contaminated
 from shelfrank.llm.jaccard_join import jaccard_join
+from shelfrank.llm.language_model import score_documents
 from shelfrank.llm.quality_votes import fit_votes, held_out, score_quality
 from shelfrank.llm.registry import query
 from shelfrank.llm.secret_scan import KINDS, count_of, find_secrets, span_text
@@ -161,3 +164,49 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return encode_documents(table(spark, sf_dir, "documents"), path, ids=False, decoded=False)
+
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, 6) AS s(size) WHERE len(w) >= size)),
+sizes AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+freq AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM freq WHERE size > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n,
+    ((1000 * c.f::HUGEINT * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM cand) c
+  JOIN freq l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN freq r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN sizes z ON z.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM cand)) GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.f IS NULL OR 100 * i.f < 100 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::INTEGER AS rank, phrase, a, l, r, n::BIGINT AS n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op11_collocations", PHRASE_SQL)
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_alignment")
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b, ranks = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
+    aligned = align_documents(table(spark, sf_dir, "documents"), a, b, ranks_path=ranks, pattern=public_tokenizers.PATTERN)
+    return aligned.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+@query("op13_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
