@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.llm.bpe import byte_letters
-from shelfrank.llm.common import pick, stored, whole
+from shelfrank.llm.common import pick, whole, written
 from shelfrank.llm.packed import REPLY_SCHEMA, asks, chunks_of, counted, opened, replies, reply_of, runs, squeezed, with_replies
 
 CHARS_AT_ONCE = 2_000_000
@@ -287,9 +287,9 @@ def align_documents(
         starts = runs(a)[:-1]
         return {"best": squeezed(np.stack([a[starts], np.maximum.reduceat(sums, starts)]))}
 
-    chunks = stored(rows.mapInPandas(aligned, CHUNKS), "aligned")
+    chunks = written(rows.mapInPandas(aligned, CHUNKS), "aligned")
     asking = chunks.select("chunk", "keys", "docs").mapInPandas(asked, "chunk long, bucket int, keys binary, counts binary")
-    answered = stored(replies(asking, highest, f"{REPLY_SCHEMA}, best binary"), "pair-counts")
+    answered = written(replies(asking, highest, f"{REPLY_SCHEMA}, best binary"), "pair-counts")
 
     def maxima(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

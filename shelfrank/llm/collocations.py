@@ -13,8 +13,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import pick, stored, whole
-from shelfrank.llm.packed import Bits, bucket_of, chunks_of, counted, ngram_keys, opened, pieces, runs, squeezed, sums_of
+from shelfrank.llm.common import pick, whole, written
+from shelfrank.llm.packed import Bits, bucket_of, chunks_of, counted, ngram_keys, opened, runs, squeezed
 from shelfrank.scale import broadcast_if_small, top_k_per_group
 
 SUPPORT, LONGEST, TOP, ABSORB = 100, 5, 2_000, 100
@@ -108,7 +108,7 @@ def collocations(
     )
     docs = docs.withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
     totals = docs.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORDS))).alias("words"), F.sum(F.length("text")).alias("chars"))
-    totals = stored(totals, "phrase-totals")
+    totals = written(totals, "phrase-totals")
     sizes = totals.groupBy("lang").agg(F.sum("words").alias("n"))
     chars = totals.agg(F.sum("chars")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // CHARS_PER_BUCKET + 1)
@@ -119,7 +119,7 @@ def collocations(
     words = context.broadcast(_mined(docs, local, (1,), None, None, buckets, WORD_BITS))
     pairs = context.broadcast(_mined(docs, local, (2,), words, None, buckets, PAIR_BITS))
     longer = context.broadcast(_mined(docs, local, tuple(range(3, longest + 1)), words, pairs, buckets, LONG_BITS))
-    found = stored(_counted(docs, support, longest, words, pairs, longer, buckets), "phrase-counts")
+    found = written(_counted(docs, support, longest, words, pairs, longer, buckets), "phrase-counts")
     return _ranked(found, sizes, top, absorb)
 
 
@@ -130,26 +130,42 @@ def _mined(docs: DataFrame, local: DataFrame, widths: tuple[int, ...], words, pa
         hashes = _WordHashes({CUT: 0})
         known, joined = words.value if words else None, pairs.value if pairs else None
         for _, chunk in chunks_of(batches, CHARS_AT_ONCE):
-            out = []
-            for (lang, shard), part in chunk.groupby(["lang", "shard"], sort=False):
+            found = []
+            for (lang, shard, local_support), part in chunk.groupby(["lang", "shard", "support"], sort=False):
                 phrases = _Phrases(lang, part["text"].to_list(), hashes)
-                keys = np.concatenate([phrases.keys(w)[phrases.open(w, known, joined)] for w in widths]) if widths else np.empty(0, np.uint64)
-                out += [(b, lang, shard, k, c) for b, k, c in pieces(*counted(keys), buckets)]
-            yield pd.DataFrame(out, columns=["bucket", "lang", "shard", "keys", "counts"])
+                keys = [phrases.keys(w)[phrases.open(w, known, joined)] for w in widths]
+                keys, counts = counted(np.concatenate(keys) if keys else np.empty(0, np.uint64))
+                found.append((keys, counts, np.full(len(keys), shard), np.full(len(keys), local_support)))
+            if found:
+                yield _packed([np.concatenate(x) for x in zip(*found, strict=True)], buckets)
 
     def frequent(group: pd.DataFrame) -> pd.DataFrame:
-        kept = []
-        for _, part in group.groupby(["lang", "shard"], sort=False):
-            keys, sums = sums_of(part)
-            kept.append(keys[sums >= int(part["support"].iloc[0])])
-        keys = np.unique(np.concatenate(kept))
+        keys = np.frombuffer(b"".join(group["keys"]), np.uint64)
+        counts, shard, local_support = np.concatenate([opened(b, np.uint32).reshape(3, -1) for b in group["counts"]], axis=1).astype(np.int64)
+        # A key belongs to one language, so its support is that of its shard.
+        order = np.lexsort((shard, keys))
+        keys, shard = keys[order], shard[order]
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1]))) if len(keys) else np.empty(0, np.int64)
+        sums = np.add.reduceat(counts[order], starts) if len(keys) else counts
+        keys = np.unique(keys[starts][sums >= local_support[order][starts]])
         return pd.DataFrame([Bits.slice(keys, bits)] if len(keys) else [], columns=["first", "data"])
 
-    packed = docs.mapInPandas(occurrences, "bucket int, lang string, shard int, keys binary, counts binary")
-    packed = packed.join(broadcast_if_small(local), ["lang", "shard"])
+    docs = docs.join(broadcast_if_small(local), ["lang", "shard"])
+    packed = docs.mapInPandas(occurrences, "bucket int, keys binary, counts binary")
     return Bits.gathered(packed.groupBy("bucket").applyInPandas(frequent, "first long, data binary"), bits)
 
 
+def _packed(found: list[np.ndarray], buckets: int) -> pd.DataFrame:
+    """One row for each bucket with the keys of a chunk, all languages and shards; counts, shards and supports are three rows of ``counts``."""
+    order = np.argsort(found[0], kind="stable")
+    keys, counts, shard, local_support = (x[order] for x in found)
+    bucket = bucket_of(keys, buckets)
+    cuts = runs(bucket)
+    rest = np.stack([counts, shard, local_support]).astype(np.uint32)
+    out = [(int(bucket[a]), keys[a:b].tobytes(), squeezed(rest[:, a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pd.DataFrame(out, columns=["bucket", "keys", "counts"])
+
+
 def _counted(docs: DataFrame, support: int, longest: int, words, pairs, longer, buckets: int) -> DataFrame:
     """lang, phrase and its exact occurrences, for all phrases of the sets that reach the support."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.scale import shared_folder
+from shelfrank.scale import cut_lineage, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that a lost executor never repeats what made it."""
+    return cut_lineage(df, purpose)
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``stored``, but the shuffle files that made the table go at once, and ``dropped`` can delete it."""
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     before = spark.conf.get(CLEANUP, None)
@@ -45,7 +50,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete tables of ``stored`` that nothing will read any more.  Only tables that ``stored`` returned are touched."""
+    """Delete tables of ``written`` that nothing will read any more; other frames are left alone."""
     for each in tables:
         path = getattr(each, "_stored_at", None)
         if path is not None:

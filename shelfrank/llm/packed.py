@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import stored
+from shelfrank.llm.common import written
 from shelfrank.llm.shingle_sets import FACTOR, mixed
 
 REPLY_SCHEMA = "chunk long, bucket int, counts binary, total long, different long"
@@ -140,7 +140,7 @@ def replies(asked: DataFrame, extra=None, schema: str = REPLY_SCHEMA) -> DataFra
 def with_replies(chunks: DataFrame, answered: DataFrame) -> DataFrame:
     """The chunks with ``replies``: their sums by ascending bucket, as ``reply_of`` takes them."""
     own = answered.where("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "counts"))).alias("replies"))
-    own = stored(own.select("chunk", F.col("replies.counts").alias("replies")), "replies")
+    own = written(own.select("chunk", F.col("replies.counts").alias("replies")), "replies")
     return chunks.join(own, "chunk", "left")
 
 
