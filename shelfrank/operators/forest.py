@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions.numbers import hash60
+from shelfrank.operators.quality import METRICS, fold_of, metrics_by_set, split_sets
 from shelfrank.scale import cut_lineage
 
 # The settings of the forest and of its grid.
@@ -41,12 +42,12 @@ def bin_edges(df: DataFrame, columns: Sequence[str], max_bins: int = MAX_BINS) -
 
     Columns of at most ``max_bins`` different values are cut between any two, the others at quantiles.
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
+    sizes = df.agg(*[F.approx_count_distinct(f"`{c}`").alias(c) for c in columns]).first()
     few = [c for c in columns if sizes[c] <= max_bins * 0.9]
     shares = [i / max_bins for i in range(1, max_bins)]
     found = df.agg(
         *[
-            (F.array_sort(F.collect_set(F.col(c).cast("double"))) if c in few else F.percentile_approx(F.col(c).cast("double"), shares, 10_000)).alias(c)
+            (F.array_sort(F.collect_set(F.col(f"`{c}`").cast("double"))) if c in few else F.percentile_approx(F.col(f"`{c}`").cast("double"), shares, 10_000)).alias(c)
             for c in columns
         ]
     ).first()
@@ -417,7 +418,8 @@ def fit_forest(
     Nodes of fewer than ``min_split`` rows are not split, and no split leaves fewer than ``min_leaf`` on a side.  Rows without a label are left out; an
     empty table has no nodes and predicts 0.
     """
-    known = matrix.where(F.col(label).isNotNull())
+    known = matrix.where(F.col(label).isNotNull()).select(key, label, *[F.col(f"`{c}`") for c in columns])
+    known = cut_lineage(known, "forest-table")
     edges = bin_edges(known, columns, max_bins)
     rows = cut_lineage(binned_rows(known, edges, label, key), "forest-rows")
     bins = 1 + max((len(e) for e in edges.values()), default=0)
@@ -447,7 +449,8 @@ def grid_report(
     from the first trees.  So 81 settings cost three growths a fold, and binning and rows are shared by all.
     """
     grid = {**FULL_GRID, **(grid or {})}
-    known = matrix.where(F.col(label).isNotNull() & F.col(fold).isNotNull())
+    known = matrix.where(F.col(label).isNotNull() & F.col(fold).isNotNull()).select(key, label, fold, *[F.col(f"`{c}`") for c in columns])
+    known = cut_lineage(known, "forest-table")
     edges = bin_edges(known, columns, max_bins)
     rows = cut_lineage(binned_rows(known, edges, label, key, fold), "forest-rows")
     growths = tuple(Growth(leaf, f) for leaf in grid["min_leaf"] for f in range(folds))
@@ -526,3 +529,27 @@ def best_setting(report: DataFrame) -> dict[str, float]:
     means = report.groupBy("trees", "depth", "min_split", "min_leaf").agg(F.avg("r2").alias("r2"))
     row = means.orderBy(F.desc("r2"), "trees", "depth", F.desc("min_split"), F.desc("min_leaf")).first()
     return row.asDict() if row is not None else {}
+
+
+def search_forest(
+    matrix: DataFrame,
+    columns: Sequence[str],
+    folds: int = 5,
+    test_fraction: float = 0.2,
+    grid: Mapping[str, Sequence[int]] | None = None,
+    label: str = "label",
+    key: str = "item_id",
+    **options,
+) -> tuple[Forest, dict[str, float]]:
+    """The forest of the best setting, fitted on the training part, with that setting, its mean R² over the folds and the metrics of the part held out."""
+    known = matrix.where(F.col(label).isNotNull()).select(key, F.col(label).alias("label"), *columns)
+    parts = cut_lineage(split_sets(known, {"train": 1 - test_fraction, "test": test_fraction}, key=key).withColumn("_fold", fold_of(key, folds)), "forest-parts")
+    training = parts.where(F.col("set") == "train")
+    best = best_setting(grid_report(training, columns, "_fold", folds, grid, key=key, **options))
+    if not best:
+        raise ValueError("there are no rows to search on")
+    score = best.pop("r2")
+    forest = fit_forest(training, columns, key=key, **best, **options)
+    held = parts.where(F.col("set") == "test")
+    report = metrics_by_set(held.join(forest.predict(held, key), key)).first()
+    return forest, {**best, "cv_score": score, **({m: report[m] for m in METRICS} if report is not None else {})}

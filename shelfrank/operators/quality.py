@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.functions.numbers import clip, hash60
 from shelfrank.operators.features import FeatureState, feature_matrix
+from shelfrank.operators.fold_stats import LINEAR_KINDS, fold_fits, part_triangles, share_of
 from shelfrank.operators.quantiles import threshold_for_smallest
 
 SEED = 42
@@ -37,6 +38,7 @@ RIDGE_ALPHAS = (0.1, 1.0, 10.0, 100.0, 1000.0)
 FOREST_GRID = {"numTrees": (100, 200, 300), "maxDepth": (10, 20, 30), "minInstancesPerNode": (1, 2, 4)}
 TOLERANCES = (5, 10)
 METRICS = ("rmse", "mae", "r2")
+FIT_COLUMNS = ("model", "share", "fold", "set", "rows", "r2", "rmse")
 
 
 class LeastSquaresModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -417,8 +419,17 @@ def _searched(
     params = parameter_grid(kind, estimator, grid)
     pipeline = Pipeline(stages=[*scaling_stages(state.columns, training.count()), estimator])
     best_params, best_score = {}, None
+    alphas = [p[estimator.alpha] for p in params if set(p) == {getattr(estimator, "alpha", None)}]
     if params == [{}]:
         fitted = pipeline.fit(training)
+    elif len(alphas) == len(params):
+        # Every penalty and fold from the triangles of the folds, which one pass makes.
+        triangles = part_triangles(training, state.columns, "label", [F.col("_fold"), F.lit(0)])
+        fits = pd.DataFrame(fold_fits(triangles, folds, {str(i): a for i, a in enumerate(alphas)}), columns=FIT_COLUMNS)
+        means = fits[fits["set"] == "test"].groupby("model")["r2"].mean()
+        best = max(range(len(alphas)), key=lambda i: (means[str(i)], -i))
+        best_params, best_score = {"alpha": alphas[best]}, float(means[str(best)])
+        fitted = pipeline.fit(training, params[best])
     else:
         # The scaler is part of what each fold fits, so a fold's held-out rows never shape it.
         search = CrossValidator(
@@ -469,16 +480,24 @@ def cv_report(
     folds: int = 5,
     parallelism: int = 4,
 ) -> DataFrame:
-    """R² and RMSE of every model, fold and side: ``model, fold, set, r2, rmse``."""
+    """R² and RMSE of every model, fold and side: ``model, fold, set, r2, rmse``.
+
+    All linear and ridge fits come from one pass over the table; forests are fitted fold by fold.
+    """
     table = _fold_table(matrix, folds)
     settings = kinds if isinstance(kinds, Mapping) else {kind: {} for kind in kinds}
+    alphas = {kind: options.get("alpha", LINEAR_KINDS[kind]) for kind, options in settings.items() if kind in LINEAR_KINDS}
     tasks = [
         ((kind, fold), table, state, make_regressor(kind, **options), fold)
         for kind, options in settings.items()
+        if kind not in alphas
         for fold in range(folds)
     ]
     try:
-        rows = _fit_all(tasks, parallelism)
+        rows = _fit_all(tasks, parallelism) if tasks else []
+        if alphas:
+            triangles = part_triangles(table, state.columns, "label", [F.col("_fold"), F.lit(0)])
+            rows += [(kind, fold, side, r2, rmse) for kind, _, fold, side, _, r2, rmse in fold_fits(triangles, folds, alphas)]
     finally:
         table.unpersist()
     return matrix.sparkSession.createDataFrame(rows, "model string, fold int, set string, r2 double, rmse double")
@@ -500,9 +519,20 @@ def learning_curve(
     parallelism: int = 4,
     **settings,
 ) -> DataFrame:
-    """Mean and spread of R² as the training part grows: nested subsets by hashed key."""
+    """Mean and spread of R² as the training part grows: nested subsets by hashed key.
+
+    For linear and ridge models one pass makes a triangle per fold and share, of which every fit is merged.
+    """
     folded = _fold_table(matrix, folds)
     shared = folded.withColumn("_share", hash60("item_id", F.lit("curve")) / float(1 << 60))
+    if kind in LINEAR_KINDS:
+        try:
+            ordered = sorted(fractions)
+            triangles = part_triangles(shared, state.columns, "label", [F.col("_fold"), share_of(F.col("_share"), ordered)])
+        finally:
+            folded.unpersist()
+        fits = fold_fits(triangles, folds, {kind: settings.get("alpha", LINEAR_KINDS[kind])}, len(ordered))
+        return _curve(matrix.sparkSession, [(ordered[share], fold, side, r2, rmse) for _, share, fold, side, _, r2, rmse in fits])
     tasks = [
         (
             (fraction, fold),
@@ -518,5 +548,9 @@ def learning_curve(
         rows = _fit_all(tasks, parallelism)
     finally:
         folded.unpersist()
-    table = matrix.sparkSession.createDataFrame(rows, "fraction double, fold int, set string, r2 double, rmse double")
+    return _curve(matrix.sparkSession, rows)
+
+
+def _curve(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    table = spark.createDataFrame(rows, "fraction double, fold int, set string, r2 double, rmse double")
     return table.groupBy("fraction", "set").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"))

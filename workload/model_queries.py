@@ -7,6 +7,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from shelfrank.operators import features as E
+from shelfrank.operators import fold_stats as L
+from shelfrank.operators import forest as T
 from shelfrank.operators import quality as Q
 from shelfrank.operators import stats as S
 from shelfrank.scale import shared_folder
@@ -129,9 +131,78 @@ def grid_search(spark, sf):
 
 @query("forest_grid_search")
 def forest_grid_search(spark, sf):
-    model = Q.grid_search(*matrix(spark, sf), "random_forest", folds=3, grid={"numTrees": (5, 10), "maxDepth": (3, 5)})
-    rows = [(k, float(v)) for k, v in {**model.metrics, **model.best_params}.items()]
-    return spark.createDataFrame(rows, "metric string, value double")
+    """All 81 settings in five folds."""
+    data, state = matrix(spark, sf)
+    _, found = T.search_forest(data, state.columns)
+    return spark.createDataFrame([(k, float(v)) for k, v in found.items()], "metric string, value double")
+
+
+@query("split_forest")
+def split_forest(spark, sf):
+    """The forest with a minimum of rows to split, fitted on the training part; metrics of every part."""
+    data, state = matrix(spark, sf)
+    parts = Q.split_sets(data.where(F.col("label").isNotNull()))
+    grown = T.fit_forest(parts.where(F.col("set") == "train"), state.columns)
+    return Q.metrics_by_set(parts.join(grown.predict(parts), "item_id")).transform(round_columns, "rmse", "mae", "r2")
+
+
+@query("forest_importances")
+def forest_importances(spark, sf):
+    data, state = matrix(spark, sf)
+    return T.fit_forest(data, state.columns).importances()
+
+
+LEVEL_COLUMNS = ("budget_x", "revenue")
+
+
+def _levels_sql(depth: int, min_split: int) -> str:
+    """The tree's nodes down to ``depth``: each level tries every column and value, and moves the rows on."""
+    numbered = ", ".join(f"({i}, {c})" for i, c in enumerate(LEVEL_COLUMNS))
+    edges = "edges AS (SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS next FROM (SELECT DISTINCT f, x FROM long0))"
+    parts = ["at0 AS (SELECT item_id, CAST(1 AS BIGINT) AS node, score AS y, budget_x, revenue FROM clean)"]
+    for i in range(depth):
+        parts.append(f"""long{i} AS (SELECT node, y, f, x FROM at{i}, LATERAL (VALUES {numbered}) AS v(f, x)),
+  steps{i} AS (SELECT node, f, x, sum(count(*)) OVER w AS ln, sum(sum(y)) OVER w AS ls, lead(x) OVER w AS following,
+    sum(count(*)) OVER (PARTITION BY node, f) AS n, sum(sum(y)) OVER (PARTITION BY node, f) AS s
+    FROM long{i} GROUP BY node, f, x WINDOW w AS (PARTITION BY node, f ORDER BY x)),
+  best{i} AS (SELECT node, f, x, following, ls * ls / ln + (s - ls) * (s - ls) / (n - ln) AS gain FROM steps{i} WHERE following IS NOT NULL AND n >= {min_split}
+    QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, x) = 1),
+  at{i + 1} AS (SELECT a.item_id, 2 * a.node + CASE WHEN CASE WHEN f = 0 THEN budget_x ELSE revenue END > b.x THEN 1 ELSE 0 END AS node, y, budget_x, revenue
+    FROM at{i} a JOIN best{i} b ON b.node = a.node)""")
+    parts.append(edges)
+    splits = " UNION ALL ".join(f"SELECT node, f, (x + next) / 2 AS threshold FROM best{i} JOIN edges USING (f, x)" for i in range(depth))
+    nodes = " UNION ALL ".join(f"SELECT node, count(*) AS rows, sum(y) / count(*) AS value FROM at{i} GROUP BY node" for i in range(depth + 1))
+    return f"""{CLEAN_SQL}, {", ".join(parts)}
+  SELECT n.node, n.rows, round(n.value, 6) AS value, CASE s.f WHEN 0 THEN 'budget_x' WHEN 1 THEN 'revenue' END AS feature, round(s.threshold, 6) AS threshold
+  FROM ({nodes}) n LEFT JOIN ({splits}) s USING (node)"""
+
+
+@query("forest_levels", _levels_sql(3, 10))
+def forest_levels(spark, sf):
+    """Three levels of one tree over all rows, every value of a column a possible cut."""
+    data = clean(spark, sf, "score", *LEVEL_COLUMNS).withColumnRenamed("score", "label")
+    grown = T.fit_forest(data, LEVEL_COLUMNS, trees=1, depth=3, min_split=10, max_bins=60_000, drawn=False)
+    cuts = [(i, j, c, e) for i, c in enumerate(LEVEL_COLUMNS) for j, e in enumerate(grown.edges[c])]
+    named = spark.createDataFrame(cuts, "feature int, bin int, name string, threshold double")
+    found = grown.nodes.join(named, ["feature", "bin"], "left")
+    return found.select("node", "rows", rounded("value"), F.col("name").alias("feature"), rounded("threshold"))
+
+
+FOLDS_SQL = f"""folded AS (SELECT budget_x / 1000 AS x, score AS y, CAST('0x' || substr(md5(item_id || '-{SEED}'), 1, 15) AS BIGINT) % 5 AS fold FROM clean),
+  fits AS (SELECT f AS fold, count(*) AS n, regr_slope(y, x) AS b, avg(x) AS mx, avg(y) AS my FROM folded JOIN range(5) r(f) ON fold <> f GROUP BY f),
+  lines AS (SELECT fold, 'linear' AS model, b, my - b * mx AS a FROM fits UNION ALL SELECT fold, 'ridge', b * n / (n + 1), my - b * n / (n + 1) * mx FROM fits),
+  sides AS (SELECT l.fold, model, CASE WHEN d.fold = l.fold THEN 'test' ELSE 'train' END AS "set", y, y - a - b * x AS e FROM lines l, folded d)"""
+
+
+@query("fold_report", CLEAN_SQL + f""", {FOLDS_SQL}
+  SELECT model, CAST(fold AS INTEGER) AS fold, "set", round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2, round(sqrt(avg(e * e)), 6) AS rmse
+  FROM sides GROUP BY ALL""")
+def fold_report(spark, sf):
+    """Both linear kinds on one feature in five folds."""
+    data = clean(spark, sf, "score", "budget_x").select("item_id", F.col("score").alias("label"), (F.col("budget_x") / 1000).alias("x"))
+    triangles = L.part_triangles(data, ["x"], "label", [Q.fold_of("item_id", 5), F.lit(0)])
+    fits = [(kind, fold, side, r2, rmse) for kind, _, fold, side, _, r2, rmse in L.fold_fits(triangles, 5, L.LINEAR_KINDS)]
+    return spark.createDataFrame(fits, "model string, fold int, set string, r2 double, rmse double").transform(round_columns, "r2", "rmse")
 
 
 @query("cv_report")
@@ -141,7 +212,9 @@ def cv_report(spark, sf):
 
 @query("learning_curve")
 def learning_curve(spark, sf):
-    return Q.learning_curve(*matrix(spark, sf), "linear")
+    data, state = matrix(spark, sf)
+    curves = [Q.learning_curve(data, state, kind).withColumn("model", F.lit(kind)) for kind in ("linear", "ridge", "random_forest")]
+    return curves[0].unionByName(curves[1]).unionByName(curves[2])
 
 
 @query("quality_scores")
@@ -183,10 +256,10 @@ def quality_range_check(spark, sf):
   SELECT "set", count(*) AS rows, CAST(0 AS BIGINT) AS outside FROM parts GROUP BY "set\"""")
 def forest_range_check(spark, sf):
     """A forest's predictions are means of labels, so none lies outside their range."""
-    parts = Q.split_sets(matrix(spark, sf)[0])
-    state = matrix(spark, sf)[1]
-    model = Q.train(parts.where(F.col("set") == "train"), state, "random_forest", numTrees=10, maxDepth=8)
-    low, high = parts.where(F.col("set") == "train").agg(F.min("label"), F.max("label")).first()
-    predicted = model.predict(parts, clipped=False)
+    data, state = matrix(spark, sf)
+    parts = Q.split_sets(data)
+    training = parts.where(F.col("set") == "train")
+    low, high = training.agg(F.min("label"), F.max("label")).first()
+    predicted = parts.join(T.fit_forest(training, state.columns).predict(parts), "item_id")
     outside = ~F.col("prediction").between(low - 1e-9, high + 1e-9)
     return predicted.groupBy("set").agg(F.count(F.lit(1)).alias("rows"), F.count_if(outside).alias("outside"))
