@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,19 +34,26 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return cut_lineage(df, purpose)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """As ``stored``, but the shuffle files that made the table go at once, and ``dropped`` can delete it."""
-    spark = df.sparkSession
-    path = shared_folder(spark, purpose)
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Jobs started here remove their shuffle files when they end."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """As ``stored``, but the shuffle files that made the table go at once, and ``dropped`` can delete it."""
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    with tidy(spark):
+        df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
     return table

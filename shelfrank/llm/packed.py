@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import written
+from shelfrank.llm.common import tidy, written
 from shelfrank.llm.shingle_sets import FACTOR, mixed
 
 REPLY_SCHEMA = "chunk long, bucket int, counts binary, total long, different long"
@@ -176,7 +176,9 @@ class Bits:
     def gathered(cls, slices: DataFrame, bits: int) -> Bits:
         """From rows (first, data); all of them together have about 2^bits bits, whatever the size of the corpus."""
         out = cls(bits)
-        for first, data in slices.select("first", "data").collect():
+        with tidy(slices.sparkSession):
+            rows = slices.select("first", "data").collect()
+        for first, data in rows:
             part = np.frombuffer(bytes(data), np.uint8)
             out.data[first : first + len(part)] |= part
         return out
