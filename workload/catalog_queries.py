@@ -12,6 +12,7 @@ from shelfrank.functions import text as X
 from shelfrank.operators import cleaning as C
 from shelfrank.operators import features as E
 from shelfrank.operators import joins as J
+from shelfrank.operators import title_index as X
 from shelfrank.operators import projections as P
 from shelfrank.operators import ranking as R
 from shelfrank.operators import stats as S
@@ -603,6 +604,18 @@ def title_suggestions(spark, sf):
     return J.title_suggestions(clean(spark, sf, "names"), "Ring")
 
 
+@query("title_list", CLEAN_SQL + """, asked AS (
+    SELECT DISTINCT unnest([upper(names), substr(names, 2, 5), substr(names, 3, 2), substr(names, 1, 1), names || '?']) AS query FROM clean),
+  found AS (SELECT query, coalesce(min(item_id) FILTER (lower(names) = lower(query)), min(item_id)) AS item_id
+    FROM asked JOIN (SELECT names, min(item_id) AS item_id FROM clean GROUP BY names) ON contains(lower(names), lower(query)) GROUP BY query)
+  SELECT query, item_id FROM asked LEFT JOIN found USING (query)""")
+def title_list(spark, sf):
+    """Every title and pieces of it as queries, all in one pass over the index."""
+    catalog = clean(spark, sf, "names")
+    pieces = F.array(F.upper("names"), F.substring("names", 2, 5), F.substring("names", 3, 2), F.substring("names", 1, 1), F.concat("names", F.lit("?")))
+    return X.resolve_list(X.title_index(catalog), catalog.select(F.explode(pieces).alias("query")))
+
+
 @query("title_to_cluster_id", CLEAN_SQL + " SELECT query, max(item_id) AS item_id FROM clean JOIN (SELECT unnest(['Red Widget ', 'blue bolt', 'absent']) AS query) ON trim(lower(names)) = trim(lower(query)) GROUP BY query")
 def title_to_cluster_id(spark, sf):
     return J.cluster_ids_of_titles(clean(spark, sf, "names"), ["Red Widget ", "blue bolt", "absent"])
