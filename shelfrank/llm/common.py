@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,26 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return numbered.select(*[F.col(f"_c{names.index(old)}").alias(new) for new, old in columns.items()])
 
 
+@dataclass(frozen=True)
+class Numbered:
+    """A table with its columns named by position, so that names that clash or differ only in case are no trouble."""
+
+    frame: DataFrame
+    names: tuple[str, ...]
+
+    def name(self, column: str) -> str:
+        """The name here of a column, found by its exact spelling (the first one if it is repeated)."""
+        return f"_c{self.names.index(column)}"
+
+    def restored(self, df: DataFrame) -> DataFrame:
+        """The columns of ``df`` that came from here under their own names, and no others."""
+        return df.select(*[f"_c{i}" for i in range(len(self.names))]).toDF(*self.names)
+
+
+def numbered(df: DataFrame) -> Numbered:
+    return Numbered(df.toDF(*[f"_c{i}" for i in range(len(df.columns))]), tuple(df.columns))
+
+
 #: Spark then removes a written table's shuffle files at once: nothing reads them again, as the table stands for them.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

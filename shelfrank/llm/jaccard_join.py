@@ -5,13 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import pick, stored
+from shelfrank.llm.common import dropped, numbered, pick, stored, written
 from shelfrank.llm.components import connected_components
 from shelfrank.llm.shingle_sets import SHINGLE, PartEnum, Shingles, fingerprint, mixed
 
@@ -20,15 +21,14 @@ CHARS_AT_ONCE = 4_000_000
 #: Members found in more than this share of the sets are left out of the domain; at most ``MAX_FREQUENT`` of them, which loses nothing.
 FREQUENT_SHARE = 0.002
 MAX_FREQUENT = 250_000
-ENTRIES_PER_BUCKET = 2_000_000
+ENTRIES_PER_BUCKET = 1_000_000
 #: Sets that share a signature in one batch beyond this many go around the bucket of that signature.
 CROWD = 8
-SKETCH_BITS = 11
-SKETCH = 2**SKETCH_BITS // 8
-PAIRS_AT_ONCE = 16_384
-OPEN_PER_BUCKET = 100_000
-#: Sets that are compared in pairs stand in blocks of about so many members.
+#: Bytes that are compared at once when sketches meet in pairs.
+BYTES_AT_ONCE = 4_000_000
+#: Sets that are compared in pairs stand in blocks of about so many members; by their sketches alone, of so many times more.
 BLOCK_ENTRIES = 500_000
+SKETCHED = 4
 #: What a set counts in a block besides its members, for its sketch and its place in the table.
 SET_ENTRIES = 64
 MAX_BROADCAST = 500_000
@@ -47,33 +47,50 @@ class JaccardJoin:
 
     rows: DataFrame  # id, digest (of the text), n_shingles, f1, f2: one per row of the table
     classes: DataFrame  # node, f1, f2, first (smallest id), size: one per different set
-    links: DataFrame  # a, b: nodes of different sets that are linked, once for each pair
+    forest: DataFrame  # a, b: links that connect each component
+    degrees: DataFrame | None  # node, n_links: with how many different sets a set is linked, where it is with any
     components: DataFrame = field(repr=False)  # node, component, for nodes with a link
+    _blocks: DataFrame = field(repr=False)
+    _sets: DataFrame = field(repr=False)
+    _decisions: DataFrame = field(repr=False)  # behind forest and degrees
+    _percent: int
 
     def labelled(self, id_col: str) -> DataFrame:
         """Per row: id, n_shingles, component_id, and the number of different sets that its own is linked with."""
-        ends = self.links.select(F.col("a").alias("node")).unionByName(self.links.select(F.col("b").alias("node")))
-        degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+        if self.degrees is None:
+            raise ValueError("the join was made without the number of links")
         nodes = self._nodes()
         first = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
-        known = nodes.join(degree, "node", "left").join(first, "component")
+        known = nodes.join(self.degrees, "node", "left").join(first, "component")
         known = stored(known.select("f1", "f2", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "class-components")
         # Rows without a set go around the join.
         empty = self.rows.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
         full = self.rows.where("n_shingles > 0").join(known, ["f1", "f2"]).select("id", "n_shingles", "component_id", "n_links")
         return full.unionByName(empty).withColumnRenamed("id", id_col)
 
+    @cached_property
+    def links(self) -> DataFrame:
+        """a, b: nodes of different sets that are linked, once for each pair.  A component of n sets has up to n * (n - 1) / 2 of them,
+        so this is made only when asked for."""
+        return _decided(self._blocks, self._sets, self._percent, "pairs").select("a", "b")
+
     def _nodes(self) -> DataFrame:
         return self.classes.join(self.components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     def chosen(self) -> DataFrame:
         """id and digest of the row that stands for each component, and how many rows have both: the smallest id, null last, and of
         its texts the one with the smallest digest."""
-        nodes = stored(self._nodes().select("f1", "f2", "component"), "class-components")
+        nodes = written(self._nodes().select("f1", "f2", "component"), "class-components")
         placed = self.rows.where("n_shingles > 0").join(nodes, ["f1", "f2"])
         counted = placed.groupBy("component", "id", "digest").agg(F.count(F.lit(1)).alias("n"))
         least = counted.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("no_id"), "id", "digest", "n")).alias("row"))
-        return stored(least.select("row.id", "row.digest", "row.n"), "chosen-rows")
+        out = written(least.select("row.id", "row.digest", "row.n"), "chosen-rows")
+        dropped(nodes)
+        return out
+
+    def drop(self) -> None:
+        """Delete the tables behind the join; what was made from them and not written cannot be read any more."""
+        dropped(self.rows, self.classes, self._blocks, self._sets, self._decisions, self.components)
 
 
 def jaccard_join(
@@ -84,16 +101,16 @@ def jaccard_join(
     A set holds the different ``shingle``-word sequences of a text, A-Z lower-cased; a text of fewer words is one sequence; a null
     text or one without words has an empty set and no links.  Rows with equal sets form a class, whose members are linked; only
     one of them goes through the search.  Repeated rows are two rows of one class.  A null id never names a component unless all its ids
-    are null.  An empty table has no rows; other columns are ignored.
+    are null.  An empty table has no rows; other columns are ignored.  A very long text is one set like any other; its sketch grows with it.
 
     Signatures travel packed, by buckets whose number follows the number of shingles.  In a bucket each set is paired with the
-    first set of its signature; the pairs are checked and their components formed.  Only signatures whose sets then lie in different
-    components are looked at again, and there every pair that a lower bound on the difference of the sets lets pass
-    is checked too.  So no link between components is lost, and a large group of copies costs one pair for each set.
+    first set of its signature.  Pairs that sizes and sketches (a lower bound on the difference) let pass connect sets to groups.  Only
+    signatures whose sets then lie in different groups are looked at again: there all sets meet in blocks, and those that may be linked
+    connect groups.  So any two linked sets are in one group, and no step but the last makes more than a few rows for each set.
 
-    Then all sets of a component meet in blocks, and every pair that size and sketch let pass is checked, so that no link is lost
-    inside a component either.  ``every_link`` = False leaves this out, for callers that only want the components: ``links`` then
-    connects each component but is not complete.
+    Then all sets of a group meet in blocks with their members, and every pair that size and sketch let pass is decided exactly.  Tasks
+    return how many links each set has and only such links as connect sets that no other link of the task does.  ``every_link`` = False
+    skips pairs that are connected already, for callers that only want the components; there are no numbers of links then.
     """
     spark = df.sparkSession
     texts = pick(df, id=id_col, text=text_col).select("id", F.col("text").cast("string").alias("text"))
@@ -102,17 +119,17 @@ def jaccard_join(
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     schema = f"id {kind}, digest long, n_shingles long, f1 long, f2 long, is_row boolean, sketch binary"
-    surveyed = stored(texts.mapInPandas(_survey_with(shingle), schema), "shingle-survey")
-    rows = surveyed.where("is_row")
-    classes = rows.where("n_shingles > 0").groupBy("f1", "f2").agg(
+    surveyed = written(texts.mapInPandas(_survey_with(shingle), schema), "shingle-survey")
+    classes = surveyed.where("is_row AND n_shingles > 0").groupBy("f1", "f2").agg(
         F.min("id").alias("first"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")
     )
-    rows = rows.drop("is_row", "sketch")
-    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     n_classes, n_members = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     counted = surveyed.where("NOT is_row").groupBy("f1").agg(F.sum("n_shingles").alias("n"))
     frequent = counted.where(F.col("n") > F.lit(max(2.0, FREQUENT_SHARE * n_classes))).orderBy(F.desc("n"), "f1").limit(MAX_FREQUENT)
     frequent = np.sort(frequent.select("f1").toPandas()["f1"].to_numpy(np.int64).view(np.uint64))
+    rows = written(surveyed.where("is_row").drop("is_row", "sketch"), "shingle-rows")
+    dropped(surveyed)
 
     buckets = max(parts, n_members // ENTRIES_PER_BUCKET + 1)
     shared = spark.sparkContext.broadcast(frequent)
@@ -120,25 +137,27 @@ def jaccard_join(
         _signatures_with(shared, shingle, percent, buckets), "bucket int, crowd boolean, signatures binary, heads binary, nodes binary"
     )
     met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, "signature long, a long, b long")
-    met = stored(met, "signature-pairs")
-
-    pairs = stored(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "pairs")
-    links = stored(_linked(pairs, _members(texts, classes, _ends(pairs), shingle), percent), "links")
-    components = stored(connected_components(links), "components")
+    met = written(met, "signature-pairs")
 
-    missed = _missed_pairs(met, pairs, components, classes, percent)
-    if missed is not None:
-        more = stored(_linked(missed, _members(texts, classes, _ends(missed), shingle), percent), "more-links")
-        links = stored(links.unionByName(more).distinct(), "links")
+    pairs = written(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "near-pairs")
+    groups = connected_components(pairs)
+    opened = _openings(met, groups, classes, percent)
+    if opened is not None:
         # What was found before goes in as stars, which are settled already.
-        components = stored(connected_components(components.toDF("a", "b").unionByName(more)), "components")
-    if every_link:
-        checked = pairs if missed is None else pairs.unionByName(missed)
-        wanted = stored(_unsettled(components, checked, classes), "unsettled-nodes")
-        inside = _links_inside(wanted, _members(texts, classes, wanted.select("node"), shingle), percent, parts)
-        ordered = links.unionByName(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = stored(ordered.distinct(), "every-link")
-    return JaccardJoin(rows, classes, links, components)
+        wider = connected_components(groups.toDF("a", "b").unionByName(opened))
+        dropped(groups, opened)
+        groups = wider
+    dropped(met, pairs)
+
+    blocks = groups.join(classes.select("node", "size"), "node").withColumnRenamed("component", "group")
+    blocks = written(_in_blocks(blocks, "group", F.col("size") + SET_ENTRIES, BLOCK_ENTRIES, percent).drop("group"), "group-blocks")
+    sets = _members(texts, classes, groups.select("node"), shingle)
+    decided = written(_decided(blocks, sets, percent, "all" if every_link else "forest"), "links")
+    forest = decided.where("b IS NOT NULL").select("a", "b")
+    degrees = decided.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")) if every_link else None
+    components = connected_components(forest)
+    dropped(groups)
+    return JaccardJoin(rows, classes, forest, degrees, components, blocks, sets, decided, percent)
 
 
 def _survey_with(shingle: int):
@@ -252,16 +271,51 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sketch(members: np.ndarray) -> bytes:
-    """A bit for each of 2,048 parts of the domain: whether an odd number of members falls into it."""
-    part = (members >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-    return np.packbits(np.bincount(part, minlength=8 * SKETCH) & 1).tobytes()
-
-
-def _may_link(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sketches (rows of two arrays) differ in no more bits than similar sets of these sizes may differ in members: each
-    member that only one set has turns one bit."""
-    differences = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-    return differences * (100 + percent) <= (size_a + size_b) * (100 - percent)
+    """A bit for each part of the domain: whether an odd number of members falls into it.  Parts are the last bits of the members, and
+    at least 64 and twice the members; the exclusive or of both halves is the sketch for half as many parts."""
+    bits = 64
+    while bits < 2 * len(members):
+        bits *= 2
+    part = (members & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(part, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+class Sketches:
+    """Sketches of different lengths, folded to a common one where two meet."""
+
+    def __init__(self, sketches) -> None:
+        self.length = np.array([len(s) for s in sketches], dtype=np.int64)
+        self.place = np.empty(len(self.length), np.int64)
+        self.of_length = {}
+        for length in np.unique(self.length).tolist():
+            at = np.flatnonzero(self.length == length)
+            self.place[at] = np.arange(len(at))
+            self.of_length[length] = np.frombuffer(b"".join(sketches[i] for i in at), np.uint64).reshape(len(at), length // 8)
+
+    def _folded(self, rows: np.ndarray, length: int) -> np.ndarray:
+        out = np.empty((len(rows), length // 8), np.uint64)
+        for own in np.unique(self.length[rows]).tolist():
+            at = np.flatnonzero(self.length[rows] == own)
+            words = self.of_length[own][self.place[rows[at]]]
+            while words.shape[1] > length // 8:
+                half = words.shape[1] // 2
+                words = words[:, :half] ^ words[:, half:]
+            out[at] = words
+        return out
+
+    def may_link(self, other: Sketches, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the sketches of rows ``a`` and of the rows ``b`` of ``other`` differ in no more bits than similar sets of these sizes
+        may differ in members: each member that only one set has turns one bit."""
+        common = np.minimum(self.length[a], other.length[b])
+        near = np.zeros(len(a), bool)
+        for length in np.unique(common).tolist():
+            chosen = np.flatnonzero(common == length)
+            step = max(1, BYTES_AT_ONCE // length)
+            for start in range(0, len(chosen), step):
+                at = chosen[start : start + step]
+                turned = np.bitwise_count(self._folded(a[at], length) ^ other._folded(b[at], length)).sum(axis=1, dtype=np.int64)
+                near[at] = turned * (100 + percent) <= (size_a[at] + size_b[at]) * (100 - percent)
+        return near
 
 
 def _with_nodes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -279,21 +333,18 @@ def _near_only(pairs: DataFrame, percent: int) -> DataFrame:
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, SKETCH) for c in ("sketch_a", "sketch_b"))
-                keep = _may_link(a, b, batch["size_a"].to_numpy(), batch["size_b"].to_numpy(), percent)
-                yield batch.loc[keep, ["a", "b", "size_a", "size_b"]]
+                every = np.arange(len(batch))
+                a, b = (Sketches(batch[c].tolist()) for c in ("sketch_a", "sketch_b"))
+                keep = a.may_link(b, every, every, batch["size_a"].to_numpy(), batch["size_b"].to_numpy(), percent)
+                yield batch.loc[keep, ["a", "b"]]
 
     fitting = pairs.where(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    return fitting.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(near, "a long, b long, size_a long, size_b long")
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    return fitting.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(near, "a long, b long")
 
 
 def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """node and its whole set, for the wanted nodes."""
-    wanted = stored(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets")
+    wanted = written(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets")
     chosen = texts.join(_small(wanted), F.col("id").eqNullSafe(F.col("_id"))).select("node", "f1", "f2", "text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -306,25 +357,20 @@ def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: i
                 yield pd.DataFrame({"node": part["node"][keep], "members": [s.view(np.int64) for s, k in zip(found, keep, strict=True) if k]})
 
     made = chosen.mapInPandas(sets, "node long, members array<long>")
-    return stored(made.groupBy("node").agg(F.first("members").alias("members")), "sets")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar enough, by exact sizes of intersection and union."""
-    both = pairs.join(sets.toDF("b", "members_b"), "b").join(sets.toDF("a", "members_a"), "a")
-    common = F.size(F.array_intersect("members_a", "members_b"))
-    union = F.col("size_a") + F.col("size_b") - common
-    return both.where(common * 100 >= union * percent).select("a", "b")
+    out = written(made.groupBy("node").agg(F.first("members").alias("members")), "sets")
+    dropped(wanted)
+    return out
 
 
-def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
-    """Pairs of sets that share a signature, lie in different components, and may be similar; None if there are none to look at."""
-    label = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "f1", "component")
-    label = stored(label, "labels")
-    # Every set of a signature, with its node and component; the first one is in each of its pairs.
+def _openings(met: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs that connect groups: sets that share a signature, lie in different groups and may be linked.  None if no signature has
+    sets of different groups."""
+    label = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "f1", "component")
+    label = written(label, "labels")
+    # Every set of a signature, with its node and group; the first one is in each of its pairs.
     ends = met.select("signature", F.col("b").alias("f1"))
-    heads = met.groupBy("signature", F.col("a").alias("f1")).count().select("signature", "f1")
-    signed = stored(ends.unionByName(heads).distinct().join(label, "f1").select("signature", "node", "component"), "signed")
+    heads = met.select("signature", F.col("a").alias("f1")).distinct()
+    signed = written(ends.unionByName(heads).join(label, "f1").select("signature", "node", "component").distinct(), "signed")
     # Of two sets the pair is known already; of signatures that the same sets share one is enough.
     mixed_up = signed.groupBy("signature").agg(
         F.min("component").alias("least"),
@@ -334,35 +380,71 @@ def _missed_pairs(met: DataFrame, pairs: DataFrame, components: DataFrame, class
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x2"),
     )
     mixed_up = mixed_up.where("least < most AND n > 2").groupBy("n", "x1", "x2").agg(F.min("signature").alias("signature"))
-    mixed_up = stored(mixed_up.select("signature", "n"), "mixed-signatures")
-    total = mixed_up.agg(F.sum("n")).first()[0]
-    if total is None:
-        return None
-    buckets = max(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // OPEN_PER_BUCKET + 1)
-    open_sets = signed.join(mixed_up.select("signature"), "signature").join(classes.select("node", "size", "sketch"), "node")
-    grouped = open_sets.withColumn("bucket", F.pmod(F.xxhash64("signature"), F.lit(buckets))).groupBy("bucket")
-    found = grouped.applyInPandas(_near_pairs_with(percent), "a long, b long, size_a long, size_b long")
-    found = found.distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    return stored(found.join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "missed-pairs")
-
-
-def _near_pairs_with(percent: int):
-    def near_pairs(group: pd.DataFrame) -> pd.DataFrame:
-        """Pairs with one signature, of different components, whose sketches do not differ by more than the sets may."""
-        group = group.sort_values(["signature", "size", "node"])
-        signature, node, part, size = (group[c].to_numpy(np.int64) for c in ("signature", "node", "component", "size"))
-        sketch = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, SKETCH)
-        found = set()
-        for a, b in _near(signature, size, sketch, percent, lambda i, j: part[i] != part[j]):
-            found.update(zip(node[a].tolist(), node[b].tolist(), size[a].tolist(), size[b].tolist(), strict=True))
-        pairs = [(a, b, m, n) if a < b else (b, a, n, m) for a, b, m, n in found]
-        return pd.DataFrame(pairs, columns=["a", "b", "size_a", "size_b"])
-
-    return near_pairs
-
-
-def _near(key: np.ndarray, size: np.ndarray, sketch: np.ndarray, percent: int, open_to) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs with one key that ``open_to`` admits and whose sketches do not differ by more than the sets may.
+    mixed_up = written(mixed_up.select("signature"), "mixed-signatures")
+    open_sets = signed.join(mixed_up, "signature").join(classes.select("node", "size"), "node")
+    blocked = written(_in_blocks(open_sets, "signature", F.col("size") + SET_ENTRIES, SKETCHED * BLOCK_ENTRIES, percent).drop("signature"), "signature-blocks")
+    dropped(label, signed, mixed_up)
+    out = None
+    if buckets := _buckets(blocked, SKETCHED * ENTRIES_PER_BUCKET):
+        sketched = blocked.join(classes.select("node", "sketch"), "node").withColumn("bucket", F.pmod("key", F.lit(buckets)))
+        out = written(sketched.groupBy("bucket").applyInPandas(_openings_with(percent), "a long, b long").distinct(), "openings")
+    dropped(blocked)
+    return out
+
+
+def _buckets(blocked: DataFrame, entries: int) -> int:
+    """How many buckets of about so many members hold the blocks; 0 if there are none."""
+    total = blocked.agg(F.sum(F.col("size") + SET_ENTRIES)).first()[0]
+    return 0 if total is None else max(int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // entries + 1)
+
+
+class Connected:
+    """Which rows are connected so far, for whole arrays of rows."""
+
+    def __init__(self, labels: np.ndarray) -> None:
+        self.label = np.unique(labels, return_inverse=True)[1]
+        self.parent = np.arange(self.label.max(initial=-1) + 1)
+
+    def settle(self) -> None:
+        while (up := self.parent[self.parent]).tobytes() != self.parent.tobytes():
+            self.parent = up
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """As of the last ``settle``."""
+        return self.parent[self.label[a]] != self.parent[self.label[b]]
+
+    def _root(self, label: int) -> int:
+        while (up := self.parent[label]) != label:
+            self.parent[label] = self.parent[up]
+            label = up
+        return label
+
+    def roots(self, a: int, b: int) -> tuple[int, int]:
+        return self._root(self.label[a]), self._root(self.label[b])
+
+
+def _openings_with(percent: int):
+    def openings(group: pd.DataFrame) -> pd.DataFrame:
+        """Pairs under one key that may be linked, as many as connect the groups in this task: fewer than there are sets."""
+        group = group.sort_values(["key", "size", "node"])
+        key, node, side, size, part = (group[c].to_numpy(np.int64) for c in ("key", "node", "side", "size", "component"))
+        connected, found = Connected(part), []
+        for a, b in _near(key, size, side, Sketches(group["sketch"].tolist()), percent, connected):
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                low, high = sorted(connected.roots(i, j))
+                if low != high:
+                    connected.parent[high] = low
+                    found.append((node[i], node[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    return openings
+
+
+def _near(
+    key: np.ndarray, size: np.ndarray, side: np.ndarray, sketch: Sketches, percent: int, connected: Connected | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs under one key, on different sides or both on side -1, that are not ``connected`` yet and whose sketches do not
+    differ by more than the sets may.
 
     In the order of key and size each set is compared with its next, then its second next, and so on, all keys at once.
     """
@@ -372,31 +454,56 @@ def _near(key: np.ndarray, size: np.ndarray, sketch: np.ndarray, percent: int, o
         first = first[first + step < len(key)]
         # Sizes ascend: once a partner is too large, all later ones are.
         first = first[(key[first] == key[first + step]) & (size[first] * 100 >= size[first + step] * percent)]
-        chosen = first[open_to(first, first + step)]
-        for start in range(0, len(chosen), PAIRS_AT_ONCE):
-            a = chosen[start : start + PAIRS_AT_ONCE]
-            near = _may_link(sketch[a], sketch[a + step], size[a], size[a + step], percent)
-            yield a[near], a[near] + step
+        chosen = first[(side[first] != side[first + step]) | (side[first] < 0)]
+        if connected is not None:
+            connected.settle()
+            chosen = chosen[connected.apart(chosen, chosen + step)]
+        near = chosen[sketch.may_link(sketch, chosen, chosen + step, size[chosen], size[chosen + step], percent)]
+        if len(near):
+            yield near, near + step
+
+
+def _decided(blocks: DataFrame, sets: DataFrame, percent: int, what: str) -> DataFrame:
+    """The exact decision on all pairs that meet in blocks, as rows (a, b, n).
+
+    ``what``: "pairs" gives every linked pair; "forest" links that connect the sets of a task, without looking at pairs that are
+    connected; "all" such links too, and rows without b for the number of links that a has under one key.
+    """
+    buckets = _buckets(blocks, ENTRIES_PER_BUCKET) or 1
+    grouped = blocks.join(sets, "node").withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
+    return grouped.applyInPandas(_decided_with(percent, what), "a long, b long, n long")
 
 
-def _unsettled(components: DataFrame, checked: DataFrame, classes: DataFrame) -> DataFrame:
-    """component, node and size of the sets in components of which not every pair was checked."""
-    ends = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    ends = ends.join(components.toDF("a", "component"), "a").join(components.toDF("b", "other"), "b").where("component = other")
-    done = ends.groupBy("component").agg(F.count(F.lit(1)).alias("done"))
-    sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    unsettled = sizes.join(done, "component", "left").where("n * (n - 1) > 2 * coalesce(done, 0)").select("component")
-    return components.join(unsettled, "component").join(classes.select("node", "size"), "node").select("component", "node", "size")
+def _decided_with(percent: int, what: str):
+    def decided(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["key", "size", "node"])
+        key, node, side, size = (group[c].to_numpy(np.int64) for c in ("key", "node", "side", "size"))
+        sets = [np.asarray(m, dtype=np.int64).view(np.uint64) for m in group["members"]]
+        connected, links, degree = Connected(node), [], np.zeros(len(node), np.int64)
+        near = _near(key, size, side, Sketches([_sketch(m) for m in sets]), percent, connected if what == "forest" else None)
+        for a, b in near:
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                low, high = sorted(connected.roots(i, j))
+                if (what == "forest" and low == high) or not _similar(sets[i], sets[j], percent):
+                    continue
+                degree[i] += 1
+                degree[j] += 1
+                if low != high or what == "pairs":
+                    connected.parent[high] = low
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+        out = pd.DataFrame(links, columns=["a", "b"], dtype="Int64")
+        if what == "all":
+            linked = np.flatnonzero(degree)
+            out = pd.concat([out, pd.DataFrame({"a": node[linked], "n": degree[linked]}, dtype="Int64")])
+        return out.reindex(columns=["a", "b", "n"]).astype("Int64")
+
+    return decided
 
 
-def _links_inside(nodes: DataFrame, sets: DataFrame, percent: int, parts: int) -> DataFrame:
-    """All links between sets of one component."""
-    weight = F.col("size") + SET_ENTRIES
-    blocked = stored(_in_blocks(nodes, "component", weight, BLOCK_ENTRIES, percent), "component-blocks")
-    total = blocked.agg(F.sum(weight)).first()[0] or 0
-    buckets = max(parts, total // ENTRIES_PER_BUCKET + 1)
-    grouped = blocked.join(sets, "node").withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
-    return grouped.applyInPandas(_exact_links_with(percent), "a long, b long")
+def _similar(smaller: np.ndarray, larger: np.ndarray, percent: int) -> bool:
+    at = np.minimum(np.searchsorted(larger, smaller), len(larger) - 1)
+    common = int(np.count_nonzero(larger[at] == smaller))
+    return common * 100 >= (len(smaller) + len(larger) - common) * percent
 
 
 def _in_blocks(rows: DataFrame, group: str, weight: Column, limit: int, percent: int) -> DataFrame:
@@ -437,34 +544,27 @@ def _in_blocks(rows: DataFrame, group: str, weight: Column, limit: int, percent:
     return out.drop("_band", "_blocks", "_part", "_key")
 
 
-def _exact_links_with(percent: int):
-    def exact_links(group: pd.DataFrame) -> pd.DataFrame:
-        """The pairs under one key, on different sides or both on side -1, that are similar enough by their whole sets."""
-        group = group.sort_values(["key", "size", "node"])
-        key, node, side, size = (group[c].to_numpy(np.int64) for c in ("key", "node", "side", "size"))
-        sets = [np.asarray(m, dtype=np.int64).view(np.uint64) for m in group["members"]]
-        sketch = np.frombuffer(b"".join(_sketch(m) for m in sets), np.uint8).reshape(-1, SKETCH)
-        links = []
-        for a, b in _near(key, size, sketch, percent, lambda i, j: (side[i] != side[j]) | (side[i] < 0)):
-            for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common * 100 >= (size[i] + size[j] - common) * percent:
-                    links.append((min(node[i], node[j]), max(node[i], node[j])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
-
-    return exact_links
-
-
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component of the Jaccard join, with all its columns: the one with the smallest id.  Rows without words all stay."""
-    has_words = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    chosen = jaccard_join(df, id_col, text_col, every_link=False).chosen().toDF("_id", "_chosen", "_n")
-    marked = df.where(has_words).withColumn("_digest", F.xxhash64(F.col(text_col).cast("string")))
-    here = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_chosen"))
+    """One row of each component of the Jaccard join, with all its columns: the one with the smallest id.
+
+    Rows without words (null and empty texts too) all stay.  Of rows that repeat id and text one stays; ties of ids go to the text with
+    the smallest digest; a null id stands for a component only if all its ids are null.  Very long texts are whole sets.  An empty table
+    stays empty.  Other columns may have any names.
+    """
+    join = jaccard_join(df, id_col, text_col, every_link=False)
+    try:
+        chosen = join.chosen().toDF("_id", "_chosen", "_n")
+    finally:
+        join.drop()
+    rows = numbered(df)
+    id_at, text_at = rows.name(id_col), rows.name(text_col)
+    has_words = F.coalesce(F.col(text_at).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    marked = rows.frame.where(has_words).withColumn("_digest", F.xxhash64(F.col(text_at).cast("string")))
+    here = F.col(id_at).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_chosen"))
     once = marked.join(_small(chosen.where("_n = 1")), here, "left_semi")
     # Only rows that repeat id and text have to meet.
-    several = marked.join(_small(chosen.where("_n > 1")), here, "left_semi").dropDuplicates([id_col, "_digest"])
-    return once.unionByName(several).drop("_digest").unionByName(df.where(~has_words))
+    several = marked.join(_small(chosen.where("_n > 1")), here, "left_semi").dropDuplicates([id_at, "_digest"])
+    return rows.restored(once.unionByName(several).drop("_digest").unionByName(rows.frame.where(~has_words)))
 
 
 def _small(rows: DataFrame) -> DataFrame:
