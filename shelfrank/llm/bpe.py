@@ -33,7 +33,7 @@ SPACES = re.compile(f"[{SPACE}]+")
 #: str.split() also cuts at these, which the tokenizer keeps.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 END = "</w>"
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 250_000
 TEXTS_AT_ONCE = 512
 
 

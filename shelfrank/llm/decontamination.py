@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import pick, whole
+from shelfrank.llm.common import numbered, pick, whole
 
 WORD = re.compile(r"\w+")
 MIN_WORDS = 8
@@ -224,12 +224,18 @@ def drop_contaminated(
     min_words: int = MIN_WORDS,
     words_per_pass: int = WORDS_PER_PASS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns; see ``contaminated``."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns; see ``contaminated``.
+
+    Null and empty texts hold none and stay; very long texts are searched whole.  Every row is judged alone, so repeated rows all stay or
+    all go.  An empty table stays empty, without items nothing goes; null ids need no care, and other columns may have any names.
+    """
     items = pick(benchmark, text=item_text_col).select(whole(F.col("text")).alias("text")).distinct()
     items = items.withColumn("item", F.lit(None).cast("string"))
+    rows = numbered(docs)
+    kept = rows.frame
     for shared in _indexes(items, max_edits, min_words, words_per_pass):
-        docs = docs.where(~_holds_with(shared)(whole(F.col(text_col))))
-    return docs
+        kept = kept.where(~_holds_with(shared)(whole(F.col(rows.name(text_col)))))
+    return rows.restored(kept)
 
 
 def _holds_with(shared: Broadcast):

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import pick, stored, whole
+from shelfrank.llm.common import numbered, pick, stored, whole
 from shelfrank.llm.text_shape import TERMS, shape_terms
 
 MAX_REFERENCES = 4096
@@ -141,7 +141,11 @@ def score_quality(df: DataFrame, model: NeighbourVotes, id_col: str = "doc_id",
 
 
 def keep_good(df: DataFrame, model: NeighbourVotes, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``df`` that score at least ``least``, with all their columns."""
+    """The rows of ``df`` that score at least ``least``, with all their columns.
+
+    A null text scores as an empty one; see ``score_quality``.  Every row is judged alone, so ties and repeated rows all stay or all go;
+    an empty table stays empty, null ids need no care, and other columns may have any names.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -149,4 +153,5 @@ def keep_good(df: DataFrame, model: NeighbourVotes, text_col: str = "text", leas
         parts = [texts.iloc[i : i + TEXTS_AT_ONCE].tolist() for i in range(0, len(texts), TEXTS_AT_ONCE)]
         return pd.Series(np.concatenate([shared.value.score(_terms_of(p)) for p in parts]) if parts else [], dtype="float64")
 
-    return df.where(score(whole(F.col(text_col))) >= F.lit(least))
+    rows = numbered(df)
+    return rows.restored(rows.frame.where(score(whole(F.col(rows.name(text_col)))) >= F.lit(least)))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.common import pick, whole
+from shelfrank.llm.common import numbered, pick, whole
 
 # Formats of known kinds.  Letters of the names are listed in both cases, so that no Unicode case rule applies.
 ASSIGN = (
@@ -164,14 +164,21 @@ def with_secrets(df: DataFrame, text_col: str, out_col: str, allowed: Sequence[s
 
 
 def redact_secrets(df: DataFrame, text_col: str = "text", size_col: str | None = None, placeholder: str = PLACEHOLDER) -> DataFrame:
-    """``df`` with every secret in the text replaced, and its length in ``size_col`` brought up to date where a text has changed."""
-    found = with_secrets(df, text_col, "_secrets")
-    cut = found.withColumn("_cut", redacted(F.col(text_col), F.col("_secrets"), placeholder))
+    """``df`` with every secret in the text replaced, and its length in ``size_col`` brought up to date where a text has changed.
+
+    A null text stays null; see ``find_secrets``.  Every row is treated alone, so repeated rows stay repeated; an empty table stays
+    empty, null ids need no care, and other columns may have any names.
+    """
+    rows = numbered(df)
+    text_at = rows.name(text_col)
+    found = with_secrets(rows.frame, text_at, "_secrets")
+    cut = found.withColumn("_cut", redacted(F.col(text_at).cast("string"), F.col("_secrets"), placeholder))
     changed = F.size("_secrets") > 0
     if size_col:
-        size = F.when(changed, F.length("_cut").cast("long")).otherwise(F.col(size_col))
-        cut = cut.withColumn(size_col, size.cast(df.schema[size_col].dataType))
-    return cut.withColumn(text_col, F.col("_cut")).drop("_cut", "_secrets")
+        size_at = rows.name(size_col)
+        size = F.when(changed, F.length("_cut").cast("long")).otherwise(F.col(size_at))
+        cut = cut.withColumn(size_at, size.cast(rows.frame.schema[size_at].dataType))
+    return rows.restored(cut.withColumn(text_at, F.col("_cut")))
 
 
 def span_text(spans: Column) -> Column:

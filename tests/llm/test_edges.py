@@ -9,7 +9,7 @@ from shelfrank.llm.curve_search import nearest_by_curves
 from shelfrank.llm.decontamination import contaminated, drop_contaminated
 from shelfrank.llm.jaccard_join import jaccard_join, one_per_component
 from shelfrank.llm.quality_votes import fit_votes, keep_good, score_quality
-from shelfrank.llm.secret_scan import find_secrets, redact_secrets
+from shelfrank.llm.secret_scan import PLACEHOLDER, find_secrets, redact_secrets
 from shelfrank.llm.sharding import balanced_shards
 from shelfrank.llm.span_dedup import remove_repeated_spans
 from shelfrank.llm.url_filter import Rule, filter_urls
@@ -137,3 +137,43 @@ def test_vectors(spark):
     clashing = nearest_by_curves(with_clashes(df, text="Embedding", number="VEC_ID"), F.col("id") % 100 == 0, k=3)
     assert len(clashing.collect()) == 6
     assert nearest_by_curves(df.limit(0), F.col("id") % 100 == 0).collect() == []
+
+
+CLASHING = "doc_id long, text string, TEXT string, Doc_Id long, _secrets int, _cut int, _digest int, _c0 string, n_chars long"
+KEY = "password = Zk3vQ9xW2pLm8rTy"
+
+
+def stage_operators(spark):
+    from shelfrank.llm.decontamination import drop_contaminated
+    from shelfrank.llm.jaccard_join import one_per_component
+    from shelfrank.llm.quality_votes import fit_votes, keep_good
+    from shelfrank.llm.secret_scan import redact_secrets
+
+    folder = "/root/testdata/sf0.001"
+    docs, labels, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    model = fit_votes(docs, labels)
+    return {
+        "quality": lambda df: keep_good(df, model),
+        "near_duplicates": one_per_component,
+        "benchmark_leaks": lambda df: drop_contaminated(df, items),
+        "secrets": lambda df: redact_secrets(df, size_col="n_chars"),
+    }
+
+
+def test_stages_with_clashing_columns_nulls_and_repeated_rows(spark):
+    texts = [None, "", " ", "one two three four five six seven", "one two three four five six seven", KEY]
+    rows = [(None if i == 4 else i, t, "x", 7, 1, 2, 3, "y", len(t or "")) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, rows[3]], CLASHING)
+    for name, stage in stage_operators(spark).items():
+        assert stage(df.limit(0)).collect() == [], name
+        made = stage(df)
+        assert made.columns == df.columns, name
+        found = sorted((tuple(r) for r in made.collect()), key=str)
+        if name == "near_duplicates":
+            assert found == sorted([*rows[:4], rows[5]], key=str)
+        elif name == "benchmark_leaks":
+            assert found == sorted([*rows, rows[3]], key=str)
+        elif name == "secrets":
+            assert found == sorted([*rows[:5], rows[3], (5, PLACEHOLDER, *rows[5][2:8], len(PLACEHOLDER))], key=str)
+        else:
+            assert set(found) <= set(rows)
