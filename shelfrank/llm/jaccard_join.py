@@ -17,7 +17,7 @@ from shelfrank.llm.components import connected_components
 from shelfrank.llm.shingle_sets import SHINGLE, PartEnum, Shingles, fingerprint, mixed
 
 PERCENT = 75
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_500_000
 #: Members found in more than this share of the sets are left out of the domain; at most ``MAX_FREQUENT`` of them, which loses nothing.
 FREQUENT_SHARE = 0.002
 MAX_FREQUENT = 250_000
