@@ -180,6 +180,7 @@ class BenchmarkIndex:
     edits: np.ndarray
     pairs: np.ndarray
     own_pairs: list[np.ndarray]  # different word pairs of each item
+    own_keys: np.ndarray  # the same for all items: number of the item times number of pairs, plus number of the pair
     sizes: np.ndarray
     least: np.ndarray  # how many of these any stretch within the edits still holds
     rungs: list[Rung]
@@ -195,6 +196,8 @@ class BenchmarkIndex:
         width = len(vocabulary) + 1
         own_pairs = [np.unique(x[:-1] * width + x[1:]) for x in items]
         pairs = np.unique(np.concatenate(own_pairs)) if items else np.empty(0, np.int64)
+        numbered_pairs = [i * len(pairs) + np.searchsorted(pairs, own) for i, own in enumerate(own_pairs)]
+        own_keys = np.concatenate(numbered_pairs) if items else np.empty(0, np.int64)
         edits = np.array([int(max_edits * len(x)) for x in items], dtype=np.int64)
         least = np.array([len(x) for x in own_pairs], dtype=np.int64) - 2 * edits
         sizes = np.array([len(x) for x in items], dtype=np.int64)
@@ -210,7 +213,7 @@ class BenchmarkIndex:
         for length, rows in found.items():
             table = np.array(sorted(rows), dtype=np.int64)
             pieces[length] = tuple(np.ascontiguousarray(table[:, c]) for c in range(3))
-        return cls(vocabulary, items, edits, pairs, own_pairs, sizes, least, rungs, pieces)
+        return cls(vocabulary, items, edits, pairs, own_pairs, own_keys, sizes, least, rungs, pieces)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, end, distance): for each text and item the nearest stretch found within the item's edits."""
@@ -226,34 +229,41 @@ class BenchmarkIndex:
             coded += [ids, blank]
             at += len(ids) + gap
         words, starts = np.concatenate(coded), np.array(starts)
-        known = np.zeros(len(words), dtype=np.int64)
+        pair_at = np.full(len(words), -1, dtype=np.int64)
         if len(self.pairs):
             width = len(self.vocabulary) + 1
             seen = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
             pair = words[seen] * width + words[seen + 1]
             found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            known[seen[self.pairs[found] == pair]] = 1
-        total = np.concatenate([[0], np.cumsum(known)])
-        candidates = self._by_walks(words, total) if self.rungs else self._by_pieces(words, total)
+            same = self.pairs[found] == pair
+            pair_at[seen[same]] = found[same]
+        total = np.concatenate([[0], np.cumsum(pair_at >= 0)])
+        candidates = self._by_walks(words, total, pair_at) if self.rungs else self._by_pieces(words, total)
         if not candidates:
             return []
         return self._verified(np.unique(np.concatenate(candidates), axis=0), words, starts, gap)
 
-    def _by_walks(self, words: np.ndarray, total: np.ndarray) -> list[np.ndarray]:
+    def _by_walks(self, words: np.ndarray, total: np.ndarray, pair_at: np.ndarray) -> list[np.ndarray]:
         """(item, start) of windows that some table puts together with the item.
 
         An edit breaks two pairs of neighbouring words at most, so windows that hold fewer known pairs need no walk.
         """
         candidates = []
-        places = np.arange(len(words))
+        edits_of = dict(zip(self.sizes.tolist(), self.edits.tolist(), strict=True))
+        longest = max(size + edits_of[size] for rung in self.rungs for size in rung.sizes)
+        sums = np.concatenate([total, np.full(longest, total[-1])]).astype(np.int32)
         for rung in self.rungs:
-            may = np.zeros(len(words), dtype=bool)
+            # What holds too few pairs for any size of the rung goes first, in one step over all places.
+            reach = max(size + edits_of[size] for size in rung.sizes)
+            fewest = min(size - 1 - 2 * edits_of[size] for size in rung.sizes)
+            starts = np.flatnonzero(sums[reach : reach + len(words)] - sums[: len(words)] >= fewest if fewest > 0 else words > 0)
+            may = np.zeros(len(starts), dtype=bool)
             for size in rung.sizes:
-                edits = int(self.edits[self.sizes == size][0])
-                least = size - 1 - 2 * edits
-                held = total[np.minimum(places + size + edits, len(words))] - total[:-1]
-                may |= held >= least if least > 0 else words > 0
-            starts = np.flatnonzero(may)
+                edits = edits_of[size]
+                may |= sums[starts + size + edits] - sums[starts] >= size - 1 - 2 * edits
+            starts = starts[may]
+            if not len(starts):
+                continue
             padded = np.concatenate([words, np.zeros(rung.walks.bits.shape[1] + 1, dtype=np.int64)])
             width = max(CELLS_AT_ONCE // rung.walks.sampled.size, 1)
             for part in range(0, len(starts), width):
@@ -266,9 +276,27 @@ class BenchmarkIndex:
                     n = count[rows]
                     entry = np.repeat(low[hit[rows]] - np.cumsum(n) + n, n) + np.arange(n.sum())
                     found = np.stack([rung.numbers[entry], np.repeat(here[hit[rows] % len(here)], n)], axis=1)
-                    candidates.append(np.unique(found, axis=0))
+                    found = np.unique(found, axis=0)
+                    candidates.append(found[self._holds_own_pairs(found[:, 0], found[:, 1], pair_at)])
         return candidates
 
+    def _holds_own_pairs(self, item: np.ndarray, start: np.ndarray, pair_at: np.ndarray) -> np.ndarray:
+        """Whether enough pairs of the item itself lie around each start; any stretch within the edits holds them."""
+        edits, sizes = self.edits[item], self.sizes[item]
+        low, high = np.maximum(start - edits, 0), np.minimum(start + sizes + 2 * edits, len(pair_at))
+        enough = np.ones(len(item), dtype=bool)
+        width = int((high - low).max(initial=0))
+        for part in range(0, len(item), max(CELLS_AT_ONCE // max(width, 1), 1)):
+            rows = slice(part, part + max(CELLS_AT_ONCE // max(width, 1), 1))
+            at = low[rows, None] + np.arange(width)
+            pair = np.where(at < high[rows, None], pair_at[np.minimum(at, len(pair_at) - 1)], -1)
+            row, column = np.nonzero(pair >= 0)
+            wanted = item[rows][row] * len(self.pairs) + pair[row, column]
+            place = np.minimum(np.searchsorted(self.own_keys, wanted), len(self.own_keys) - 1)
+            held = np.bincount(row[self.own_keys[place] == wanted], minlength=len(pair))
+            enough[rows] = held >= sizes[rows] - 1 - 2 * edits[rows]
+        return enough
+
     def _by_pieces(self, words: np.ndarray, total: np.ndarray) -> list[np.ndarray]:
         """(item, place where it would begin) of all pieces that occur.
 
