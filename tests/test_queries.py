@@ -1,5 +1,8 @@
 """Every query with a SQL text must agree with DuckDB at the smallest scale; plans must stay free of cross joins."""
 
+import ast
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -44,3 +47,10 @@ def test_only_needed_columns_are_read(spark, small):
     plan = queries()["year_counts"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan
     assert "documents" not in plan
+
+
+@pytest.mark.parametrize("path", sorted(Path(__file__).resolve().parents[1].glob("workload/*.py")), ids=lambda p: p.stem)
+def test_imports_do_not_hide_each_other(path):
+    """Two modules under one short name leave the queries of the first without their functions."""
+    names = [a.asname or a.name for node in ast.parse(path.read_text()).body if isinstance(node, (ast.Import, ast.ImportFrom)) for a in node.names]
+    assert sorted(names) == sorted(set(names))

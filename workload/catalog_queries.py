@@ -12,10 +12,10 @@ from shelfrank.functions import text as X
 from shelfrank.operators import cleaning as C
 from shelfrank.operators import features as E
 from shelfrank.operators import joins as J
-from shelfrank.operators import title_index as X
 from shelfrank.operators import projections as P
 from shelfrank.operators import ranking as R
 from shelfrank.operators import stats as S
+from shelfrank.operators import title_index as T
 from shelfrank.operators.text_prep import combined_text, preprocess_descriptions
 from shelfrank.scale import cut_lineage, shared_folder
 from shelfrank.sources import files
@@ -613,7 +613,7 @@ def title_list(spark, sf):
     """Every title and pieces of it as queries, all in one pass over the index."""
     catalog = clean(spark, sf, "names")
     pieces = F.array(F.upper("names"), F.substring("names", 2, 5), F.substring("names", 3, 2), F.substring("names", 1, 1), F.concat("names", F.lit("?")))
-    return X.resolve_list(X.title_index(catalog), catalog.select(F.explode(pieces).alias("query")))
+    return T.resolve_list(T.title_index(catalog), catalog.select(F.explode(pieces).alias("query")))
 
 
 @query("title_to_cluster_id", CLEAN_SQL + " SELECT query, max(item_id) AS item_id FROM clean JOIN (SELECT unnest(['Red Widget ', 'blue bolt', 'absent']) AS query) ON trim(lower(names)) = trim(lower(query)) GROUP BY query")
