@@ -4,10 +4,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from shelfrank.operators import forest as forest_module
 from shelfrank.operators.forest import FULL_GRID, Forest, best_setting, bootstrap, fit_forest, grid_report, grow_in_task, walk
+from shelfrank.operators.quality import make_regressor
 
 COLUMNS = ["a", "b", "c"]
 
@@ -143,3 +146,16 @@ def test_a_grid_equals_separate_fits(spark, rows_in_task, monkeypatch):
 
 def test_the_full_grid_has_81_settings():
     assert np.prod([len(v) for v in FULL_GRID.values()]) == 81
+
+
+def test_the_model_type_is_this_forest_and_can_be_stored(spark, tmp_path):
+    matrix = frame(spark, rows_of(10, 200))
+    data = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(matrix)
+    model = PipelineModel([make_regressor("random_forest", numTrees=3, minRowsToSplit=6).fit(data)])
+    model.write().save(str(tmp_path / "model"))
+    want = {r[0]: r[1] for r in fit_forest(matrix, COLUMNS, trees=3, min_split=6).predict(matrix).collect()}
+    for stage in (model, PipelineModel.load(str(tmp_path / "model"))):
+        got = {r[0]: r[1] for r in stage.transform(data).select("item_id", "prediction").collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+        assert abs(sum(stage.stages[0].featureImportances) - 1) < 1e-9
+    assert make_regressor("random_forest", numTrees=2).fit(data.drop("item_id")).transform(data).count() == 200
