@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import compare, duckdb_tables
+from workload.model_queries import matrix
 
 CHEAP_WITHOUT_SQL = ("embed_text", "semantic_index", "describe_query", "pca_2d", "quality_scores", "model_roundtrip")
 
@@ -54,3 +55,8 @@ def test_imports_do_not_hide_each_other(path):
     """Two modules under one short name leave the queries of the first without their functions."""
     names = [a.asname or a.name for node in ast.parse(path.read_text()).body if isinstance(node, (ast.Import, ast.ImportFrom)) for a in node.names]
     assert sorted(names) == sorted(set(names))
+
+
+def test_flows_of_many_passes_run_the_joins_once(spark, small):
+    data, _ = matrix(spark, small)
+    assert "lineitem" not in data._jdf.queryExecution().executedPlan().toString()

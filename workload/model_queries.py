@@ -11,7 +11,7 @@ from shelfrank.operators import fold_stats as L
 from shelfrank.operators import forest as T
 from shelfrank.operators import quality as Q
 from shelfrank.operators import stats as S
-from shelfrank.scale import shared_folder
+from shelfrank.scale import cut_lineage, shared_folder
 from workload.registry import AS_OF_YEAR, CLEAN_SQL, SEED, clean, query, round_columns, rounded, row_bound
 from workload.vector_queries import HYBRID_TITLES, recommender
 
@@ -19,11 +19,17 @@ SPLIT_SQL = f"""numbered AS (SELECT *, row_number() OVER (ORDER BY substr(md5(it
   parts AS (SELECT *, CASE WHEN rn <= n - 2 * ceil(n * 0.15) THEN 'train' WHEN rn <= n - ceil(n * 0.15) THEN 'val' ELSE 'test' END AS "set" FROM numbered)"""
 
 
+def fitted(spark, sf):
+    """The cleaned catalog, its feature matrix, and the state that was built with.  Both are read many times, so they are written once."""
+    cleaned = clean(spark, sf, often=True)
+    state = E.fit_features(cleaned, AS_OF_YEAR, row_bound=row_bound(spark, sf))
+    return cleaned, cut_lineage(E.feature_matrix(cleaned, state), "feature-matrix"), state
+
+
 def matrix(spark, sf):
     """Feature matrix and the state it was built with."""
-    cleaned = clean(spark, sf)
-    state = E.fit_features(cleaned, AS_OF_YEAR, row_bound=row_bound(spark, sf))
-    return E.feature_matrix(cleaned, state), state
+    _, data, state = fitted(spark, sf)
+    return data, state
 
 
 def predictions(spark, sf):
@@ -219,14 +225,14 @@ def learning_curve(spark, sf):
 
 @query("quality_scores")
 def quality_scores(spark, sf):
-    data, state = matrix(spark, sf)
-    return Q.train(data, state, "ridge").score_items(clean(spark, sf)).transform(round_columns, "quality_score_pred")
+    items, data, state = fitted(spark, sf)
+    return Q.train(data, state, "ridge").score_items(items).transform(round_columns, "quality_score_pred")
 
 
 @query("hybrid_end_to_end")
 def hybrid_end_to_end(spark, sf):
-    model = Q.train(*matrix(spark, sf), "ridge")
-    return recommender(spark, sf, model.score_items).recommend(HYBRID_TITLES)
+    items, data, state = fitted(spark, sf)
+    return recommender(spark, sf, Q.train(data, state, "ridge").score_items, items).recommend(HYBRID_TITLES)
 
 
 @query("least_squares_check", CLEAN_SQL + " SELECT count(*) AS rows, CAST(0 AS DOUBLE) AS worst_product FROM clean")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.operators.cleaning import clean_catalog
+from shelfrank.scale import cut_lineage
 from shelfrank.sources.demo_catalog import raw_catalog, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,10 +76,15 @@ def row_bound(spark: SparkSession, sf_dir: str) -> int:
     return table(spark, sf_dir, "part").count()
 
 
-def clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The cleaned catalog, reduced to the tables and columns asked for."""
+def clean(spark: SparkSession, sf_dir: str, *columns: str, often: bool = False) -> DataFrame:
+    """The cleaned catalog, reduced to the tables and columns asked for.
+
+    With ``often``, for flows of many passes, the joins behind it run once and their rows are written.
+    """
     wanted = ("item_id", "score", *[_SOURCES.get(c, c) for c in columns])
     source = raw_catalog(spark, sf_dir, wanted) if columns else raw_catalog(spark, sf_dir)
+    if often:
+        source = cut_lineage(source, "raw-catalog")
     has_amounts = {"budget_x", "revenue"} & set(source.columns)
     cleaned = clean_catalog(source, row_bound=row_bound(spark, sf_dir) if has_amounts else None)
     return cleaned.select("item_id", *columns) if columns else cleaned

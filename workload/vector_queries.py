@@ -282,7 +282,7 @@ def squared_silhouette(spark, sf):
 @query("kmeans_assign")
 def kmeans_assign(spark, sf):
     """Every item; one with a missing feature has no cluster."""
-    clusterer = K.ItemClusterer().fit(clean(spark, sf, "year", "score", "budget_x", "revenue"))
+    clusterer = K.ItemClusterer().fit(clean(spark, sf, "year", "score", "budget_x", "revenue", often=True))
     unplaced = clusterer.unplaced.select("item_id", F.lit(None).cast("int").alias("cluster_id"))
     return clusterer.assignments.select("item_id", "cluster_id").unionByName(unplaced)
 
@@ -291,7 +291,7 @@ def kmeans_assign(spark, sf):
   CAST(0 AS BIGINT) AS misplaced FROM clean""")
 def kmeans_check(spark, sf):
     """Items, those with a missing feature, and those that some other centroid is nearer to than their own."""
-    clusterer = K.ItemClusterer(max_iter=20).fit(clean(spark, sf, "year", "score", "budget_x", "revenue"))
+    clusterer = K.ItemClusterer(max_iter=20).fit(clean(spark, sf, "year", "score", "budget_x", "revenue", often=True))
     centers = F.broadcast(clusterer.centroids.agg(F.collect_list(F.struct("cluster_id", "centroid")).alias("all")))  # one row of k centroids
     squared = lambda c: F.aggregate(F.zip_with("features", c["centroid"], lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda t, d: t + d)
     placed = clusterer.assignments.select("item_id", "cluster_id", "features").withColumn("k", F.lit(1)).join(centers.withColumn("k", F.lit(1)), "k")
@@ -305,7 +305,7 @@ def kmeans_check(spark, sf):
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    data = clean(spark, sf, "year", "score", "budget_x", "revenue").persist()
+    data = clean(spark, sf, "year", "score", "budget_x", "revenue", often=True).persist()
     sweep = K.kmeans_sweep(data, max_iter=50)
     data.unpersist()
     return sweep
@@ -326,8 +326,8 @@ HYBRID_SQL = CLEAN_VEC_SQL + f""", {CENTROIDS_SQL}, {sql_titles(HYBRID_TITLES)},
   final AS (SELECT *, 0.6 * sim_score_norm + 0.2 * quality_score_pred + 0.2 * cluster_score AS final_score FROM rated)"""
 
 
-def recommender(spark, sf, quality=None):
-    catalog = clean(spark, sf) if quality else clean(spark, sf, "names", "year", "quality_fixed")
+def recommender(spark, sf, quality=None, catalog=None):
+    catalog = catalog or clean(spark, sf, "names", "year", "quality_fixed")
     fixed = lambda items: items.select("item_id", F.col("quality_fixed").alias("quality_score_pred"))
     assigned = labelled(spark, sf)
     return H.HybridRecommender(catalog, vectors(spark, sf), quality or fixed, assigned, K.mean_centroids(assigned))
