@@ -240,6 +240,55 @@ def test_the_filter_never_forgets_and_rarely_invents():
     assert np.abs(np.log(value_of(levels) / counts)).max() <= math.log(1.5)
 
 
+def plain_scores(rows):
+    """The interpolated trigram model with exact levels, by counting in dictionaries."""
+    texts = {i: [" start", *(text or "").translate(LOWER).encode().decode("ascii", "ignore").split(), " end"] for i, text in rows}
+    train = {i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2}
+    counts = [Counter(tuple(t[j : j + n]) for i in train for j, t in ((j, texts[i]) for j in range(1 if n == 1 else 0, len(texts[i]) - n + 1))) for n in (1, 2, 3)]
+    single = Counter({k[0]: v for k, v in counts[0].items()})
+    level = lambda count: int(level_of(np.array([count]))[0]) if count >= LEAST else 0
+    value = lambda found: float(value_of(np.array([found]))[0])
+    held = {k: level(v) for k, v in counts[1].items()}
+    held3 = {k: level(v) if held[k[:2]] and held[k[1:]] else 0 for k, v in counts[2].items()}
+    often = lambda word: single[" end" if word == " start" else word]
+    seen2, seen3 = Counter(), Counter()
+    for k, v in counts[1].items():
+        seen2[level(often(k[0])), "all"] += v
+        seen2[level(often(k[0])), "kept"] += v * (held[k] > 0)
+    for k, v in counts[2].items():
+        seen3[held[k[:2]], "all"] += v
+        seen3[held[k[:2]], "kept"] += v * (held3[k] > 0)
+    mass = lambda seen, at: 1 - seen[at, "kept"] / seen[at, "all"] if seen[at, "all"] else 1.0
+    out = {}
+    for i, text in texts.items():
+        score = 0.0
+        for j in range(1, len(text)):
+            before, base = often(text[j - 1]), (single[text[j]] + 1) / (sum(single.values()) + len(single) + 1)
+            pair = value(held.get(tuple(text[j - 1 : j + 1]), 0))
+            share = min(pair, before) / before if before else 0.0
+            likely = min(1.0, share + mass(seen2, level(before)) * base)
+            last = held.get(tuple(text[j - 2 : j]), 0) if j > 1 else 0
+            if last:
+                share = min(value(held3.get(tuple(text[j - 2 : j + 1]), 0)), value(last)) / value(last)
+                likely = min(1.0, share + mass(seen3, last) * likely)
+            score += math.log10(likely)
+        out[i] = score
+    return out
+
+
+def test_ngrams_too_many_for_a_filter_have_exact_levels(spark):
+    r = random.Random(12)
+    rows = [(i, " ".join(f"w{int(r.paretovariate(0.7)) % 40}" for _ in range(r.randrange(0, 60)))) for i in range(300)]
+    got = {g["doc_id"]: g["score"] for g in score_documents(documents(spark, rows), filter_bytes=0).collect()}
+    want = plain_scores(rows)
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-9
+
+
+def test_a_full_filter_ends_at_its_highest_level():
+    full = LogFrequencyFilter(1, 64, np.full(8, 255, np.uint8), 7)
+    assert full.levels(np.arange(5, dtype=np.uint64)).tolist() == [7] * 5
+
+
 def test_bits_hold_every_key():
     r = np.random.default_rng(11)
     keys = np.unique(r.integers(0, 2**64, 500, dtype=np.uint64))
