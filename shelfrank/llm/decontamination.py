@@ -12,7 +12,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import product
+from itertools import product, repeat
 
 import numpy as np
 import pandas as pd
@@ -35,7 +35,7 @@ TRIALS = 200
 RUNG = 1.25
 CELLS_AT_ONCE = 1_000_000
 WORDS_PER_PASS = 2_000_000
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 HITS_AT_ONCE = 1_000_000
 MIX = np.int64(-7046029254386353131)
 MIX_AGAIN = np.int64(-4658895280553007687)
@@ -77,6 +77,26 @@ def _sequences(words: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarra
         yield length, hashed
 
 
+class Lookup:
+    """Ascending keys, which may repeat, with a table of hash bits that turns away nearly all values that are none of them."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, self.shift = keys, np.int64(64 - min(max(len(keys).bit_length() + 7, 12), 24))
+        self.may = np.zeros(1 << (64 - int(self.shift)), dtype=bool)
+        self.may[self._slots(keys)] = True
+
+    def _slots(self, values: np.ndarray) -> np.ndarray:
+        return ((values * MIX) >> self.shift) & np.int64(len(self.may) - 1)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values are keys, and the first place of each among the keys."""
+        at = np.flatnonzero(self.may[self._slots(values)])
+        place = np.searchsorted(self.keys, values[at])
+        same = np.append(self.keys, np.int64(0))[place] == values[at]
+        same &= place < len(self.keys)
+        return at[same], place[same]
+
+
 @dataclass(frozen=True)
 class Walks:
     """Random walks with the steps that are sampled of each: one row per table."""
@@ -167,7 +187,7 @@ class Rung:
 
     walks: Walks
     sizes: list[int]
-    keys: np.ndarray  # sorted, over all tables
+    keys: Lookup  # over all tables
     numbers: np.ndarray  # the item of each key
 
 
@@ -178,9 +198,8 @@ class BenchmarkIndex:
     vocabulary: dict[str, int]
     items: list[np.ndarray]
     edits: np.ndarray
-    pairs: np.ndarray
-    own_pairs: list[np.ndarray]  # different word pairs of each item
-    own_keys: np.ndarray  # the same for all items: number of the item times number of pairs, plus number of the pair
+    pairs: Lookup
+    own_keys: Lookup  # different word pairs of all items: number of the item times number of pairs, plus number of the pair
     sizes: np.ndarray
     least: np.ndarray  # how many of these any stretch within the edits still holds
     rungs: list[Rung]
@@ -213,7 +232,7 @@ class BenchmarkIndex:
         for length, rows in found.items():
             table = np.array(sorted(rows), dtype=np.int64)
             pieces[length] = tuple(np.ascontiguousarray(table[:, c]) for c in range(3))
-        return cls(vocabulary, items, edits, pairs, own_pairs, own_keys, sizes, least, rungs, pieces)
+        return cls(vocabulary, items, edits, Lookup(pairs), Lookup(own_keys), sizes, least, rungs, pieces)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word, end, distance): for each text and item the nearest stretch found within the item's edits."""
@@ -224,26 +243,23 @@ class BenchmarkIndex:
         coded, starts, at = [], [], 0
         blank = np.zeros(gap, dtype=np.int64)
         for text in texts:
-            ids = np.fromiter([get(w, 0) for w in words_of(text)], dtype=np.int64)
+            ids = np.fromiter(map(get, words_of(text), repeat(0)), dtype=np.int64)
             starts.append(at)
             coded += [ids, blank]
             at += len(ids) + gap
         words, starts = np.concatenate(coded), np.array(starts)
         pair_at = np.full(len(words), -1, dtype=np.int64)
-        if len(self.pairs):
-            width = len(self.vocabulary) + 1
-            seen = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
-            pair = words[seen] * width + words[seen + 1]
-            found = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-            same = self.pairs[found] == pair
-            pair_at[seen[same]] = found[same]
+        seen = np.flatnonzero((words[:-1] > 0) & (words[1:] > 0))
+        same, number = self.pairs.find(words[seen] * (len(self.vocabulary) + 1) + words[seen + 1])
+        pair_at[seen[same]] = number
         total = np.concatenate([[0], np.cumsum(pair_at >= 0)])
-        candidates = self._by_walks(words, total, pair_at) if self.rungs else self._by_pieces(words, total)
+        known = pair_at[pair_at >= 0]
+        candidates = self._by_walks(words, total, known) if self.rungs else self._by_pieces(words, total, known)
         if not candidates:
             return []
         return self._verified(np.unique(np.concatenate(candidates), axis=0), words, starts, gap)
 
-    def _by_walks(self, words: np.ndarray, total: np.ndarray, pair_at: np.ndarray) -> list[np.ndarray]:
+    def _by_walks(self, words: np.ndarray, total: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
         """(item, start) of windows that some table puts together with the item.
 
         An edit breaks two pairs of neighbouring words at most, so windows that hold fewer known pairs need no walk.
@@ -269,35 +285,37 @@ class BenchmarkIndex:
             for part in range(0, len(starts), width):
                 here = starts[part : part + width]
                 hashed = rung.walks.keys(padded, here).ravel()
-                low, high = np.searchsorted(rung.keys, hashed, "left"), np.searchsorted(rung.keys, hashed, "right")
-                hit = np.flatnonzero(high > low)
-                count = (high - low)[hit]
+                hit, low = rung.keys.find(hashed)
+                count = np.searchsorted(rung.keys.keys, hashed[hit], "right") - low
                 for rows in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(np.cumsum(count) // HITS_AT_ONCE)) + 1):
                     n = count[rows]
-                    entry = np.repeat(low[hit[rows]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    entry = np.repeat(low[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())
                     found = np.stack([rung.numbers[entry], np.repeat(here[hit[rows] % len(here)], n)], axis=1)
                     found = np.unique(found, axis=0)
-                    candidates.append(found[self._holds_own_pairs(found[:, 0], found[:, 1], pair_at)])
+                    candidates.append(found[self._holds_own_pairs(found[:, 0], found[:, 1], total, known)])
         return candidates
 
-    def _holds_own_pairs(self, item: np.ndarray, start: np.ndarray, pair_at: np.ndarray) -> np.ndarray:
-        """Whether enough pairs of the item itself lie around each start; any stretch within the edits holds them."""
-        edits, sizes = self.edits[item], self.sizes[item]
-        low, high = np.maximum(start - edits, 0), np.minimum(start + sizes + 2 * edits, len(pair_at))
-        enough = np.ones(len(item), dtype=bool)
-        width = int((high - low).max(initial=0))
-        for part in range(0, len(item), max(CELLS_AT_ONCE // max(width, 1), 1)):
-            rows = slice(part, part + max(CELLS_AT_ONCE // max(width, 1), 1))
-            at = low[rows, None] + np.arange(width)
-            pair = np.where(at < high[rows, None], pair_at[np.minimum(at, len(pair_at) - 1)], -1)
-            row, column = np.nonzero(pair >= 0)
-            wanted = item[rows][row] * len(self.pairs) + pair[row, column]
-            place = np.minimum(np.searchsorted(self.own_keys, wanted), len(self.own_keys) - 1)
-            held = np.bincount(row[self.own_keys[place] == wanted], minlength=len(pair))
-            enough[rows] = held >= sizes[rows] - 1 - 2 * edits[rows]
+    def _holds_own_pairs(self, item: np.ndarray, start: np.ndarray, total: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Whether enough different pairs of the item itself lie around each start; any stretch within the edits holds them.
+
+        ``known`` are the known pairs in order, and ``total`` says how many of them lie before each place.
+        """
+        edits = self.edits[item]
+        low = np.clip(start - edits, 0, len(total) - 1)
+        high = np.clip(start + self.sizes[item] + 2 * edits - 1, low, len(total) - 1)
+        first, count, least = total[low], total[high] - total[low], self.least[item]
+        enough = least <= 0
+        rows = np.flatnonzero((count >= least) & ~enough)
+        for part in np.split(rows, np.flatnonzero(np.diff(np.cumsum(count[rows]) // CELLS_AT_ONCE)) + 1):
+            n = count[part]
+            row = np.repeat(np.arange(len(part)), n)
+            pair = known[np.repeat(first[part] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            at, place = self.own_keys.find(item[part][row] * len(self.pairs.keys) + pair)
+            different = np.unique(row[at] * len(self.own_keys.keys) + place) // max(len(self.own_keys.keys), 1)
+            enough[part] = np.bincount(different, minlength=len(part)) >= least[part]
         return enough
 
-    def _by_pieces(self, words: np.ndarray, total: np.ndarray) -> list[np.ndarray]:
+    def _by_pieces(self, words: np.ndarray, total: np.ndarray, known: np.ndarray) -> list[np.ndarray]:
         """(item, place where it would begin) of all pieces that occur.
 
         Fewer edits than an item has pieces leave one piece whole, at most ``edits`` words away from its place in the stretch; and an
@@ -320,14 +338,14 @@ class BenchmarkIndex:
                 first = np.maximum(begin - self.edits[item], 0)
                 last = np.minimum(begin + self.sizes[item] + self.edits[item], len(words))
                 enough = total[last] - total[first] >= self.least[item]
-                candidates.append(np.unique(np.stack([item[enough], begin[enough]], axis=1), axis=0))
+                found = np.unique(np.stack([item[enough], begin[enough]], axis=1), axis=0)
+                candidates.append(found[self._holds_own_pairs(found[:, 0], found[:, 1], total, known)])
         return candidates
 
     def _verified(self, candidates: np.ndarray, words: np.ndarray, starts: np.ndarray, gap: int) -> list[tuple[int, int, int, int, int]]:
         """The matches among (item, place at most its edits away from a beginning), in this order."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: dict[int, int] = {}  # item -> end of the region that was verified last
-        width = len(self.vocabulary) + 1
         for item, begin in candidates.tolist():
             size, edits = len(self.items[item]), int(self.edits[item])
             if begin + size + 2 * edits <= done.get(item, -1):
@@ -336,10 +354,6 @@ class BenchmarkIndex:
             text = int(np.searchsorted(starts, begin + size - 1, "right")) - 1
             limit = int(starts[text + 1]) - gap if text + 1 < len(starts) else len(words) - gap
             low = max(int(starts[text]), begin - edits)
-            near = words[low : min(limit, begin + size + 2 * edits)]
-            own = self.own_pairs[item]
-            if len(np.intersect1d(near[:-1] * width + near[1:], own)) < self.least[item]:
-                continue
             high = min(limit, begin + 2 * size + 2 * edits)
             distance, first, end = nearest_stretch(self.items[item], words[low:high])
             done[item] = high
@@ -363,7 +377,7 @@ def _rungs(items: list[np.ndarray], sizes: np.ndarray, max_edits: float, recall:
         words = np.concatenate([x for i in chosen for x in (items[i], blank)])
         hashed = walks.keys(words, ends - sizes[chosen] - len(blank))
         order = np.argsort(hashed, axis=None, kind="stable")
-        out.append(Rung(walks, sorted(set(sizes[chosen].tolist())), hashed.ravel()[order], np.tile(chosen, len(hashed))[order]))
+        out.append(Rung(walks, sorted(set(sizes[chosen].tolist())), Lookup(hashed.ravel()[order]), np.tile(chosen, len(hashed))[order]))
     return out
 
 

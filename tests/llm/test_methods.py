@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from shelfrank.llm import curve_search
 from shelfrank.llm.bpe import BatchEncoder, WordBpe, decode_documents, encode_documents
 from shelfrank.llm.components import connected_components
-from shelfrank.llm.decontamination import BenchmarkIndex, Walks, brute_matches, nearest_stretch, planned_walks
+from shelfrank.llm.decontamination import BenchmarkIndex, Lookup, Walks, brute_matches, nearest_stretch, planned_walks
 from shelfrank.llm.hilbert import hilbert_positions
 from shelfrank.llm.jaccard_join import jaccard_join
 from shelfrank.llm.secret_scan import CLASSES, SCALE, WINDOW, smallest_weight
@@ -408,3 +408,13 @@ def test_documents_round_trip(spark):
         assert row.decoded_sha256 == hashlib.sha256(LIBRARY.decode(theirs, skip_special_tokens=False).encode()).hexdigest()
     before = encoded.select("doc_id", encoded.decoded.alias("before"))
     assert all(r.decoded == r.before for r in decode_documents(encoded, PATH).join(before, "doc_id").collect())
+
+
+def test_a_lookup_finds_every_key_and_no_other_value():
+    r = np.random.default_rng(5)
+    keys = np.sort(np.repeat(r.integers(-(2**63), 2**63 - 1, 3_000), r.integers(1, 3, 3_000)))
+    values = np.concatenate([keys[::3], [0, -1, 2**62], r.integers(-(2**63), 2**63 - 1, 50_000)])
+    at, place = Lookup(keys).find(values)
+    assert at.tolist() == np.flatnonzero(np.isin(values, keys)).tolist()
+    assert place.tolist() == np.searchsorted(keys, values[at]).tolist()
+    assert [len(x) for x in Lookup(np.empty(0, np.int64)).find(values)] == [0, 0]
