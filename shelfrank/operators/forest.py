@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfrank.functions.numbers import hash60
@@ -28,6 +31,8 @@ BLOCKS = 48
 #: Sums per node and bin that a task holds at once for a column.
 CELLS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 100_000
+#: Different values of a column that are summed up in one window by ``exact_tree``.
+ROWS_IN_SLICE = 50_000
 HISTOGRAM_BYTES = 256 << 20
 NODES = "growth int, tree int, node long, rows long, weight double, value double, gain double, feature int, bin int"
 NODE_COLUMNS = tuple(c.split()[0] for c in NODES.split(", "))
@@ -492,6 +497,79 @@ def fit_forest(
     return Forest(cut_lineage(grown, "forest-nodes"), edges, trees)
 
 
+def exact_tree(
+    matrix: DataFrame,
+    columns: Sequence[str],
+    label: str = "label",
+    depth: int = FOREST_DEFAULTS["depth"],
+    min_split: int = FOREST_DEFAULTS["min_split"],
+    min_leaf: int = FOREST_DEFAULTS["min_leaf"],
+    rows_in_slice: int = ROWS_IN_SLICE,
+) -> DataFrame:
+    """One tree over all labelled rows, each once, with every value of a column a possible cut: node, rows, value, feature, threshold.
+
+    The tree that ``fit_forest`` grows without drawing where its bins hold one value each, for columns of any number of values.  A level
+    sums rows and labels by node, column and value; running sums are made inside slices of about ``rows_in_slice`` rows, to which the
+    sums of the slices before are added, so no task gets a whole column.  Of equal splits the first column and lowest value wins;
+    thresholds lie halfway to the next value of the whole column; a missing value goes with the largest.
+    """
+    known = matrix.where(F.col(label).isNotNull()).select(
+        F.lit(1).cast("long").alias("node"), F.col(label).cast("double").alias("y"),
+        *[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)],
+    )
+    at = cut_lineage(_sliced(cut_lineage(known, "tree-table"), len(columns), rows_in_slice), "tree-rows")
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"x{i}").alias("x"), F.col(f"slice{i}").alias("slice")) for i in range(len(columns))]))
+    own_slice, slices_before = Window.partitionBy("node", "feature", "slice").orderBy("x"), Window.partitionBy("node", "feature").orderBy("slice")
+    all_slices = Window.partitionBy("node", "feature")
+    column_values, grown = None, []
+    for level in range(depth + 1):
+        made = at.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.sum("y").alias("total"), F.sum(F.col("y") * F.col("y")).alias("squares"))
+        made = cut_lineage(made.withColumn("value", F.col("total") / F.col("rows")), "tree-nodes")
+        uneven = F.col("squares") - F.col("total") * F.col("value") > 1e-12 * F.greatest(F.lit(1.0), "squares")
+        open_nodes = made.where(uneven & (F.col("rows") >= max(min_split, 2 * min_leaf))).select("node", "rows", "total")
+        if level == depth or open_nodes.isEmpty():
+            grown.append(made.select("node", "rows", "value", F.lit(None).cast("int").alias("feature"), F.lit(None).cast("double").alias("threshold")))
+            break
+        sums = at.select("node", "y", cells.alias("cell")).select("node", "y", "cell.*").where("x IS NOT NULL")
+        sums = cut_lineage(sums.groupBy("node", "feature", "slice", "x").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("s")), "tree-sums")
+        column_values = sums.select("feature", "x") if column_values is None else column_values
+        slices = sums.groupBy("node", "feature", "slice").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+        earlier = slices_before.rowsBetween(Window.unboundedPreceding, -1)
+        slices = slices.select(
+            "node", "feature", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.coalesce(F.sum("s").over(earlier), F.lit(0.0)).alias("s0"),
+            F.sum("n").over(all_slices).alias("with_value"),
+        )
+        running = sums.select("node", "feature", "slice", "x", F.sum("n").over(own_slice).alias("n"), F.sum("s").over(own_slice).alias("s"))
+        left_n, left_s, right_n, right_s = F.col("n") + F.col("n0"), F.col("s") + F.col("s0"), F.col("rows") - F.col("left_n"), F.col("total") - F.col("left_s")
+        steps = running.join(slices, ["node", "feature", "slice"]).withColumns({"left_n": left_n, "left_s": left_s}).join(open_nodes, "node")
+        steps = steps.where((F.col("left_n") < F.col("with_value")) & (F.col("left_n") >= min_leaf) & (right_n >= min_leaf))
+        gain = F.col("left_s") * F.col("left_s") / F.col("left_n") + right_s * right_s / right_n
+        best = steps.groupBy("node").agg(F.max(F.struct(gain.alias("gain"), (-F.col("feature")).alias("f"), (-F.col("x")).alias("x"))).alias("best"))
+        best = cut_lineage(best.select("node", (-F.col("best.f")).alias("feature"), (-F.col("best.x")).alias("cut")), "tree-cuts")
+        following = best.join(column_values, "feature").where("x > cut").groupBy("node").agg(F.min("x").alias("following"))
+        cuts = best.join(following, "node").select("node", "feature", ((F.col("cut") + F.col("following")) / 2).alias("threshold"))
+        grown.append(made.join(cuts, "node", "left").select("node", "rows", "value", "feature", "threshold"))
+        own = F.array(*[F.col(f"x{i}") for i in range(len(columns))])[F.col("feature")]
+        moved = at.join(best, "node").withColumn("node", 2 * F.col("node") + F.coalesce(own > F.col("cut"), F.lit(True)).cast("long"))
+        at = cut_lineage(moved.drop("feature", "cut"), "tree-rows")
+    names = matrix.sparkSession.createDataFrame(list(enumerate(columns)), "feature int, name string")
+    found = reduce(DataFrame.unionByName, grown).join(F.broadcast(names), "feature", "left")
+    return found.select("node", "rows", "value", F.col("name").alias("feature"), "threshold")
+
+
+def _sliced(known: DataFrame, columns: int, rows_in_slice: int) -> DataFrame:
+    """``known`` with ``slice0``, ``slice1``, ...: numbers of ranges of the columns, which ascend with the values and hold about so many rows."""
+    slices = -(-known.count() // rows_in_slice)
+    shares = [i / slices for i in range(1, slices)]
+    if not shares:
+        return known.withColumns({f"slice{i}": F.lit(0.0) for i in range(columns)})
+    found = known.agg(*[F.percentile_approx(f"x{i}", shares, 10_000).alias(f"x{i}") for i in range(columns)]).first()
+    for i in range(columns):
+        edges = [-math.inf, *sorted(set(found[f"x{i}"] or [0.0]) - {-math.inf, math.inf}), math.inf]
+        known = Bucketizer(splits=edges if len(edges) > 2 else [-math.inf, 0.0, math.inf], inputCol=f"x{i}", outputCol=f"slice{i}", handleInvalid="keep").transform(known)
+    return known
+
+
 def grid_report(
     matrix: DataFrame,
     columns: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from shelfrank.operators import forest as forest_module
-from shelfrank.operators.forest import FULL_GRID, Forest, best_setting, bootstrap, fit_forest, grid_report, grow_in_task, walk
+from shelfrank.operators.forest import FULL_GRID, Forest, best_setting, bootstrap, exact_tree, fit_forest, grid_report, grow_in_task, walk
 from shelfrank.operators.quality import make_regressor
 
 COLUMNS = ["a", "b", "c"]
@@ -159,3 +159,22 @@ def test_the_model_type_is_this_forest_and_can_be_stored(spark, tmp_path):
         assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
         assert abs(sum(stage.stages[0].featureImportances) - 1) < 1e-9
     assert make_regressor("random_forest", numTrees=2).fit(data.drop("item_id")).transform(data).count() == 200
+
+
+@pytest.mark.parametrize("rows_in_slice", [15, 1000])
+def test_exact_tree_is_the_tree_of_bins_that_hold_one_value(spark, rows_in_slice):
+    rows = [(i, None if i % 17 == 0 else a, b, c, None if i % 29 == 0 else y) for i, a, b, c, y in rows_of(9)]
+    data = frame(spark, rows)
+    binned = fit_forest(data, COLUMNS, trees=1, depth=4, min_split=6, min_leaf=2, max_bins=1000, drawn=False)
+    expected = {
+        r["node"]: (r["rows"], r["value"], *((None, None) if r["feature"] < 0 else (COLUMNS[r["feature"]], binned.edges[COLUMNS[r["feature"]]][r["bin"]])))
+        for r in binned.nodes.collect()
+    }
+    found = exact_tree(data, COLUMNS, depth=4, min_split=6, min_leaf=2, rows_in_slice=rows_in_slice).collect()
+    assert {r["node"]: tuple(r)[1:] for r in found} == expected
+
+
+def test_exact_tree_of_nothing_and_of_equal_labels(spark):
+    assert exact_tree(frame(spark, []), COLUMNS).collect() == []
+    same = [(i, a, b, c, 3.0) for i, a, b, c, _ in rows_of(2, 20)]
+    assert [tuple(r) for r in exact_tree(frame(spark, same), COLUMNS).collect()] == [(1, 20, 3.0, None, None)]

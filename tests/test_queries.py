@@ -57,6 +57,16 @@ def test_imports_do_not_hide_each_other(path):
     assert sorted(names) == sorted(set(names))
 
 
+def test_forest_levels_tries_every_one_of_many_values(spark, duck, tmp_path):
+    """More values than bins of two bytes hold."""
+    duck.execute(f"""COPY (SELECT i AS p_partkey, 'a' AS p_name, (hash(i) % 50)::INTEGER AS p_size, 'b' AS p_type, 'c' AS p_brand, 900.0 + i % 1000 AS p_retailprice
+      FROM range(80000) t(i)) TO '{tmp_path}/part.parquet'""")
+    duck.execute(f"""COPY (SELECT i AS l_partkey, i % 7 AS l_suppkey, (hash(i + 1000000) % 900000000 / 100.0)::DOUBLE AS l_extendedprice, 0.0::DOUBLE AS l_discount,
+      TIMESTAMP '1995-01-01' AS l_shipdate FROM range(80000) t(i)) TO '{tmp_path}/lineitem.parquet'""")
+    duck.execute(f"COPY (SELECT * FROM documents LIMIT 0) TO '{tmp_path}/documents.parquet'")
+    assert compare(spark, duckdb_tables(str(tmp_path)), str(tmp_path), "forest_levels") == ""
+
+
 def test_flows_of_many_passes_run_the_joins_once(spark, small):
     data, _ = matrix(spark, small)
     assert "lineitem" not in data._jdf.queryExecution().executedPlan().toString()

@@ -187,11 +187,8 @@ def _levels_sql(depth: int, min_split: int) -> str:
 def forest_levels(spark, sf):
     """Three levels of one tree over all rows, every value of a column a possible cut."""
     data = clean(spark, sf, "score", *LEVEL_COLUMNS).withColumnRenamed("score", "label")
-    grown = T.fit_forest(data, LEVEL_COLUMNS, trees=1, depth=3, min_split=10, max_bins=60_000, drawn=False)
-    cuts = [(i, j, c, e) for i, c in enumerate(LEVEL_COLUMNS) for j, e in enumerate(grown.edges[c])]
-    named = spark.createDataFrame(cuts, "feature int, bin int, name string, threshold double")
-    found = grown.nodes.join(named, ["feature", "bin"], "left")
-    return found.select("node", "rows", rounded("value"), F.col("name").alias("feature"), rounded("threshold"))
+    grown = T.exact_tree(data, LEVEL_COLUMNS, depth=3, min_split=10)
+    return grown.select("node", "rows", rounded("value"), "feature", rounded("threshold"))
 
 
 FOLDS_SQL = f"""folded AS (SELECT budget_x / 1000 AS x, score AS y, CAST('0x' || substr(md5(item_id || '-{SEED}'), 1, 15) AS BIGINT) % 5 AS fold FROM clean),
