@@ -22,6 +22,8 @@ CHARS_AT_ONCE = 4_000_000
 FREQUENT_SHARE = 0.002
 MAX_FREQUENT = 250_000
 ENTRIES_PER_BUCKET = 1_000_000
+#: Members of sets that count as much as a row of small columns where work is dealt to tasks.
+MEMBERS_A_ROW = 20
 #: Sets that share a signature in one batch beyond this many go around the bucket of that signature.
 CROWD = 8
 #: Bytes that are compared at once when sketches meet in pairs.
@@ -123,12 +125,12 @@ def jaccard_join(
     classes = surveyed.where("is_row AND n_shingles > 0").groupBy("f1", "f2").agg(
         F.min("id").alias("first"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")
     )
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "shingle-classes", texts.count())
     n_classes, n_members = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     counted = surveyed.where("NOT is_row").groupBy("f1").agg(F.sum("n_shingles").alias("n"))
     frequent = counted.where(F.col("n") > F.lit(max(2.0, FREQUENT_SHARE * n_classes))).orderBy(F.desc("n"), "f1").limit(MAX_FREQUENT)
     frequent = np.sort(frequent.select("f1").toPandas()["f1"].to_numpy(np.int64).view(np.uint64))
-    rows = written(surveyed.where("is_row").drop("is_row", "sketch"), "shingle-rows")
+    rows = written(surveyed.where("is_row").drop("is_row", "sketch"), "shingle-rows", n_classes)
     dropped(surveyed)
 
     buckets = max(parts, n_members // ENTRIES_PER_BUCKET + 1)
@@ -137,11 +139,12 @@ def jaccard_join(
         _signatures_with(shared, shingle, percent, buckets), "bucket int, crowd boolean, signatures binary, heads binary, nodes binary"
     )
     met = packed.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_meet, "signature long, a long, b long")
-    met = written(met, "signature-pairs")
+    met = written(met, "signature-pairs", n_members // MEMBERS_A_ROW)
+    n_joined = n_classes + 2 * met.count()  # what the joins of pairs with sets go through
 
-    pairs = written(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "near-pairs")
+    pairs = written(_near_only(_with_nodes(met.select("a", "b").distinct(), classes), percent), "near-pairs", n_joined)
     groups = connected_components(pairs)
-    opened = _openings(met, groups, classes, percent)
+    opened = _openings(met, groups, classes, percent, n_joined)
     if opened is not None:
         # What was found before goes in as stars, which are settled already.
         wider = connected_components(groups.toDF("a", "b").unionByName(opened))
@@ -150,9 +153,9 @@ def jaccard_join(
     dropped(met, pairs)
 
     blocks = groups.join(classes.select("node", "size"), "node").withColumnRenamed("component", "group")
-    blocks = written(_in_blocks(blocks, "group", F.col("size") + SET_ENTRIES, BLOCK_ENTRIES, percent).drop("group"), "group-blocks")
-    sets = _members(texts, classes, groups.select("node"), shingle)
-    decided = written(_decided(blocks, sets, percent, "all" if every_link else "forest"), "links")
+    blocks = written(_in_blocks(blocks, "group", F.col("size") + SET_ENTRIES, BLOCK_ENTRIES, percent).drop("group"), "group-blocks", n_classes)
+    sets = _members(texts, classes, groups.select("node"), shingle, n_members // MEMBERS_A_ROW)
+    decided = written(_decided(blocks, sets, percent, "all" if every_link else "forest"), "links", n_members // MEMBERS_A_ROW)
     forest = decided.where("b IS NOT NULL").select("a", "b")
     degrees = decided.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links")) if every_link else None
     components = connected_components(forest)
@@ -342,9 +345,9 @@ def _near_only(pairs: DataFrame, percent: int) -> DataFrame:
     return fitting.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInPandas(near, "a long, b long")
 
 
-def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int, rows: int) -> DataFrame:
     """node and its whole set, for the wanted nodes."""
-    wanted = written(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets")
+    wanted = written(classes.join(wanted, "node").select("node", F.col("first").alias("_id"), "f1", "f2"), "wanted-sets", rows)
     chosen = texts.join(_small(wanted), F.col("id").eqNullSafe(F.col("_id"))).select("node", "f1", "f2", "text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -357,20 +360,20 @@ def _members(texts: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: i
                 yield pd.DataFrame({"node": part["node"][keep], "members": [s.view(np.int64) for s, k in zip(found, keep, strict=True) if k]})
 
     made = chosen.mapInPandas(sets, "node long, members array<long>")
-    out = written(made.groupBy("node").agg(F.first("members").alias("members")), "sets")
+    out = written(made.groupBy("node").agg(F.first("members").alias("members")), "sets", rows)
     dropped(wanted)
     return out
 
 
-def _openings(met: DataFrame, groups: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
+def _openings(met: DataFrame, groups: DataFrame, classes: DataFrame, percent: int, rows: int) -> DataFrame | None:
     """Pairs that connect groups: sets that share a signature, lie in different groups and may be linked.  None if no signature has
     sets of different groups."""
     label = classes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "f1", "component")
-    label = written(label, "labels")
+    label = written(label, "labels", rows)
     # Every set of a signature, with its node and group; the first one is in each of its pairs.
     ends = met.select("signature", F.col("b").alias("f1"))
     heads = met.select("signature", F.col("a").alias("f1")).distinct()
-    signed = written(ends.unionByName(heads).join(label, "f1").select("signature", "node", "component").distinct(), "signed")
+    signed = written(ends.unionByName(heads).join(label, "f1").select("signature", "node", "component").distinct(), "signed", rows)
     # Of two sets the pair is known already; of signatures that the same sets share one is enough.
     mixed_up = signed.groupBy("signature").agg(
         F.min("component").alias("least"),
@@ -380,14 +383,14 @@ def _openings(met: DataFrame, groups: DataFrame, classes: DataFrame, percent: in
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x2"),
     )
     mixed_up = mixed_up.where("least < most AND n > 2").groupBy("n", "x1", "x2").agg(F.min("signature").alias("signature"))
-    mixed_up = written(mixed_up.select("signature"), "mixed-signatures")
+    mixed_up = written(mixed_up.select("signature"), "mixed-signatures", rows)
     open_sets = signed.join(mixed_up, "signature").join(classes.select("node", "size"), "node")
-    blocked = written(_in_blocks(open_sets, "signature", F.col("size") + SET_ENTRIES, SKETCHED * BLOCK_ENTRIES, percent).drop("signature"), "signature-blocks")
+    blocked = written(_in_blocks(open_sets, "signature", F.col("size") + SET_ENTRIES, SKETCHED * BLOCK_ENTRIES, percent).drop("signature"), "signature-blocks", rows)
     dropped(label, signed, mixed_up)
     out = None
     if buckets := _buckets(blocked, SKETCHED * ENTRIES_PER_BUCKET):
         sketched = blocked.join(classes.select("node", "sketch"), "node").withColumn("bucket", F.pmod("key", F.lit(buckets)))
-        out = written(sketched.groupBy("bucket").applyInPandas(_openings_with(percent), "a long, b long").distinct(), "openings")
+        out = written(sketched.groupBy("bucket").applyInPandas(_openings_with(percent), "a long, b long").distinct(), "openings", rows)
     dropped(blocked)
     return out
 

@@ -418,3 +418,18 @@ def test_a_lookup_finds_every_key_and_no_other_value():
     assert at.tolist() == np.flatnonzero(np.isin(values, keys)).tolist()
     assert place.tolist() == np.searchsorted(keys, values[at]).tolist()
     assert [len(x) for x in Lookup(np.empty(0, np.int64)).find(values)] == [0, 0]
+
+
+def test_small_graphs_take_few_tasks(spark):
+    """Rounds on few links must not write as many files as there are shuffle partitions."""
+    changed = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        found = connected_components(spark.createDataFrame([(i, i + 1) for i in range(1, 300) if i % 3], "a long, b long"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["node"]: r["component"] for r in found.collect()} == {n: n - (n - 1) % 3 for n in range(1, 301)}
+    assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
