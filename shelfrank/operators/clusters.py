@@ -27,6 +27,12 @@ SWEEP = (10, 20, 30, 40, 50)
 MAX_REFERENCES = 10_000
 MAX_CLUSTERS = 100_000
 ROWS_PER_BLOCK = 4096
+MAX_BLOCKS = 32
+VALUES_PER_BLOCK = 1 << 21
+ROWS_AT_ONCE = 256
+PAIRS_AT_ONCE = 1 << 16
+#: Squared distances below this share of the squared lengths are measured again, as their last digits cancel.
+NEAR = 1e-6
 
 
 class ItemClusterer:
@@ -188,58 +194,60 @@ def silhouette(assigned: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster_id").evaluate(prepared)
 
 
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of all pairs from products of whole matrices; pairs so near that digits cancel are measured again by their differences."""
+    squares_x, squares_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    both = squares_x[:, None] + squares_y[None, :]
+    squares = both - 2 * (x @ y.T)
+    rows, columns = np.nonzero(squares <= NEAR * both)
+    for at in range(0, len(rows), PAIRS_AT_ONCE):
+        i, j = rows[at : at + PAIRS_AT_ONCE], columns[at : at + PAIRS_AT_ONCE]
+        squares[i, j] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return np.sqrt(squares, out=squares)
+
+
 def euclidean_silhouette(assigned: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Mean silhouette with plain distances, as one row.
 
-    Every row needs its mean distance to each cluster, so all pairs are measured; they are measured block by block,
-    and a task emits one distance sum per row and cluster, never a pair.
+    Every row needs its mean distance to each cluster, so all pairs are measured, each once: block by block, and a task emits one
+    distance sum per row and cluster of the other block, never a pair.  There are at most ``MAX_BLOCKS`` blocks until one holds
+    ``VALUES_PER_BLOCK`` values, so up to there rows travel a fixed number of times.
     """
-    total = assigned.count()
-    blocks = max(1, math.ceil(total / rows_per_block))
+    total, width = assigned.agg(F.count(F.lit(1)), F.max(F.size("features"))).first()
+    blocks = max(1, min(math.ceil(total / rows_per_block), max(MAX_BLOCKS, math.ceil(total * (width or 1) / VALUES_PER_BLOCK))))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int")
     points = cut_lineage(
-        assigned.select("item_id", F.col("cluster_id").cast("int").alias("cluster_id"), F.col("features").cast("array<double>").alias("features"), block.alias("block")),
-        "silhouette-points",
-    )
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = points.withColumn("other", F.explode(every))
-    right = points.select(
-        F.col("item_id").alias("r_id"), F.col("cluster_id").alias("r_cluster"), F.col("features").alias("r_features"),
-        F.col("block").alias("r_other"), F.explode(every).alias("r_block"),
-    )
-
-    def measure(a: pa.Table, b: pa.Table) -> pa.Table:
-        count_a, count_b = a.num_rows, b.num_rows
-        schema = pa.schema([("item_id", pa.int64()), ("own", pa.int32()), ("cluster_id", pa.int32()), ("distance", pa.float64())])
-        if not count_a or not count_b:
-            return schema.empty_table()
-        x = a.column("features").combine_chunks().flatten().to_numpy().reshape(count_a, -1)
-        y = b.column("r_features").combine_chunks().flatten().to_numpy().reshape(count_b, -1)
-        labels, codes = np.unique(b.column("r_cluster").to_numpy(), return_inverse=True)
-        sums = np.zeros((count_a, len(labels)))
-        for at in range(0, count_a, 256):
-            part = x[at : at + 256]
-            squares = np.zeros((len(part), count_b))
-            for d in range(x.shape[1]):
-                squares += (part[:, d : d + 1] - y[None, :, d]) ** 2
-            distances = np.sqrt(squares)
-            for c in range(len(labels)):
-                sums[at : at + 256, c] = distances[:, codes == c].sum(axis=1)
-        return pa.table(
-            {
-                "item_id": np.repeat(a.column("item_id").to_numpy(), len(labels)),
-                "own": np.repeat(a.column("cluster_id").to_numpy(), len(labels)).astype(np.int32),
-                "cluster_id": np.tile(labels, count_a).astype(np.int32),
-                "distance": sums.ravel(),
-            },
-            schema=schema,
-        )
-
-    measured = (
-        left.groupBy("block", "other")
-        .cogroup(right.groupBy("r_block", "r_other"))
-        .applyInArrow(measure, "item_id bigint, own int, cluster_id int, distance double")
+        assigned.select("item_id", F.col("cluster_id").cast("int").alias("cluster_id"), "features", block.alias("block")), "silhouette-points"
     )
+    meeting = points.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    meeting = meeting.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
+
+    def measure(table: pa.Table) -> pa.Table:
+        ids, own, codes = (table.column(c).to_numpy() for c in ("item_id", "cluster_id", "block"))
+        values = table.column("features").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
+        values -= values.mean(axis=0)
+        order = np.lexsort((own, codes))
+        ids, own, values, codes = ids[order], own[order], values[order], codes[order]
+        cut = int(np.searchsorted(codes, codes[0], side="right"))
+        same = cut == len(codes)
+        # Rows lie in the order of their clusters, so sums over a cluster are sums over a range.
+        (x, x_own), (y, y_own) = (values[:cut], own[:cut]), (values, own) if same else (values[cut:], own[cut:])
+        x_labels, x_place = np.unique(x_own, return_inverse=True)
+        y_labels, y_starts = np.unique(y_own, return_index=True)
+        of_x, of_y = np.zeros((len(x), len(y_labels))), np.zeros((len(x_labels), 0 if same else len(y)))
+        for at in range(0, len(x), ROWS_AT_ONCE):
+            distances = _distances(x[at : at + ROWS_AT_ONCE], y)
+            of_x[at : at + ROWS_AT_ONCE] = np.add.reduceat(distances, y_starts, axis=1)
+            if not same:
+                labels, starts = np.unique(x_place[at : at + ROWS_AT_ONCE], return_index=True)
+                of_y[labels] += np.add.reduceat(distances, starts, axis=0)
+        sides = [(ids[:cut], x_own, y_labels, of_x)] + ([] if same else [(ids[cut:], y_own, x_labels, of_y.T)])
+        made = [(np.repeat(i, len(of)), np.repeat(o, len(of)), np.tile(of, len(i)), sums.ravel()) for i, o, of, sums in sides]
+        names = ("item_id", "own", "cluster_id", "distance")
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.float64())
+        return pa.table({n: pa.array(np.concatenate(c), t) for n, t, c in zip(names, types, zip(*made, strict=True), strict=True)})
+
+    measured = meeting.groupBy("low", "high").applyInArrow(measure, "item_id bigint, own int, cluster_id int, distance double")
     counted = points.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
     sizes = broadcast_bounded(counted, MAX_CLUSTERS, "clusters")
     sums = measured.groupBy("item_id", "own", "cluster_id").agg(F.sum("distance").alias("distance")).join(sizes, "cluster_id")
