@@ -30,6 +30,8 @@ MAX_QUERIES = 10_000
 QUERY_CHUNK = 256
 ROWS_PER_BLOCK = 4096
 MAX_PIVOTS = 512
+MAX_BLOCKS = 32
+VALUES_PER_BLOCK = 1 << 21
 DISPLAY = ("names", "similarity", "score", "year", "genre", "overview")
 OVERLAP_TIERS = ((7, "strong"), (4, "moderate"))
 
@@ -230,6 +232,11 @@ def _assign_cells(items: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, k
     return items.mapInArrow(assign, "item_id bigint, embedding array<float>, cell int, angle double, floor double")
 
 
+def block_rows(total: int, rows_per_block: int, width: int) -> int:
+    """Rows of a block: ``rows_per_block``, or more where that makes over ``MAX_BLOCKS`` blocks, up to ``VALUES_PER_BLOCK`` values."""
+    return max(rows_per_block, min(math.ceil(total / MAX_BLOCKS), VALUES_PER_BLOCK // max(1, width)))
+
+
 def all_pairs_top_k(
     items: DataFrame,
     k: int,
@@ -239,7 +246,8 @@ def all_pairs_top_k(
 ) -> DataFrame:
     """Exact ``k`` nearest neighbours of every item: ``id_a, id_b, similarity, rank``.
 
-    Vectors are grouped around pivot items and cut into blocks of about ``rows_per_block`` rows, however large one group is.
+    Vectors are grouped around pivot items, about one for ``rows_per_block`` rows; large groups are cut into blocks and small ones share
+    them.  There are about ``MAX_BLOCKS`` blocks until one holds ``VALUES_PER_BLOCK`` values, so up to there a row travels a fixed number of times.
     A first pass inside each block gives every row a similarity it must beat.  The triangle inequality of angles then tells
     which groups can still hold a better neighbour; a row is compared with the blocks of those groups only.  A task
     holds two blocks and emits ``k`` rows per row it answers.
@@ -260,11 +268,17 @@ def all_pairs_top_k(
         assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")), n_pivots, "cells"
     )
     radius = np.full(n_pivots, -1.0)
-    blocks = np.zeros(n_pivots, dtype=int)
-    for row in cells:
-        radius[row["cell"]] = row["radius"]
-        blocks[row["cell"]] = math.ceil(row["n"] / rows_per_block)
-    first_block = np.concatenate([[0], np.cumsum(blocks)[:-1]])
+    blocks, first_block = np.zeros(n_pivots, dtype=int), np.zeros(n_pivots, dtype=int)
+    in_block = block_rows(total, rows_per_block, pivots.shape[1])
+    made, room = 0, 0  # blocks so far, and rows that still fit into the last one
+    for row in sorted(cells, key=lambda r: r["cell"]):
+        cell, n = row["cell"], row["n"]
+        radius[cell], blocks[cell] = row["radius"], math.ceil(n / in_block)
+        if n <= room:
+            first_block[cell], room = made - 1, room - n
+        else:
+            first_block[cell], room = made, in_block - n if n <= in_block else 0
+            made += blocks[cell]
     starts, sizes = (F.array(*[F.lit(int(x)) for x in values]) for values in (first_block, blocks))
     part = F.pmod(F.xxhash64("item_id"), F.get(sizes, F.col("cell"))).cast("int")
     blocked = assigned.withColumn("block", F.get(starts, F.col("cell")) + part)
@@ -284,7 +298,7 @@ def all_pairs_top_k(
         reachable = np.cos(np.maximum(angles - radius[None, :], 0)) + 1e-6 >= bound[:, None]
         reachable &= blocks[None, :] > 0
         visits = [
-            [int(first_block[c]) + i for c in np.flatnonzero(row) for i in range(blocks[c])] for row in reachable
+            sorted({int(first_block[c]) + i for c in np.flatnonzero(row) for i in range(blocks[c])}) for row in reachable
         ]
         return pa.table(
             {

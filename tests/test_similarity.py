@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +185,17 @@ def test_embedders(spark, tmp_path):
 
     lengths = {r["item_id"]: list(r["embedding"]) for r in embed(texts, "names", load, batch=2).collect()}
     assert lengths == {1: [7.0, 1.0], 2: [7.0, 1.0], 3: [8.0, 1.0], 4: [0.0, 1.0]}
+
+
+def test_blocks_of_pairs_do_not_grow_in_number_with_the_rows(spark):
+    assert [-(-n // V.block_rows(n, 4096, 64)) for n in (5_000, 100_000, 600_000, 1_000_000)] == [2, 25, 32, 32]
+    assert V.block_rows(100_000_000, 4096, 64) == 1 << 15
+    r = random.Random(4)
+    matrix = [[r.gauss(0, 1) for _ in range(4)] for _ in range(400)]
+    found = V.all_pairs_top_k(table(spark, matrix), 3, rows_per_block=2, max_pivots=100).collect()
+    unit = V.normalized(np.array(matrix, dtype=np.float32).astype(float))
+    sims = unit @ unit.T - 3 * np.eye(400)
+    best = {(r["id_a"], r["rank"]): r["similarity"] for r in found}
+    assert len(best) == 1200
+    for i, row in enumerate(-np.sort(-sims, axis=1)[:, :3]):
+        assert [best[i, k + 1] for k in range(3)] == pytest.approx(row.tolist(), abs=1e-8)
