@@ -28,9 +28,13 @@ ROWS_IN_TASK = 250_000
 TREES_IN_BLOCK = 20
 #: A growth of few trees is dealt in smaller blocks, about as many.
 BLOCKS = 48
-#: Sums per node and bin that a task holds at once for a column.
+#: Sums per node, column and bin that a task holds at once.
 CELLS_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 100_000
+#: More than the rows of a batch.
+ROWS_AND_WEIGHT = float(1 << 24)
+#: Nodes of so many rows keep their sums, from which those of the larger child follow; smaller ones are quickly added up.
+ROWS_TO_SUBTRACT = 1_000
 #: Different values of a column that are summed up in one window by ``exact_tree``.
 ROWS_IN_SLICE = 50_000
 HISTOGRAM_BYTES = 256 << 20
@@ -101,21 +105,52 @@ def _score(left_w, left_s, all_w, all_s):
         return left_s * left_s / left_w + (all_s - left_s) * (all_s - left_s) / (all_w - left_w)
 
 
-def _best_cuts(bins: np.ndarray, place: np.ndarray, rows: np.ndarray, w: np.ndarray, wy: np.ndarray, weight: np.ndarray, total: np.ndarray, min_leaf: int):
-    """For nodes 0, 1, ... that hold the given numbers of rows, which lie in that order: the best column, its bin, and the score; -inf without a cut."""
+def _exact_sums(y: np.ndarray, w: np.ndarray) -> bool:
+    """Whether sums of weights times labels are free of rounding in any order, as those of whole numbers are."""
+    scaled = y * 1024.0
+    return bool(np.all(scaled == np.floor(scaled)) and (w * np.abs(scaled)).sum() < 2.0**53)
+
+
+def _sums(bins: np.ndarray, place: np.ndarray, k: int, values: tuple, widths: Sequence[int]) -> list[tuple]:
+    """For each column, the sums of the values (None: rows) by node and bin, for nodes 0 to k - 1; nothing for a column of one bin."""
+    out = []
+    for c, width in enumerate(widths):
+        cells = place * width + bins[:, c] if width > 1 else None
+        out.append(() if cells is None else tuple(np.bincount(cells, v, k * width).reshape(k, width) for v in values))
+    return out
+
+
+def _sums_of_children(bins: np.ndarray, place: np.ndarray, rows: np.ndarray, values: tuple, widths: Sequence[int], parents: list[tuple], of: np.ndarray) -> list[tuple]:
+    """``_sums`` where the nodes are pairs of children of the nodes ``of`` among ``parents``: the smaller one is added up, the other is what is left."""
+    pairs = len(rows) // 2
+    small = 2 * np.arange(pairs) + (rows[1::2] < rows[::2])
+    rank = np.full(2 * pairs, -1)
+    rank[small] = np.arange(pairs)
+    chosen = np.flatnonzero(rank[place] >= 0)
+    own = _sums(bins[chosen], rank[place[chosen]], pairs, tuple(v if v is None else v[chosen] for v in values), widths)
+    out = []
+    for mine, all_ in zip(own, parents, strict=True):
+        both = []
+        for part, whole in zip(mine, all_, strict=True):
+            sums = np.empty((2 * pairs, part.shape[1]))
+            sums[small], sums[small ^ 1] = part, whole[of] - part
+            both.append(sums)
+        out.append(tuple(both))
+    return out
+
+
+def _best_cuts(sums: list[tuple], rows: np.ndarray, weight: np.ndarray, total: np.ndarray, min_leaf: int):
+    """For nodes 0, 1, ... with sums of weights, weighted labels and rows (if more than one must stay in a leaf): the best column, its bin, and the score; -inf without a cut."""
     k = len(rows)
     highest, column, cut = np.full(k, -np.inf), np.full(k, -1), np.full(k, -1)
-    for c in range(bins.shape[1]):
-        own = bins[:, c].astype(np.int64)
-        width = int(own.max()) + 1
-        if width < 2:
+    for c, found in enumerate(sums):
+        if not found:
             continue
-        cells = place * width + own
-        at = np.bincount(cells, w, k * width).reshape(k, width)
-        left_w, left_s = np.cumsum(at, axis=1), np.cumsum(np.bincount(cells, wy, k * width).reshape(k, width), axis=1)
+        at = found[0]
+        left_w, left_s = np.cumsum(at, axis=1), np.cumsum(found[1], axis=1)
         can = (at > 0) & (left_w < weight[:, None])
         if min_leaf > 1:
-            left = np.cumsum(np.bincount(cells, minlength=k * width).reshape(k, width), axis=1)
+            left = np.cumsum(found[2], axis=1)
             can &= (left >= min_leaf) & (rows[:, None] - left >= min_leaf)
         score = np.where(can, _score(left_w, left_s, weight[:, None], total[:, None]), -np.inf)
         best = np.argmax(score, axis=1)
@@ -134,9 +169,10 @@ def grow_in_task(
     """
     used = np.flatnonzero(w > 0)
     bins, y, w = bins[used], y[used], w[used]
-    wide = int(bins.max(initial=0)) + 1
+    widths = [int(m) + 1 for m in bins.max(axis=0, initial=0)]
+    exact = _exact_sums(y, w)
     ids, place = np.array([node]), np.zeros(len(y), np.int64)  # rows lie in the order of their nodes
-    out = []
+    out, kept, parent = [], None, np.array([-1])  # sums of the large nodes of the level above, and which of them is whose parent
     while len(y):
         k = len(ids)
         rows = np.bincount(place, minlength=k)
@@ -148,53 +184,72 @@ def grow_in_task(
         open_ = uneven & (rows >= max(min_split, 2 * min_leaf)) & (level < depth)
         if not open_.any():
             break
+        column, cut, highest = np.full(k, -1), np.full(k, -1), np.full(k, -np.inf)
+        starts, wy, made_sums = np.cumsum(rows) - rows, w * y, np.full(k, -1)
+        by_parent = exact and kept is not None
+        # Pairs of a large parent first, whose sums are known; then the open nodes that are left, in runs.
+        paired = (parent >= 0) & np.repeat(open_.reshape(-1, 2).any(axis=1), 2) if by_parent else np.zeros(k, bool)
+        new_kept, held = [], 0
+        for chosen, known in ((np.flatnonzero(paired), True), (np.flatnonzero(open_ & ~paired), False)):
+            step = 2 * max(1, CELLS_AT_ONCE // max(1, sum(widths)) // 2)
+            for first in range(0, len(chosen), step):
+                some = chosen[first : first + step]
+                size = rows[some]
+                at = np.repeat(starts[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                whole = len(at) == len(y)
+                own = np.repeat(np.arange(len(some)), size)
+                b, values = (bins, (w, wy)) if whole else (bins[at], (w[at], wy[at]))
+                values += (None,) if min_leaf > 1 else ()
+                sums = _sums_of_children(b, own, size, values, widths, kept, parent[some[::2]]) if known else _sums(b, own, len(some), values, widths)
+                column[some], cut[some], highest[some] = _best_cuts(sums, size, weight[some], total[some], min_leaf)
+                large = np.flatnonzero(open_[some] & (size >= ROWS_TO_SUBTRACT))
+                if exact and len(large):
+                    made_sums[some[large]] = held + np.arange(len(large))
+                    held += len(large)
+                    new_kept.append([tuple(v[large] for v in one) for one in sums])
+        kept = [tuple(np.concatenate(v) for v in zip(*column_, strict=True)) for column_ in zip(*new_kept, strict=True)] if new_kept else None
         # Leave out rows of finished nodes, and number the others anew.
-        keep = open_[place]
-        bins, y, w, place = bins[keep], y[keep], w[keep], (np.cumsum(open_) - 1)[place[keep]]
-        ids, rows, weight, total, value = (v[open_] for v in (ids, rows, weight, total, value))
-        ends, wy = np.cumsum(rows), w * y
-        column, cut, highest = np.empty(len(ids), np.int64), np.empty(len(ids), np.int64), np.empty(len(ids))
-        step = max(1, CELLS_AT_ONCE // wide)
-        for first in range(0, len(ids), step):
-            some = slice(first, first + step)
-            here = slice(ends[first] - rows[first], ends[some][-1])
-            column[some], cut[some], highest[some] = _best_cuts(
-                bins[here], place[here] - first, rows[some], w[here], wy[here], weight[some], total[some], min_leaf
-            )
+        if not open_.all():
+            keep = np.flatnonzero(open_[place])
+            bins, y, w, place = bins[keep], y[keep], w[keep], (np.cumsum(open_) - 1)[place[keep]]
+            ids, rows, weight, total, value, column, cut, highest, made_sums = (v[open_] for v in (ids, rows, weight, total, value, column, cut, highest, made_sums))
         split = np.isfinite(highest)
         where = np.flatnonzero(open_)
         made["feature"][where], made["bin"][where] = column, cut
         made["gain"][where] = np.where(split, highest - total * value, 0.0)
-        right = bins[np.arange(len(y)), column[place]] > cut[place]
+        right = bins.ravel()[np.arange(len(y)) * bins.shape[1] + column[place]] > cut[place]
         keep = split[place]
         place = (2 * (np.cumsum(split) - 1)[place] + right)[keep]
         order = np.argsort(place, kind="stable")
         moved = np.flatnonzero(keep)[order]
         bins, y, w, place = bins[moved], y[moved], w[moved], place[order]
+        parent = np.repeat(made_sums[split], 2)
         ids = np.stack([2 * ids[split], 2 * ids[split] + 1], axis=1).ravel()
         level += 1
     return {c: np.concatenate([m[c] for m in out]) for c in out[0]} if out else {}
 
 
-def _routed(bins: np.ndarray, splits: Mapping[int, tuple[int, int]]) -> np.ndarray:
-    """The node that each row reaches by the splits made so far."""
-    at = np.ones(len(bins), np.int64)
+def _reached(by_column: np.ndarray, chosen: np.ndarray, splits: Mapping[int, tuple[int, int]]) -> dict[int, np.ndarray]:
+    """The chosen rows by the node that they reach through the splits made so far, from bins with a row for each column."""
+    found = {1: chosen}
     for node in sorted(splits):
-        here = np.flatnonzero(at == node)
+        here = found.pop(node)
         column, cut = splits[node]
-        at[here] = 2 * node + (bins[here, column] > cut)
-    return at
+        right = by_column[column].take(here) > cut
+        found[2 * node], found[2 * node + 1] = here[~right], here[right]
+    return found
 
 
 def _larger(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The same rows in batches of about ``ROWS_AT_ONCE``."""
     held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += len(batch)
-        if size >= ROWS_AT_ONCE:
-            yield pd.concat(held)
-            held, size = [], 0
+    for whole in batches:
+        for first in range(0, len(whole), ROWS_AT_ONCE):
+            held.append(whole.iloc[first : first + ROWS_AT_ONCE])
+            size += len(held[-1])
+            if size >= ROWS_AT_ONCE:
+                yield pd.concat(held)
+                held, size = [], 0
     if size:
         yield pd.concat(held)
 
@@ -262,19 +317,24 @@ def _histogram_job(rows: DataFrame, plan: Plan, wanted: list[tuple[int, int, int
         any_rows = False
         for batch in _larger(batches):
             any_rows = True
-            bins, y = _unpack(batch, plan.columns), batch["y"].to_numpy()
-            ids, fold = batch["row"].to_numpy(), batch["fold"].to_numpy()
+            y, ids, fold = batch["y"].to_numpy(), batch["row"].to_numpy(), batch["fold"].to_numpy()
+            by_column = np.ascontiguousarray(_unpack(batch, plan.columns).T)
             for (g, t), nodes in by_tree.items():
-                w, wanted_nodes = _weights(ids, fold, plan.growths[g], t, plan.seed, plan.drawn), np.array(nodes)
-                at = _routed(bins, splits[g, t])
-                place = np.minimum(np.searchsorted(wanted_nodes, at), len(nodes) - 1)
-                here = np.flatnonzero((wanted_nodes[place] == at) & (w > 0))
-                own, wy, start = w[here], w[here] * y[here], place[here] * plan.bins
-                squares[g, t] += np.bincount(place[here], wy * y[here], len(nodes))
-                for c, add in enumerate(sums[g, t]):
-                    cells = start + bins[here, c]
-                    for i, v in enumerate((None, own, wy)):
-                        add[i] += np.bincount(cells, v, len(nodes) * plan.bins)
+                w = _weights(ids, fold, plan.growths[g], t, plan.seed, plan.drawn)
+                reached = _reached(by_column, np.flatnonzero(w > 0), splits[g, t])
+                parts = [reached[n] for n in nodes]
+                here, place = np.concatenate(parts), np.repeat(np.arange(len(nodes)), [len(p) for p in parts])
+                own, start = w[here], place * plan.bins
+                wy, both = own * y[here], own * ROWS_AND_WEIGHT + 1.0
+                squares[g, t] += np.bincount(place, wy * y[here], len(nodes))
+                for add, bins in zip(sums[g, t], by_column.take(here, axis=1), strict=True):
+                    cells = start + bins
+                    # Whole numbers below 2 ** 53 in all: one sum tells weights and rows.
+                    added = np.bincount(cells, both, len(nodes) * plan.bins)
+                    weights = np.floor(added / ROWS_AND_WEIGHT)
+                    add[0] += added - weights * ROWS_AND_WEIGHT
+                    add[1] += weights
+                    add[2] += np.bincount(cells, wy, len(nodes) * plan.bins)
         for (g, t), nodes in by_tree.items() if any_rows else ():
             parts = np.moveaxis(sums[g, t].reshape(plan.columns, 3, len(nodes), plan.bins), 2, 0)
             yield pd.DataFrame({"growth": g, "tree": t, "node": nodes, "squares": squares[g, t], "sums": [p.tobytes() for p in parts]})
@@ -316,6 +376,7 @@ def _in_blocks(rows: DataFrame, plan: Plan, finish, schema: str, own_fold: bool
         for batch in _larger(batches):
             bins, ids, y = _unpack(batch, plan.columns), batch["row"].to_numpy(), batch["y"].to_numpy()
             fold = batch["fold"].to_numpy().astype(np.int32)
+            by_column = np.ascontiguousarray(bins.T)
 
             def packed(g: int, first: int, node: int, chosen: np.ndarray) -> tuple:
                 return g, first, node, ids[chosen].tobytes(), fold[chosen].tobytes(), y[chosen].tobytes(), bins[chosen].tobytes()
@@ -329,12 +390,8 @@ def _in_blocks(rows: DataFrame, plan: Plan, finish, schema: str, own_fold: bool
                 for t in range(plan.trees):
                     # Rows that a tree does not draw are of use to it only where they are held out.
                     sent_on = mine if own_fold else _weights(ids, fold, growth, t, plan.seed, plan.drawn) > 0
-                    chosen = np.flatnonzero(sent_on)
-                    at = _routed(bins[chosen], splits[g, t])
-                    order = np.argsort(at, kind="stable")
-                    nodes, starts = np.unique(at[order], return_index=True)
-                    pieces = zip(nodes, np.split(chosen[order], starts[1:]), strict=True) if len(nodes) else ()
-                    yield pd.DataFrame([packed(g, t, int(node), rows_) for node, rows_ in pieces if (g, t, int(node)) in small], columns=names)
+                    pieces = _reached(by_column, np.flatnonzero(sent_on), splits[g, t]).items()
+                    yield pd.DataFrame([packed(g, t, node, rows_) for node, rows_ in pieces if len(rows_) and (g, t, node) in small], columns=names)
 
     def finished(group: pd.DataFrame) -> pd.DataFrame:
         g, first, node = (int(group[c].iloc[0]) for c in ("growth", "tree", "node"))

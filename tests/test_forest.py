@@ -74,6 +74,28 @@ def test_shallower_trees_are_tops_of_deeper_ones():
         assert np.array_equal(found[i], walk(grow_in_task(bins, y, w, 2, min_split, depth), bins, [(99, 0)])[0])
 
 
+def test_larger_children_follow_from_their_parents(monkeypatch):
+    r = np.random.default_rng(5)
+    bins = np.concatenate([r.integers(0, 20, (4000, 3)), r.integers(0, 2, (4000, 3))], axis=1).astype(np.uint8)
+    y, w = bins[:, 0] // 4 + 3.0 * bins[:, 4] + r.integers(0, 6, 4000), bootstrap(np.arange(4000), 1, 42)
+    plain, seen = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda x, *args, **named: (seen.append(len(x)), plain(x, *args, **named))[1])
+
+    def grown(labels):
+        seen.clear()
+        return grow_in_task(bins, labels, w, 2, 10, 6), sum(seen)
+
+    whole, _ = grown(y)
+    monkeypatch.setattr(forest_module, "ROWS_TO_SUBTRACT", 1, raising=False)
+    every, few = grown(y)
+    # A third of a label is no whole number, so nodes are added up one by one.
+    thirds, many = grown(y / 3)
+    assert few < 0.75 * many
+    for c in ("node", "rows", "weight", "feature", "bin"):
+        assert np.array_equal(whole[c], thirds[c]) and np.array_equal(whole[c], every[c])
+    assert np.array_equal(whole["value"], every["value"]) and np.allclose(whole["value"], 3 * thirds["value"])
+
+
 def test_bootstrap_weights_have_mean_and_spread_of_one():
     w = bootstrap(np.arange(200_000), 3, 42)
     assert abs(w.mean() - 1) < 0.01 and abs(w.var() - 1) < 0.02
