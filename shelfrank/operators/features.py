@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.functions.numbers import flag
@@ -115,7 +116,7 @@ def encode_genres(df: DataFrame, genres: Sequence[str]) -> DataFrame:
     for genre in genres:
         named.setdefault(genre_column(genre), []).append(genre)
     held = {
-        name: flag(F.arrays_overlap("genre_list", F.array(*[F.lit(g) for g in members]))) for name, members in named.items()
+        name: flag(reduce(Column.__or__, [F.array_contains("genre_list", g) for g in members])) for name, members in named.items()
     }
     return listed.withColumns({"genre_count": F.size("genre_list"), **held})
 

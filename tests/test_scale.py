@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfrank import scale
 from shelfrank.operators import ranking as R
 from shelfrank.operators import stats as S
+from shelfrank.operators.features import encode_genres
 from shelfrank.operators.joins import score_by_title
 from shelfrank.operators.quality import split_sets, split_sizes
 from shelfrank.operators.quantiles import exact_quantiles, threshold_for_smallest, values_at_ranks
@@ -141,3 +142,12 @@ def test_shared_folder_follows_the_session():
     assert scale.shared_folder(_Session(None, "local[2]"), "x") != scale.shared_folder(_Session(None, "local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scale.shared_folder(_Session(None, "yarn"), "x")
+
+
+def test_genre_flags_build_no_hash_sets(spark):
+    """A hash set for each genre and item took most of the time of a feature matrix."""
+    listed = spark.createDataFrame([(1, "A, B.c"), (2, "B c"), (3, None), (4, "")], "item_id long, genre string")
+    encoded = encode_genres(listed, ["A", "B.c", "B c", "Unknown"])
+    assert "arrays_overlap" not in encoded._jdf.queryExecution().toString()
+    found = {r["item_id"]: tuple(r)[3:] for r in encoded.collect()}
+    assert found == {1: (2, 1, 1, 0), 2: (1, 0, 1, 0), 3: (1, 0, 0, 1), 4: (1, 0, 0, 0)}
