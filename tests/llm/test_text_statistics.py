@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from shelfrank.llm.alignment import NEWER, Aligner, align_documents, links_of, shared_cuts
 from shelfrank.llm.bpe import byte_letters
 from shelfrank.llm.collocations import collocations
-from shelfrank.llm.language_model import LEAST, LogFrequencyFilter, level_of, score_documents, value_of
+from shelfrank.llm.language_model import LEAST, LogFrequencyFilter, level_of, levels_in_slice, score_documents, value_of
 from shelfrank.llm.packed import Bits, bucket_of
 
 from .frames import ROWS, documents, sorted_rows, with_clashes
@@ -284,6 +284,19 @@ def test_ngrams_too_many_for_a_filter_have_exact_levels(spark):
     assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-9
 
 
+def test_a_filter_too_large_to_broadcast_is_probed_in_slices(monkeypatch):
+    r = np.random.default_rng(13)
+    keys = np.unique(r.integers(0, 2**64, 20_000, dtype=np.uint64))
+    stored_keys, others = keys[::2], keys[1::2]
+    levels = level_of(r.zipf(1.6, len(stored_keys)).clip(LEAST, 10**9)).astype(np.uint8)
+    of = levels_in_slice(stored_keys, levels)
+    assert np.array_equal(of(stored_keys), levels) and not of(others).any() and len(of(others[:0])) == 0
+    assert not levels_in_slice(stored_keys[:0], levels[:0])(others).any()
+    # What the probes of the filter do not find is not found.
+    monkeypatch.setattr(LogFrequencyFilter, "levels", lambda self, keys: np.minimum(1, keys % 2).astype(np.int64))
+    assert np.array_equal(of(stored_keys), stored_keys % 2)
+
+
 def test_a_full_filter_ends_at_its_highest_level():
     full = LogFrequencyFilter(1, 64, np.full(8, 255, np.uint8), 7)
     assert full.levels(np.arange(5, dtype=np.uint64)).tolist() == [7] * 5
