@@ -9,7 +9,20 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from shelfrank.operators import forest as forest_module
-from shelfrank.operators.forest import FULL_GRID, Forest, best_setting, bootstrap, exact_tree, fit_forest, grid_report, grow_in_task, walk
+from shelfrank.operators.forest import (
+    FULL_GRID,
+    Forest,
+    best_setting,
+    bin_edges,
+    bootstrap,
+    exact_tree,
+    fit_forest,
+    grid_report,
+    grow_in_task,
+    leaf_values,
+    steps,
+    walk,
+)
 from shelfrank.operators.quality import make_regressor
 
 COLUMNS = ["a", "b", "c"]
@@ -96,6 +109,60 @@ def test_larger_children_follow_from_their_parents(monkeypatch):
     assert np.array_equal(whole["value"], every["value"]) and np.allclose(whole["value"], 3 * thirds["value"])
 
 
+def test_nodes_of_few_rows_cost_rows_and_not_bins(monkeypatch):
+    r = np.random.default_rng(6)
+    bins = np.concatenate([r.integers(0, 120, (3000, 4)), r.integers(0, 3, (3000, 5))], axis=1).astype(np.uint8)
+    bins = np.concatenate([bins, bins[:, :2], 2 * bins[:, 2:3] + 1], axis=1)
+    y, w = r.integers(-9, 30, 3000) / 4, bootstrap(np.arange(3000), 2, 42)
+    plain, cells = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: (cells.append(int(minlength)), plain(x, weights, int(minlength)))[1])
+    for min_leaf in (1, 3):
+        cells.clear()
+        found = grow_in_task(bins, y, w, min_leaf, 2, 30)
+        few = sum(cells)
+        cells.clear()
+        # Thirds are no whole numbers, so every node is summed up bin by bin.
+        grow_in_task(bins, y / 3, w, min_leaf, 2, 30)
+        assert few < 0.2 * sum(cells)
+        with monkeypatch.context() as patched:
+            patched.setattr(forest_module, "ROWS_TO_SORT", 0)
+            summed = grow_in_task(bins, y, w, min_leaf, 2, 30)
+        # A layout of all rows of a task serves trees that draw some of them.
+        again = grow_in_task(bins, y, w, min_leaf, 2, 30, layout=forest_module._Layout(bins, True))
+        assert all(np.array_equal(found[c], summed[c]) and np.array_equal(found[c], again[c]) for c in found)
+
+
+def test_values_packed_or_not_have_the_same_sums():
+    r = np.random.default_rng(7)
+    w = r.integers(1, 5, 500).astype(float)
+    for y in (r.integers(-5, 50, 500) / 8, r.integers(0, 1 << 40, 500).astype(float), r.random(500)):
+        for with_rows in (False, True):
+            values = forest_module._Values(y, w, with_rows)
+            weights, labels, rows = values.parts([len(y) if v is None else v.sum() for v in values.vectors])
+            assert weights == w.sum() and (labels == (w * y).sum() or not values.exact and abs(labels / (w * y).sum() - 1) < 1e-12)
+            assert rows == (len(y) if with_rows else None)
+
+
+def test_rows_reach_the_leaves_that_a_walk_finds():
+    data = np.array(rows_of(11, 700))
+    bins = np.stack([np.unique(data[:, i], return_inverse=True)[1] for i in (1, 2, 3)], axis=1).astype(np.uint16)
+    for depth in (0, 1, 4, 5, 30):
+        grown = grow_in_task(bins, data[:, 4], np.ones(len(data)), 1, 2, depth)
+        assert np.array_equal(leaf_values(steps(grown), bins), walk(grown, bins, [(99, 0)])[0])
+    assert len(leaf_values(steps(grown), bins[:0])) == 0
+
+
+@pytest.mark.parametrize("max_bins", [4, 30, 128])
+def test_edges_lie_between_few_values_or_at_quantiles(spark, max_bins):
+    rows = [(i, a, b, None if i % 7 == 0 else c, y) for i, a, b, c, y in rows_of(12, 600)]
+    edges = bin_edges(frame(spark, rows).repartition(3), [*COLUMNS, "label"], max_bins)
+    for i, c in enumerate([*COLUMNS, "label"], 1):
+        values = sorted({r[i] for r in rows} - {None})
+        between = [(p + q) / 2 for p, q in zip(values, values[1:])]
+        assert edges[c] == between if len(values) < 0.8 * max_bins else len(edges[c]) < max_bins and set(edges[c]) <= set(values)
+    assert bin_edges(frame(spark, []), COLUMNS, max_bins) == {c: [] for c in COLUMNS}
+
+
 def test_bootstrap_weights_have_mean_and_spread_of_one():
     w = bootstrap(np.arange(200_000), 3, 42)
     assert abs(w.mean() - 1) < 0.01 and abs(w.var() - 1) < 0.02
