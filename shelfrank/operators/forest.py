@@ -222,7 +222,8 @@ class _Layout:
         #: For each row of the data, how many values it may have; the same number for many, as cells are then numbered alike.
         self.widths = [g[1] for g in sorted([*self.wide, *self.bundles], key=lambda g: g[0])]
         most = max(self.widths, default=1)
-        self.widths = [most if 2 * width > most else width for width in self.widths]
+        for at, width, _, _ in self.wide:
+            self.widths[at] = most if 2 * width > most else width
 
 
 def _sums(data: np.ndarray, place: np.ndarray, k: int, values: tuple, widths: Sequence[int]) -> list[tuple]:

@@ -112,7 +112,7 @@ def test_larger_children_follow_from_their_parents(monkeypatch):
 def test_nodes_of_few_rows_cost_rows_and_not_bins(monkeypatch):
     r = np.random.default_rng(6)
     bins = np.concatenate([r.integers(0, 120, (3000, 4)), r.integers(0, 3, (3000, 5))], axis=1).astype(np.uint8)
-    bins = np.concatenate([bins, bins[:, :2], 2 * bins[:, 2:3] + 1], axis=1)
+    bins = np.concatenate([bins, bins[:, :2], 2 * bins[:, 2:3] + 1, r.integers(0, 2, (3000, 8)).astype(np.uint8)], axis=1)
     y, w = r.integers(-9, 30, 3000) / 4, bootstrap(np.arange(3000), 2, 42)
     plain, cells = np.bincount, []
     monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: (cells.append(int(minlength)), plain(x, weights, int(minlength)))[1])
